@@ -1,8 +1,13 @@
 """Every registered query."""
 
-from loglattice.registry import gold_cases, silver_cases
+from loglattice.registry import audit_cases, gold_cases, parse_cases, silver_cases
 from loglattice.registry.case import Case
 
-CASES: list[Case] = [*gold_cases.CASES, *silver_cases.CASES]
+CASES: list[Case] = [
+    *gold_cases.CASES,
+    *silver_cases.CASES,
+    *parse_cases.CASES,
+    *audit_cases.CASES,
+]
 
 assert len({c.name for c in CASES}) == len(CASES), "query names must be unique"
