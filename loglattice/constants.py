@@ -47,10 +47,10 @@ HEALTH_NUMERIC_FEATURES = [
 ]
 
 # --- raw line patterns (fixed values, Java regex, positional groups) ---
-# file, timestamp, pid, level, service, optional [context], rest
+# file (its base name where it has one, else whole), timestamp, pid, level, service, optional [context], rest
 HEADER = (
-    r"(?s)^(\S+)\s+(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2}\.\d+)\s+(\d+)\s+([A-Z]+)\s+(\S+)\s*"
-    r"(?:\[(?!instance:)([^\]]*)\]\s*)?(.*)$"
+    r"(?s)^(?:([\w\-]+?\.log)\S*|(\S+))\s+(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2}\.\d+)\s+(\d+)\s+([A-Z]+)\s+"
+    r"(\S+)\s*(?:\[(?!instance:)([^\]]*)\]\s*)?(.*)$"
 )
 # the same header, but any bracket after the service counts as the context
 HEADER_ANY_BRACKET = HEADER.replace("(?!instance:)", "")
@@ -59,6 +59,8 @@ HTTP_REQUEST = (
     r'(?s)^([\d.,]+)\s+"([A-Z]+)\s+(\S+)\s+HTTP/[\d.]+"\s*(?:status:\s*(\d+))?\s*(?:len:\s*\d+)?\s*'
     r"(?:time:\s*([\d.]+))?.*$"
 )
+HTTP_LITERAL = "HTTP/"
+INSTANCE_LITERAL = "[instance:"
 INSTANCE_TAG = r"\[instance:\s*[0-9a-f\-]{36}\]"
 INSTANCE_ID = r"\[instance:\s*([0-9a-f\-]{36})\]"
 LOG_FILE_BASE = r"^([\w\-]+?\.log)"

@@ -2,7 +2,7 @@
 
 Each pattern runs once per line: ``regexp_replace`` rewrites a matching line into a separator
 followed by its groups, and ``split`` turns that into an array. A stripped text never starts with
-the separator, so an empty first element means the pattern matched. The arrays sit in their own
+the separator, so an empty element before others means the pattern matched. The arrays sit in their own
 projection so that the optimizer keeps them as one evaluation instead of one per field.
 """
 
@@ -14,22 +14,23 @@ from loglattice import constants as C
 from loglattice.schemas import EVENT
 
 _SEPARATOR = "\n"
-_HEADER_GROUPS = 7
-_HTTP_GROUPS = 5
+# groups of each pattern, by output position; the file is one of two groups
+_HEADER_FORM = ["$1$2", "$3", "$4", "$5", "$6", "$7", "$8"]
+_HTTP_FORM = ["$1", "$2", "$3", "$4", "$5"]
 
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(C.WHITESPACE))
 
 
-def _groups(text: Column, pattern: str, count: int) -> Column:
+def _groups(text: Column, pattern: str, form: list[str]) -> Column:
     """Array of an empty string and the pattern's groups, counted from one, when the text matches."""
-    template = "".join(f"{_SEPARATOR}${i}" for i in range(1, count + 1))
-    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(template)), _SEPARATOR, count + 1)
+    template = "".join(_SEPARATOR + part for part in form)
+    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(template)), _SEPARATOR, len(form) + 1)
 
 
 def matched(groups: Column) -> Column:
-    return F.get(groups, F.lit(0)) == ""
+    return (F.size(groups) > 1) & (F.get(groups, F.lit(0)) == "")
 
 
 def _filled(groups: Column, index: int) -> Column:
@@ -47,42 +48,57 @@ def has_header(line: Column, compat: bool = False) -> Column:
 
 def parse_header(line: Column, compat: bool = False) -> Column:
     """Header groups: file, timestamp, pid, level, service, context, rest."""
-    return _groups(strip(line), header_pattern(compat), _HEADER_GROUPS)
+    return _groups(strip(line), header_pattern(compat), _HEADER_FORM)
+
+
+def headers_of(df: DataFrame, line: str = "value", compat: bool = False) -> DataFrame:
+    """Add ``_header`` and drop lines without one.
+
+    Exploding a list of no or one header drops a line without testing the pattern a second time,
+    which a filter pushed below the projection would.
+    """
+    tried = df.withColumn("_tried", parse_header(F.col(line), compat))
+    found = F.when(matched(F.col("_tried")), F.array("_tried"))
+    return tried.select(*df.columns, F.explode(found).alias("_header"))
 
 
 def log_file_base(name: Column, override: str | None = None) -> Column:
     """Rotated file name to its base name; unchanged when there is no ``.log`` in it."""
     if override:
         return F.lit(override)
-    base = F.regexp_extract(name, C.LOG_FILE_BASE, 1)
-    return F.when(base != "", base).otherwise(name)
+    return F.coalesce(F.nullif(F.regexp_extract(name, C.LOG_FILE_BASE, 1), F.lit("")), name)
 
 
-def parse_context(context: Column) -> tuple[Column, Column, Column]:
-    """Request, user and project id of a context; a dash stands for no value."""
-    parts = F.split(strip(context), r"\s+")
-    first = F.get(parts, F.lit(0))
-    request = F.when(first.startswith("req-"), F.substring(first, 5, 2**31 - 1))
+def context_parts(context: Column) -> Column:
+    return F.split(strip(context), r"\s+")
 
+
+def parse_context(parts: Column) -> tuple[Column, Column, Column]:
+    """Request, user and project id from the parts of a context; a dash stands for no value."""
     def at(index: int) -> Column:
-        return F.nullif(F.get(parts, F.lit(index)), F.lit("-"))
+        part = F.get(parts, F.lit(index))
+        return F.when(part != "-", part)
 
+    first = F.get(parts, F.lit(0))
+    request = F.when(first.startswith("req-"), F.substring(first, 5, 2**31 - 1))
     return request, at(1), at(2)
 
 
 def parse_http(rest: Column) -> Column:
-    """Request groups: ip list, method, path, status, time."""
-    return _groups(rest, C.HTTP_REQUEST, _HTTP_GROUPS)
+    """Request groups: ip list, method, path, status, time. NULL without the literal every request has."""
+    return F.when(rest.contains(C.HTTP_LITERAL), _groups(rest, C.HTTP_REQUEST, _HTTP_FORM))
 
 
 def parse_instance(rest: Column) -> Column:
     """First tagged instance id anywhere in the text."""
-    return F.nullif(F.regexp_extract(rest, C.INSTANCE_ID, 1), F.lit(""))
+    found = F.nullif(F.regexp_extract(rest, C.INSTANCE_ID, 1), F.lit(""))
+    return F.when(rest.contains(C.INSTANCE_LITERAL), found)
 
 
 def without_first_tag(rest: Column) -> Column:
     """Text with only its first instance tag removed, trimmed."""
-    return strip(F.regexp_replace(rest, F.lit(rf"(?s)^(.*?){C.INSTANCE_TAG}(.*)$"), F.lit("$1$2")))
+    removed = strip(F.regexp_replace(rest, F.lit(rf"(?s)^(.*?){C.INSTANCE_TAG}(.*)$"), F.lit("$1$2")))
+    return F.when(rest.contains(C.INSTANCE_LITERAL), removed).otherwise(rest)
 
 
 def drop_unparsed(df: DataFrame, line: str = "value", compat: bool = False) -> DataFrame:
@@ -125,29 +141,32 @@ def parse_lines(
     is taken for one and lost.
     """
     kept = [c for c in df.columns if c != line and c not in EVENT.names]
-    identified = with_identity(drop_unparsed(df, line, compat), identity, identity_mode)
-    split = identified.withColumn("_header", parse_header(F.col(line), compat))
-    rest = split.withColumn("_rest", strip(F.get("_header", F.lit(7))))
-    shaped = rest.withColumn("_http", parse_http(F.col("_rest")))
-
-    header, http = F.col("_header"), F.col("_http")
-    is_http = matched(http)
-    request, user, project = parse_context(F.get(header, F.lit(6)))
+    identified = with_identity(df, identity, identity_mode)
+    found = headers_of(identified, line, compat)
+    header = F.col("_header")
+    opened = found.withColumns(
+        {"_context": context_parts(F.get(header, F.lit(6))), "_rest": strip(F.get(header, F.lit(7)))}
+    )
+    shaped = opened.withColumn("_http", parse_http(F.col("_rest")))
+
+    http, rest = F.col("_http"), F.col("_rest")
+    is_http = F.coalesce(matched(http), F.lit(False))
+    request, user, project = parse_context(F.col("_context"))
     columns = {
         "timestamp": F.get(header, F.lit(2)),
-        "log_file": log_file_base(F.get(header, F.lit(1)), log_file),
+        "log_file": F.lit(log_file) if log_file else F.get(header, F.lit(1)),
         "service": F.get(header, F.lit(5)),
         "process_id": F.get(header, F.lit(3)),
         "log_level": F.get(header, F.lit(4)),
         "request_id": request,
         "user_id": user,
         "project_id": project,
-        "instance_id": F.when(~is_http, parse_instance(F.col("_rest"))),
+        "instance_id": F.when(~is_http, parse_instance(rest)),
         "client_ip": F.when(is_http, F.get(http, F.lit(1))),
         "http_method": F.when(is_http, F.get(http, F.lit(2))),
         "http_path": F.when(is_http, F.get(http, F.lit(3))),
         "message": F.when(is_http, F.concat_ws(" ", F.get(http, F.lit(2)), F.get(http, F.lit(3)))).otherwise(
-            without_first_tag(F.col("_rest"))
+            without_first_tag(rest)
         ),
         "status_code": F.when(is_http, _filled(http, 4).try_cast("int")),
         "response_time": F.when(is_http, _filled(http, 5).try_cast("double")),

@@ -90,12 +90,16 @@ def parsed(spark, d, **options) -> DataFrame:
 
 
 @CASES.add("parse_header", "P1 P7", over_lines("""
-SELECT n AS line, log_file || '.2024-01-01_00:00:00' AS raw_file, "timestamp", process_id, log_level, service FROM expected"""))
+SELECT n AS line, log_file, "timestamp", process_id, log_level, service FROM expected"""))
 def parse_header(spark, d):
-    kept = P.drop_unparsed(shaped_lines(spark, d))
-    names = ["raw_file", "timestamp", "process_id", "log_level", "service"]
-    header = kept.select(F.col("n").alias("line"), P.parse_header(F.col("value")).alias("h"))
-    return header.select("line", *[F.get("h", F.lit(i + 1)).alias(c) for i, c in enumerate(names)])
+    kept = P.headers_of(shaped_lines(spark, d))
+    names = ["log_file", "timestamp", "process_id", "log_level", "service"]
+    return kept.select(F.col("n").alias("line"), *[F.get("_header", F.lit(i + 1)).alias(c) for i, c in enumerate(names)])
+
+
+@CASES.add("drop_unparsed", "P7", over_lines("SELECT n AS line FROM expected"))
+def drop_unparsed(spark, d):
+    return P.drop_unparsed(shaped_lines(spark, d)).select(F.col("n").alias("line"))
 
 
 @CASES.add("log_file_base", "P2", over_logs("""
@@ -121,7 +125,7 @@ def parse_context(spark, d):
         .when(kind == 3, F.format_string("req-req-%s", "event_id"))
         .otherwise(F.format_string("%s %s", "event_id", "user_id"))
     )
-    request, user, project = P.parse_context(context)
+    request, user, project = P.parse_context(P.context_parts(context))
     return logs(spark, d).select(
         "event_id", request.alias("request_id"), user.alias("user_id"), project.alias("project_id"))
 
