@@ -38,7 +38,8 @@ def running_totals(df: DataFrame, order_by: str, values: list[str], ranges: int
     cuts = df.agg(
         F.percentile_approx(order_by, F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), accuracy).alias("cuts")
     ).scalar()
-    placed = df.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col(order_by))))
+    cut = df.withColumn("_cuts", cuts)
+    placed = cut.withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(order_by)))).drop("_cuts")
 
     sums = placed.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,6 +1,6 @@
 """Every registered query."""
 
-from loglattice.registry import audit_cases, gold_cases, parse_cases, silver_cases
+from loglattice.registry import audit_cases, gold_cases, model_cases, parse_cases, serving_cases, silver_cases
 from loglattice.registry.case import Case
 
 CASES: list[Case] = [
@@ -8,6 +8,8 @@ CASES: list[Case] = [
     *silver_cases.CASES,
     *parse_cases.CASES,
     *audit_cases.CASES,
+    *serving_cases.CASES,
+    *model_cases.CASES,
 ]
 
 assert len({c.name for c in CASES}) == len(CASES), "query names must be unique"

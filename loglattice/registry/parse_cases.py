@@ -25,33 +25,38 @@ CASE WHEN n % 17 = 3 THEN 'junk' WHEN n % 17 = 5 THEN 'blank' WHEN client_ip IS
 
 def shaped_lines(spark, d) -> DataFrame:
     df = logs(spark, d).withColumn("n", F.col("event_id").cast("bigint")).withColumn("shape", F.expr(SHAPE))
-    text = lambda pattern, *cols: F.format_string(pattern, *cols)
     user = F.when(F.col("n") % 8 == 0, F.lit("-")).otherwise(F.col("user_id"))
+
+    def text(*parts):
+        return F.concat(*[F.col(p[1:]) if p.startswith("$") else F.lit(p) for p in parts])
+
     context = F.when(F.col("request_id").isNull(), F.lit("[-] ")).otherwise(
-        text("[req-%s %s p%s - - -] ", "request_id", user, "process_id"))
-    ip = F.when(F.col("n") % 5 == 0, F.concat(F.lit("10.0.0.2,"), F.col("client_ip"))).otherwise(F.col("client_ip"))
-    latency = F.when(F.col("n") % 29 == 0, F.lit("1.2.3")).otherwise(text("%.7f", "response_time"))
+        F.concat(F.lit("[req-"), "request_id", F.lit(" "), user, F.lit(" p"), "process_id", F.lit(" - - -] ")))
+    ip = F.when(F.col("n") % 5 == 0, text("10.0.0.2,", "$client_ip")).otherwise(F.col("client_ip"))
+    latency = F.when(F.col("n") % 29 == 0, F.lit("1.2.3")).otherwise(F.format_string("%.7f", "response_time"))
     measured = F.when(F.col("n") % 11 == 0, F.lit("")).otherwise(
-        text(" status: %d len: %d time: %s", "status_code", "n", latency))
-    http = F.concat(ip, F.lit(' "'), "http_method", F.lit(" "), "http_path", F.lit(' HTTP/1.1"'), measured)
-    tag = text("[instance: %s]", "instance_id")
+        F.concat(text(" status: ", "$status_code", " len: ", "$event_id", " time: "), latency))
+    http = F.concat(ip, text(' "', "$http_method", " ", "$http_path", ' HTTP/1.1"'), measured)
+    tag = text("[instance: ", "$instance_id", "]")
     body = (
         F.when(F.col("shape") == "http", F.concat(context, http))
         .when(F.col("shape") == "bare", F.lit(""))
         .when(F.col("shape") == "trace", F.lit("Traceback (most recent call last):"))
-        .when(F.col("shape") == "free", F.concat(context, text("tick %d of [worker]", "n")))
+        .when(F.col("shape") == "free", F.concat(context, text("tick ", "$event_id", " of [worker]")))
         .when(F.col("shape") == "swallow", F.concat(tag, F.lit(" moved")))
         .when(F.col("shape") == "two", F.concat(context, tag, F.lit(" gave way to "), tag))
         .otherwise(F.concat(context, tag, F.lit(" stopped")))
     )
     stamp = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    header = text("%s.2024-01-01_00:00:00 %s %s %s %s ", "log_file", stamp, "process_id", "log_level", "service")
+    header = F.concat(
+        text("$log_file", ".2024-01-01_00:00:00 "), stamp, text(" ", "$process_id", " ", "$log_level", " ", "$service", " "))
     line = (
-        F.when(F.col("shape") == "junk", text("broken line %d", "n"))
+        F.when(F.col("shape") == "junk", text("broken line ", "$event_id"))
         .when(F.col("shape") == "blank", F.lit("  \t "))
         .otherwise(F.concat(header, body))
     )
-    return df.select(line.alias("value"), F.col("event_id").alias("line_key"), "n")
+    # written once per event, so that no later filter repeats the work of writing it
+    return df.select(F.explode(F.array(line)).alias("value"), F.col("event_id").alias("line_key"), "n")
 
 
 def lines(spark, d) -> DataFrame:
