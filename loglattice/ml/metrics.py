@@ -53,6 +53,9 @@ def roc_auc(predictions: DataFrame, label: str = "label", score: str = "score",
     per_score = predictions.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
+    # true for every score, but it makes each reader of the counts need both of them: their plans are
+    # then the same up to the shuffle, and Spark computes the counts once
+    per_score = per_score.where(F.col("positives") + F.col("negatives") > 0)
     ranked = running_totals(per_score, "score", ["negatives"], ranges)
     wins = F.sum(
         F.col("positives").cast("double") * (F.col("negatives_before").cast("double") + F.col("negatives") / F.lit(2.0))

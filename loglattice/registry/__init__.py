@@ -1,6 +1,15 @@
 """Every registered query."""
 
-from loglattice.registry import audit_cases, gold_cases, model_cases, parse_cases, serving_cases, silver_cases
+from loglattice.registry import (
+    audit_cases,
+    gold_cases,
+    insight_cases,
+    model_cases,
+    parse_cases,
+    serving_cases,
+    silver_cases,
+    stream_cases,
+)
 from loglattice.registry.case import Case
 
 CASES: list[Case] = [
@@ -10,6 +19,8 @@ CASES: list[Case] = [
     *audit_cases.CASES,
     *serving_cases.CASES,
     *model_cases.CASES,
+    *insight_cases.CASES,
+    *stream_cases.CASES,
 ]
 
 assert len({c.name for c in CASES}) == len(CASES), "query names must be unique"
