@@ -56,16 +56,21 @@ def undersample_by_union(df: DataFrame, fraction: float, label: str = "is_anomal
 
 def weight_table(df: DataFrame, label: str = "label") -> DataFrame:
     """Inverse-frequency weight per class, for any set of classes: rows / (classes * rows of the class)."""
-    counted = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
     everything = Window.partitionBy()
     weight = F.sum("rows").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("rows"))
     return counted.withColumn("class_weight", weight)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Add ``class_weight``. There is one weight row per class; Spark sizes that side of the join itself."""
-    weights = weight_table(df, label).select(F.col(label).alias("_class"), "class_weight")
-    return df.join(weights, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
+    """Add ``class_weight``, NULL for a row without a class.
+
+    The weights, one per class of the model, come as a map from a scalar subquery: a join would
+    shuffle all rows onto a handful of label values.
+    """
+    entries = F.collect_list(F.struct(label, "class_weight"))
+    weights = weight_table(df, label).agg(F.map_from_entries(entries).alias("weights")).scalar()
+    return df.withColumn("class_weight", F.try_element_at(weights, F.col(label)))
 
 
 def label_indexer(source: str = "service_health", target: str = "label") -> StringIndexer:

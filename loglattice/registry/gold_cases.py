@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loglattice.functions import scalars as S
 from loglattice.operators import shares as X
-from loglattice.plans import gold as G, silver as P, views as V
+from loglattice.plans import gold as G, rollup as R, silver as P, views as V
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, over_silver, silver
 
@@ -384,3 +384,24 @@ def scores_nulls_first(spark, d):
     gold = G.service_risk(G.service_health(G.service_performance(silver(spark, d))))
     order = Window.orderBy(F.col("risk_score").asc_nulls_first(), "service")
     return gold.select("service", "risk_score", F.row_number().over(order).alias("position"))
+
+
+# ------------------------------------------------------------------ the same from one pre-aggregate
+
+_FROM_ROLLUP = {
+    "service_overview": (R.service_overview, "V1", "overview", OVERVIEW),
+    "http_status": (R.http_status, "V3", "http_status", HTTP_STATUS),
+    "hourly_trend": (R.hourly_trend, "V5", "hourly_trend", HOURLY_TREND),
+    "log_level_mix": (R.log_level, "V7", "levels", LEVELS),
+    "topic_mix": (R.topic, "V8", "topics", TOPICS),
+}
+for _name, (_view, _covers, _cte, _sql) in _FROM_ROLLUP.items():
+    @CASES.add(f"rollup_{_name}", _covers, over_silver(f"SELECT * FROM {_cte}", _sql))
+    def _from_rollup(spark, d, view=_view):
+        return view(R.hourly_rollup(silver(spark, d)))
+
+
+@CASES.add("rollup_service_performance", "G1", over_silver(f"SELECT {_ROUNDED} FROM performance", _PERFORMANCE))
+def rollup_service_performance(spark, d):
+    rollup = R.hourly_rollup(silver(spark, d))
+    return six(R.service_performance(rollup), "avg_response_time", "avg_status_code")

@@ -160,12 +160,15 @@ def peak_hour(spark, d):
 
 
 @CASES.add("severity_disagreement", "K14", over_silver("""
-SELECT log_level, count(*) FILTER (service <> 'svc.05') AS from_service_overview, count(*) AS from_log_level_view
-FROM silver WHERE log_level <> 'INFO' GROUP BY log_level HAVING count(*) FILTER (service = 'svc.05') > 0"""))
+SELECT log_level, CAST(sum(n) FILTER (total >= 100) AS BIGINT) AS from_service_overview, CAST(sum(n) AS BIGINT) AS from_log_level_view
+FROM (SELECT log_level, count(*) AS n, sum(count(*)) OVER (PARTITION BY service, day_of_week) AS total
+      FROM silver GROUP BY service, day_of_week, log_level)
+WHERE log_level <> 'INFO' GROUP BY log_level HAVING sum(n) FILTER (total >= 100) <> sum(n)"""))
 def severity_disagreement(spark, d):
-    events = silver(spark, d)
-    overview = V.service_overview(events).where(F.col("service") != "svc.05")
-    return K.severity_disagreement(overview, V.log_level(events))
+    # services by weekday, of which the overview here holds the scored ones only
+    events = silver(spark, d).withColumn("service", F.concat_ws("-", "service", "day_of_week"))
+    overview = V.service_overview(events)
+    return K.severity_disagreement(overview.where(K.is_scored(F.col("log_lines"))), V.log_level(events))
 
 
 @CASES.add("dashboard_bundle", "K16", over_silver("""
