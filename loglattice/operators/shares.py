@@ -35,9 +35,8 @@ def running_totals(df: DataFrame, order_by: str, values: list[str], ranges: int
     range is summed, the few range sums are accumulated, and the running sum inside each range is
     added to its range's start. No step sorts all rows in one place.
     """
-    cuts = df.agg(
-        F.percentile_approx(order_by, F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), accuracy).alias("cuts")
-    ).scalar()
+    fractions = F.array(*[F.lit(i / ranges) for i in range(1, max(ranges, 2))])
+    cuts = df.agg(F.percentile_approx(order_by, fractions, accuracy).alias("cuts")).scalar()
     cut = df.withColumn("_cuts", cuts)
     placed = cut.withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(order_by)))).drop("_cuts")
 
