@@ -8,8 +8,8 @@ from loglattice.functions import scalars as S
 from loglattice.operators.joins import attach_next_hour
 from loglattice.plans.gold import hourly_service
 
-METRICS = ["total_logs", "error_count", "warning_count", "critical_count", "anomaly_count", "error_rate",
-           "avg_response_time", "max_response_time", "avg_severity"]
+METRICS = ["total_logs", "error_count", "warning_count", "critical_count", "anomaly_count", "avg_response_time",
+           "max_response_time", "avg_severity", "error_rate"]
 
 
 def with_hours(hourly: DataFrame) -> DataFrame:

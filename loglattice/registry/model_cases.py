@@ -111,9 +111,9 @@ def _metric_sql(name: str) -> str:
                  count(*) FILTER (label = prediction) / count(*) AS accuracy,
                  coalesce(count(*) FILTER (label = 1 AND prediction = 1) / nullif(count(*) FILTER (prediction = 1), 0), 0) AS p1,
                  coalesce(count(*) FILTER (label = 0 AND prediction = 0) / nullif(count(*) FILTER (prediction = 0), 0), 0) AS p0,
-                 count(*) FILTER (label = 1 AND prediction = 1) / n1 AS r1,
-                 count(*) FILTER (label = 0 AND prediction = 0) / n0 AS r0,
-                 (sum(rank) FILTER (label = 1) - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS roc_auc
+                 coalesce(count(*) FILTER (label = 1 AND prediction = 1) / nullif(n1, 0), 0) AS r1,
+                 coalesce(count(*) FILTER (label = 0 AND prediction = 0) / nullif(n0, 0), 0) AS r0,
+                 (sum(rank) FILTER (label = 1) - n1 * (n1 + 1) / 2.0) / nullif(n1 * n0, 0) AS roc_auc
           FROM (SELECT label, prediction,
                        rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rank FROM {name}))
     """

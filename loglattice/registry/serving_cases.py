@@ -122,7 +122,7 @@ def filtered_patterns(spark, d):
 
 
 @CASES.add("pattern_summary", "K10", over_silver("""
-SELECT CAST(sum(n) AS BIGINT) AS total_occurrences, count(*) AS services,
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_occurrences, count(*) AS services,
        (SELECT service FROM by_service ORDER BY n DESC, service LIMIT 1) AS top_service,
        CAST(max(n) AS BIGINT) AS top_occurrences FROM by_service""", _PATTERNS,
     "by_service AS (SELECT service, sum(anomaly_occurrences) AS n FROM patterns GROUP BY service)"))
