@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from loglattice.functions import scalars as S
 from loglattice.operators.shares import value_counts
@@ -39,17 +39,53 @@ def null_percent(df: DataFrame) -> DataFrame:
     return _per_column(df.columns, entry, df)
 
 
-def cardinality(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Distinct values of every column, NULL counting as one.
+def _comparable(df: DataFrame, column: str) -> Column:
+    """A text that is equal for two values exactly when the values are."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (value + F.lit(0.0)).cast("string")  # -0.0 becomes 0.0
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(value, {"ignoreNullFields": "false"})
+    return value.cast("string")
+
 
-    Exact counts shuffle every distinct value of every column once; ``exact=False`` keeps one small
-    sketch per column instead, for wide tables where an estimate will do.
+def _value_profile(df: DataFrame) -> DataFrame:
+    """Rows, NULLs and distinct non-null values of every column, from one read and one shuffle.
+
+    Each row becomes (column, value) pairs, which are counted before and after the shuffle: a value
+    in a third of all rows is one pair per task by then, and the pairs of a wide table spread over
+    all tasks.
     """
-    count = F.count_distinct if exact else F.approx_count_distinct
+    values = [F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("v")) for i, c in enumerate(df.columns)]
+    pairs = df.select(F.inline(F.array(*values))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+
+    def entry(i: int, c: str) -> Column:
+        mine, missing = F.col("i") == i, F.col("v").isNull()
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)).alias("total_rows"),
+            F.coalesce(F.sum(F.when(mine & missing, F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count_if(mine & ~missing).alias("distinct_non_null"),
+        )
+
+    entries = F.array(*[entry(i, c) for i, c in enumerate(df.columns)])
+    return pairs.agg(entries.alias("entries")).select(F.inline("entries"))
+
+
+def cardinality(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Distinct values of every column, NULL counting as one. ``exact=False`` keeps one sketch per
+    column instead, for columns of ids where an estimate will do."""
+    if exact:
+        distinct = F.col("distinct_non_null") + F.when(F.col("null_count") > 0, 1).otherwise(0)
+        return _value_profile(df).select("column_name", distinct.alias("distinct_values"))
 
     def entry(c: str) -> list[Column]:
         has_null = F.coalesce(F.max(F.col(c).isNull().cast("long")), F.lit(0).cast("long"))
-        return [(count(F.col(c)) + has_null).alias("distinct_values")]
+        return [(F.approx_count_distinct(c) + has_null).alias("distinct_values")]
 
     return _per_column(df.columns, entry, df)
 
@@ -103,21 +139,17 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """
     out = None
     for name, df in tables.items():
-        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-        def entry(c: str) -> list[Column]:
-            column = F.col(f"`{c}`")
-            total, nulls = F.count(F.lit(1)), F.count_if(column.isNull())
-            share = F.round(F.lit(100.0) * nulls / F.nullif(total, F.lit(0)), 2)
-            return [
-                F.lit(types[c]).alias("data_type"),
-                total.alias("total_rows"),
-                nulls.alias("null_count"),
-                share.alias("null_pct"),
-                F.count_distinct(column).alias("distinct_non_null"),
-            ]
-
-        one = _per_column(df.columns, entry, df).select(F.lit(name).alias("table_name"), "*")
+        types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
+        share = F.round(S.percent(F.col("null_count"), F.nullif("total_rows", F.lit(0))), 2)
+        one = _value_profile(df).select(
+            F.lit(name).alias("table_name"),
+            "column_name",
+            types[F.col("column_name")].alias("data_type"),
+            "total_rows",
+            "null_count",
+            share.alias("null_pct"),
+            "distinct_non_null",
+        )
         out = one if out is None else out.unionByName(one)
     return out
 

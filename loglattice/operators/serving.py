@@ -8,7 +8,7 @@ from loglattice import constants as C
 from loglattice.functions import scalars as S
 from loglattice.operators.joins import attach_latency
 from loglattice.operators.shares import share_of_total
-from loglattice.plans import views as V
+from loglattice.plans import rollup as R, views as V
 
 
 def is_scored(lines: Column) -> Column:
@@ -173,14 +173,21 @@ def model_summary(cards: DataFrame) -> DataFrame:
     )
 
 
-def dashboard(silver: DataFrame) -> dict[str, DataFrame]:
-    """Every data set of one dashboard page, each computed only when it is read."""
-    overview, latency = V.service_overview(silver), V.service_latency(silver)
+def dashboard(silver: DataFrame, rollup: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every data set of one dashboard page, each computed only when it is read.
+
+    Pass a stored ``plans.rollup.hourly_rollup`` to take all counts from it, so that a page reads
+    Silver for its latencies and labelled lines only.
+    """
+    views = V.dashboard_views(silver)
+    if rollup is not None:
+        views |= R.views_from_rollup(rollup)
+    overview, latency = views["vw_service_overview"], views["vw_service_latency"]
     return {
-        "kpis": estate_kpis(overview, V.log_level(silver), V.http_status(silver), V.topic(silver)),
+        "kpis": estate_kpis(overview, views["vw_log_level"], views["vw_http_status"], views["vw_topic"]),
         "services": service_cards(overview, latency),
-        "hourly_trend": hourly_trend(V.hourly_trend(silver)),
-        "hourly_latency": hourly_latency(V.hourly_latency(silver)),
+        "hourly_trend": hourly_trend(views["vw_hourly_trend"]),
+        "hourly_latency": hourly_latency(views["vw_hourly_latency"]),
         "service_latency": service_latency(latency),
         "anomalies": anomaly_patterns(silver),
     }

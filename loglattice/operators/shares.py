@@ -48,7 +48,8 @@ def running_totals(df: DataFrame, order_by: str, values: list[str], ranges: int
 
     inside = Window.partitionBy("_range").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
     local = {f"{v}_before": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}
-    # at most ``ranges`` rows, so the start of each range is broadcast
-    joined = placed.withColumns(local).join(F.broadcast(starts), "_range")
+    # at most ``ranges`` rows, so the start of each range is broadcast; every range has one, and a left
+    # join keeps Spark from testing the range of every input row for NULL below the aggregate
+    joined = placed.withColumns(local).join(F.broadcast(starts), "_range", "left")
     total: dict[str, Column] = {f"{v}_before": F.col(f"{v}_before") + F.col(f"_start_{v}") for v in values}
     return joined.withColumns(total).select(*df.columns, *total)

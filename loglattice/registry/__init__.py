@@ -8,6 +8,7 @@ from loglattice.registry import (
     parse_cases,
     serving_cases,
     silver_cases,
+    storage_cases,
     stream_cases,
 )
 from loglattice.registry.case import Case
@@ -20,6 +21,7 @@ CASES: list[Case] = [
     *serving_cases.CASES,
     *model_cases.CASES,
     *insight_cases.CASES,
+    *storage_cases.CASES,
     *stream_cases.CASES,
 ]
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loglattice.operators.joins import attach_labels
+from loglattice.plans.rollup import hourly_rollup, views_from_rollup
 from loglattice.plans.silver import with_scores, with_time_parts
-from loglattice.session import pin
+from loglattice.plans.views import service_latency
+from loglattice.session import cut_lineage, pin
 
 LOGS_SQL = """
 WITH b AS (
@@ -67,6 +69,14 @@ def silver(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:
     return attach_labels(parts, labels(spark, sf_dir))
 
 
+def page_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The views behind one page or one insight run: Silver is read once for all counts, into a
+    rollup kept in the checkpoint folder, and once for the latencies."""
+    events = silver(spark, sf_dir)
+    rollup = cut_lineage(hourly_rollup(events))
+    return {**views_from_rollup(rollup), "vw_service_latency": service_latency(events)}
+
+
 # --- the same layer for the other engine, written by hand in its own SQL ---
 
 LOGS_CTE = f"logs AS ({LOGS_SQL.format(events='events')})"

@@ -8,7 +8,7 @@ from loglattice.functions import text as W
 from loglattice.operators import insights as I, serving as K
 from loglattice.plans import views as V
 from loglattice.registry.case import Cases
-from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, silver
+from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, page_views, silver
 from loglattice.registry.gold_cases import HOURLY_TREND, HTTP_STATUS, LATENCY, LEVELS, OVERVIEW, TOPICS
 from loglattice.registry.serving_cases import _PATTERNS
 
@@ -125,9 +125,9 @@ def service_insights_by_weekday(spark, d):
     return I.service_insight(_facts(weekday(spark, d))).select("service", *I.TEXT_FIELDS, "severity")
 
 
-def _estate(events):
-    return I.estate_facts(V.service_overview(events), V.service_latency(events), V.log_level(events), V.http_status(events),
-                          V.hourly_trend(events), V.topic(events))
+def _estate(views):
+    names = ("service_overview", "service_latency", "log_level", "http_status", "hourly_trend", "topic")
+    return I.estate_facts(*[views[f"vw_{name}"] for name in names])
 
 
 _TOP = ("FROM overview ORDER BY log_lines >= 100 DESC, CASE WHEN log_lines >= 100 THEN risk_score END DESC NULLS LAST, "
@@ -154,7 +154,7 @@ _ESTATE_CTES = (OVERVIEW, LATENCY, LEVELS, HOURLY_TREND, _ESTATE)
 
 @CASES.add("estate_facts", "I2 K13 K14", over_silver("SELECT * FROM estate", *_ESTATE_CTES))
 def estate_facts(spark, d):
-    facts = _estate(silver(spark, d))
+    facts = _estate(page_views(spark, d))
     return facts.withColumns({
         "peak_lines": F.col("peak_hour.log_lines"), "info_lines": F.col("log_level_counts")["INFO"],
         "peak_hour": F.col("peak_hour.hour"),
@@ -187,7 +187,7 @@ estate_written AS (
 @CASES.add("estate_insight", "I8", over_silver(
     "SELECT headline, narrative, recommended_action, severity FROM estate_written", *_ESTATE_CTES, _ESTATE_TEXT))
 def estate_insight(spark, d):
-    return I.estate_insight(_estate(silver(spark, d))).select(*I.TEXT_FIELDS, "severity")
+    return I.estate_insight(_estate(page_views(spark, d))).select(*I.TEXT_FIELDS, "severity")
 
 
 # ------------------------------------------------------------------ explanations
@@ -256,7 +256,7 @@ SELECT 'All services together' AS headline, {n('services_total')} || ' services
        'Watch for a shift between levels | Compare the risk ranking over time | Check services without a latency'
          AS what_to_check_next, 'rule_based' AS generation_mode FROM estate""", *_ESTATE_CTES))
 def explain_estate(spark, d):
-    return _flat(I.explain(_estate(silver(spark, d)), "general"))
+    return _flat(I.explain(_estate(page_views(spark, d)), "general"))
 
 
 # ------------------------------------------------------------------ candidate texts
@@ -330,8 +330,9 @@ _INSIGHT_CTES = (OVERVIEW, LATENCY, _FACTS, _TEXTS, LEVELS, HOURLY_TREND, _ESTAT
 
 
 def insight_table(spark, d):
-    events = silver(spark, d)
-    return I.build_insights(_facts(events), _estate(events))
+    views = page_views(spark, d)
+    services = I.service_facts(views["vw_service_overview"], views["vw_service_latency"])
+    return I.build_insights(services, _estate(views))
 
 
 @CASES.add("insights", "I13", over_silver(

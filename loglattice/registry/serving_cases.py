@@ -6,21 +6,28 @@ from pyspark.sql import functions as F
 
 from loglattice.operators import joins as J, serving as K, warning as E
 from loglattice.plans import views as V
+from loglattice.plans.rollup import hourly_rollup
 from loglattice.registry.case import Cases
-from loglattice.registry.fixture import half_up as r, over_silver, silver
+from loglattice.registry.fixture import half_up as r, over_silver, page_views, silver
 from loglattice.registry.gold_cases import (
     HOURLY_LATENCY, HOURLY_TREND, HTTP_STATUS, LATENCY, LEVELS, OVERVIEW, TOPICS, _HOURLY, six,
 )
+from loglattice.session import cut_lineage
 
 CASES = Cases()
 
-_KPI_ARGS = lambda s: (V.service_overview(s), V.log_level(s), V.http_status(s), V.topic(s))
+_KPI_VIEWS = ("vw_service_overview", "vw_log_level", "vw_http_status", "vw_topic")
 _MAPS = ["log_level_counts", "http_status_counts", "kafka_topics"]
 
 _TOP = ("FROM overview ORDER BY log_lines >= 100 DESC, CASE WHEN log_lines >= 100 THEN risk_score END DESC NULLS LAST, "
         "log_lines DESC, service LIMIT 1")
 
 
+def _kpis(spark, d):
+    views = page_views(spark, d)
+    return K.estate_kpis(*[views[name] for name in _KPI_VIEWS])
+
+
 @CASES.add("estate_kpis", "K1", over_silver(f"""
 SELECT CAST(sum(log_lines) AS BIGINT) AS total_log_lines, CAST(sum(http_requests) AS BIGINT) AS total_http_requests,
        {r('100.0 * sum(warning_count) / sum(log_lines)', 2)} AS warning_rate_pct,
@@ -34,7 +41,7 @@ SELECT CAST(sum(log_lines) AS BIGINT) AS total_log_lines, CAST(sum(http_requests
        (SELECT health_status {_TOP}) AS highest_risk_health_status
 FROM overview""", OVERVIEW))
 def estate_kpis(spark, d):
-    return K.estate_kpis(*_KPI_ARGS(silver(spark, d))).drop(*_MAPS)
+    return _kpis(spark, d).drop(*_MAPS)
 
 
 @CASES.add("estate_breakdowns", "K1 K2", over_silver("""
@@ -42,7 +49,7 @@ SELECT 'log_level_counts' AS kind, log_level AS name, log_lines AS lines FROM le
 UNION ALL SELECT 'http_status_counts', status_class, CAST(sum(request_count) AS BIGINT) FROM http_status GROUP BY status_class
 UNION ALL SELECT 'kafka_topics', kafka_topic, log_lines FROM topics""", LEVELS, HTTP_STATUS, TOPICS))
 def estate_breakdowns(spark, d):
-    kpis = K.estate_kpis(*_KPI_ARGS(silver(spark, d))).select(*_MAPS)
+    kpis = _kpis(spark, d).select(*_MAPS)
     long = kpis.unpivot([], _MAPS, "kind", "counts")
     return long.select("kind", F.explode("counts").alias("name", "lines"))
 
@@ -179,8 +186,10 @@ UNION ALL SELECT 'hourly_latency', count(*) FROM hourly_latency
 UNION ALL SELECT 'service_latency', count(*) FROM latency
 UNION ALL SELECT 'anomalies', count(*) FROM patterns""", OVERVIEW, HOURLY_TREND, HOURLY_LATENCY, LATENCY, _PATTERNS))
 def dashboard_bundle(spark, d):
+    events = silver(spark, d)
+    page = K.dashboard(events, cut_lineage(hourly_rollup(events)))
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("data_set"), "row_count")
-             for name, df in K.dashboard(silver(spark, d)).items()]
+             for name, df in page.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
