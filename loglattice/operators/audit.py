@@ -63,17 +63,18 @@ def _value_profile(df: DataFrame) -> DataFrame:
     values = [F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("v")) for i, c in enumerate(df.columns)]
     pairs = df.select(F.inline(F.array(*values))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
 
-    def entry(i: int, c: str) -> Column:
-        mine, missing = F.col("i") == i, F.col("v").isNull()
-        return F.struct(
-            F.lit(c).alias("column_name"),
-            F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)).alias("total_rows"),
-            F.coalesce(F.sum(F.when(mine & missing, F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count_if(mine & ~missing).alias("distinct_non_null"),
-        )
-
-    entries = F.array(*[entry(i, c) for i, c in enumerate(df.columns)])
-    return pairs.agg(entries.alias("entries")).select(F.inline("entries"))
+    counted = pairs.groupBy("i").agg(
+        F.sum("n").alias("total_rows"),
+        F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("null_count"),
+        F.count("v").alias("distinct_non_null"),
+    )
+    names = F.array(*[F.lit(c) for c in df.columns])
+    every = df.sparkSession.range(0, len(df.columns), 1, 1).select(F.col("id").cast("int").alias("i"))
+    # a table without rows has no pairs, but each of its columns is still listed
+    return every.join(counted, "i", "left").select(
+        F.get(names, F.col("i")).alias("column_name"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_rows", "null_count", "distinct_non_null")],
+    )
 
 
 def cardinality(df: DataFrame, exact: bool = True) -> DataFrame:

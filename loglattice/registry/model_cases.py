@@ -209,7 +209,9 @@ def recent_runs(spark, d):
         F.col("metrics")["mean"].alias("mean_metric"), F.get_json_object("metrics_json", "$.n").cast("double").alias("n_metric"))
 
 
-@CASES.add("model_card_status", "I16 K15")
+@CASES.add("model_card_status", "I16 K15", """
+SELECT CAST(3 AS BIGINT) AS models, CAST(1 AS BIGINT) AS production_candidates, CAST(1 AS BIGINT) AS demo_only,
+       CAST(1 AS BIGINT) AS paused, CAST(count(*) > 0 AS BIGINT) AS with_metrics FROM events WHERE event_type <> 'error'""")
 def model_card_status(spark, d):
     cards = R.model_cards(spark, run_history(spark, d))
     read = F.get_json_object("metrics_json", "$.status") == "read_from_runs"
@@ -243,7 +245,15 @@ def _fitted(spark, d, classifier):
     return M.evaluate(T.score(model, test), label="is_anomaly")
 
 
-@CASES.add("anomaly_feature_vectors", "M6")
+def _kinds(source: str, method: str) -> str:
+    """Values of the categorical features; each has one vector slot."""
+    return (f"(SELECT count(DISTINCT service) + count(DISTINCT log_file) + count(DISTINCT log_level) "
+            f"+ count(DISTINCT coalesce(http_method, '{method}')) + count(DISTINCT response_category) FROM {source})")
+
+
+@CASES.add("anomaly_feature_vectors", "M6", over_silver(f"""
+SELECT CAST({len(C.ANOMALY_NUMERIC_FEATURES)} + {_kinds('silver SEMI JOIN balanced USING (event_id)', 'NO_HTTP')} AS INTEGER)
+       AS vector_size, count(*) AS "rows" FROM silver WHERE {_fraction(42)} >= 0.8""", _BALANCED))
 def anomaly_feature_vectors(spark, d):
     from pyspark.ml.functions import vector_to_array
 
@@ -252,7 +262,10 @@ def anomaly_feature_vectors(spark, d):
     return vectors.groupBy(F.size(vector_to_array("features")).alias("vector_size")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@CASES.add("health_feature_vectors", "M6")
+@CASES.add("health_feature_vectors", "M6", over_silver(f"""
+SELECT CAST({len(C.HEALTH_NUMERIC_FEATURES)} + {_kinds(f"health WHERE service_health <> 'Critical' AND {_fraction(42)} < 0.8", C.HEALTH_MARKER)}
+            AS INTEGER) AS vector_size, count(*) AS "rows"
+FROM health WHERE service_health <> 'Critical' AND {_fraction(42)} >= 0.8""", _HEALTH))
 def health_feature_vectors(spark, d):
     from pyspark.ml.functions import vector_to_array
 
