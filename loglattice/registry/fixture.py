@@ -51,8 +51,18 @@ FROM {labels} WHERE toxic = 1
 """
 
 
+# declared, so that opening a table runs no job to look at its files
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = pin(spark).read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
