@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +45,11 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a local one is made only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share: spark.checkpoint.dir, or one inside the warehouse if it is unset."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loglattice-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
