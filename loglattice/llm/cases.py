@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import chat, linededup, mixing
+from loglattice.llm import chat, linededup, mixing, substrings
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -50,3 +50,9 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     out = linededup.drop_boilerplate(docs)
     return out.select("row.doc_id", "row.source", F.col("kept").alias("text"), "n_lines", "n_dropped")
+
+
+@CASES.add("op7_substring_dedup", "substring dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
