@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import chat, linededup, minhash, mixing, substrings
+from loglattice.llm import chat, licenses, linededup, minhash, mixing, substrings
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -61,3 +61,25 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CASES.add("op9_minhash_near_dedup", "MinHash near-dedup")
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@CASES.add("op1_license_scan", "license scans")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+    def labels(found):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["label"]))), ",")
+
+    starts = F.transform("phrases", lambda m: m["start"])
+    every = F.concat("phrases", "notices")
+    best = F.array_max(F.transform(every, lambda m: m["share"]))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(F.col("phrases")).alias("base_labels"),
+        labels(every).alias("labels"),
+        F.coalesce(best, F.lit(0.0)).alias("score"),
+    )
