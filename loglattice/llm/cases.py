@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import chat, licenses, linededup, minhash, mixing, substrings
+from loglattice.llm import chat, langid, licenses, linededup, minhash, mixing, substrings
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -83,3 +83,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels(every).alias("labels"),
         F.coalesce(best, F.lit(0.0)).alias("score"),
     )
+
+
+@CASES.add("op4_language_id", "language ID")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, ~langid.held_out())
+    out = langid.predict(docs, model, carry=["doc_id"])
+    return out.select(
+        "row.doc_id",
+        F.coalesce(langid.held_out("row.doc_id"), F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
