@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import chat, langid, licenses, linededup, minhash, mixing, substrings
+from loglattice.llm import chat, langid, licenses, linededup, minhash, mixing, pieces, substrings
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -96,3 +96,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred",
         "score",
     )
+
+
+@CASES.add("op6_sentencepiece", "SentencePiece encoding and decoding")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    out = pieces.encode_texts(docs, carry=["doc_id", "digest"])
+    same = F.col("decoded").isNull() | (F.xxhash64("decoded") == F.col("row.digest"))
+    return out.select(
+        "row.doc_id",
+        "ids",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        "n_bytes",
+        same.alias("round_trip"),
+    )
