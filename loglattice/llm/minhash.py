@@ -8,10 +8,12 @@ in a coordinate with a chance equal to their weighted Jaccard similarity, and th
 shingle plus t darts.
 
 Documents with equal shingles collapse to a class first, so copies are never paired. In each bucket of a band
-every class is compared with the bucket's smallest class; once those links are joined up, classes of a bucket
-that are still apart are compared with each other. A pair that is already connected is thus not written,
-and no link between different texts is left out for being in a large bucket. Similarities are verified
-exactly on the whole texts. 16 bands of 4 find a pair at similarity 0.8 with a chance of 0.9998.
+every class is compared with the bucket's smallest class. Once those links are joined up, the classes of a
+bucket that are still apart are compared inside the task that holds them, a large bucket in pairs of blocks;
+a pair met in several bands is compared in the first. Pairs are never written, only links, and no link
+between different texts is left out for being in a large bucket. Similarities are verified exactly on the
+whole texts. 16 bands of 4 find a pair at similarity 0.8 with a chance of 0.9998; classes that agree in fewer
+than 36 of 64 coordinates are not compared in the second step, which at 0.8 has a chance of about 0.00001.
 
 Defined results: words are what stands between white space, unchanged; a text of one to four words is one
 shingle; null and empty texts and texts of white space have none and are classes of their own; a null id
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglattice.llm import tokens
+from loglattice.llm.blocks import in_blocks, sides
 from loglattice.llm.components import connected_components
 from loglattice.session import cut_lineage
 
@@ -37,6 +40,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 COORDINATES = 64
 BAND_ROWS = 4
+# Classes that agree in a smaller share of the coordinates are not compared in the second step.
+LEAST_AGREEMENT = 36 / 64
 FINEST = 8  # the first tile of the rank axis ends at 2^-FINEST
 LAST = np.iinfo(np.int64).max
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -159,12 +164,14 @@ def _sign(size: int, k: int, rows: int):
                     np.cumsum(tokens.mix(elements + STEP), out=sums[1, 1:])
                     edge = np.r_[0, np.cumsum(total)]
                     d1, d2 = sums[:, edge[1:]] - sums[:, edge[:-1]]
-                keys = band_keys(dart_signatures(of, elements, n, k), rows)
+                signature = dart_signatures(of, elements, n, k)
+                keys = band_keys(signature, rows)
+                sketch = (tokens.mix(signature) & np.uint64(255)).astype(np.uint8)
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").slice(i, n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                     pa.array(total.astype(np.int64)), bands.cast(pa.list_(pa.int64()))],
-                    names=["key", "d1", "d2", "total", "bands"],
+                     pa.array(total.astype(np.int64)), bands.cast(pa.list_(pa.int64())), pa.array([r.tobytes() for r in sketch])],
+                    names=["key", "d1", "d2", "total", "bands", "sketch"],
                 )
 
     return run
@@ -200,6 +207,70 @@ def _verify(size: int, threshold: float):
     return run
 
 
+def _matrix(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+    """Lists or binaries of one length as the rows of a matrix."""
+    rows = column.to_pylist()
+    if rows and isinstance(rows[0], bytes):
+        return np.frombuffer(b"".join(rows), dtype).reshape(len(rows), -1)
+    return np.array(rows, dtype).reshape(len(rows), -1)
+
+
+def _hopeful(table: pa.Table, least: float, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, across two blocks of a bucket, that are apart, may be similar and first meet in this band."""
+    left, right = sides(table.column("own").to_numpy(), table.column("low")[0].as_py(), table.column("high")[0].as_py())
+    sketch, bands = _matrix(table.column("sketch"), np.uint8), _matrix(table.column("bands"), np.int64)
+    total, part = table.column("total").to_numpy(), table.column("part").to_numpy()
+    rep, band = table.column("rep").to_numpy(), table.column("band")[0].as_py()
+    a, b = [], []
+    for i in left.tolist():
+        j = right[rep[right] > rep[i]] if left is right else right
+        j = j[part[j] != part[i]]
+        j = j[np.minimum(total[j], total[i]) >= threshold * np.maximum(total[j], total[i]) - 1e-9]
+        j = j[(sketch[j] == sketch[i]).sum(axis=1) >= least * sketch.shape[1]]
+        j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
+        a.append(np.full(len(j), i))
+        b.append(j)
+    none = np.empty(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def _near_misses(least: float, threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _hopeful(table, least, threshold)
+        return table.select(["band", "value", "rep"]).take(pa.array(np.union1d(a, b)))
+
+    return run
+
+
+def _compare(size: int, least: float, threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _hopeful(table, least, threshold)
+        text = table.column("text").combine_chunks()
+        text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+        buf, offsets = tokens.text_bytes(text)
+        of, elements = Shingler(size)(buf, offsets)
+        order = np.lexsort((elements, of))
+        elements = elements[order]
+        count = np.bincount(of, minlength=len(text))
+        begin = np.cumsum(count) - count
+        sets = [elements[x : x + n] for x, n in zip(begin.tolist(), count.tolist(), strict=True)]
+        near = np.zeros(len(a), bool)
+        # Pairs come in the order of their first row, whose marks serve all its partners.
+        for first in np.unique(a).tolist():
+            mine = np.flatnonzero(a == first) if len(a) < 1000 else np.arange(*np.searchsorted(a, [first, first + 1]))
+            partners = [sets[x] for x in b[mine].tolist()]
+            flat, own = np.concatenate(partners), sets[first]
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            held = np.r_[0, np.cumsum(own[at] == flat)]
+            edge = np.r_[0, np.cumsum([len(p) for p in partners])]
+            both = held[edge[1:]] - held[edge[:-1]]
+            near[mine] = both >= (threshold - 1e-12) * (len(own) + np.diff(edge) - both)
+        rep = table.column("rep").to_numpy()
+        return pa.table({"a": rep[a[near]], "b": rep[b[near]]})
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
     threshold: float = THRESHOLD, k: int = COORDINATES, rows: int = BAND_ROWS,
@@ -210,11 +281,11 @@ def near_duplicates(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("key"),
         F.col(text).alias("text"),
     )
-    sign = "key bigint, d1 bigint, d2 bigint, total bigint, bands array<bigint>"
+    sign = "key bigint, d1 bigint, d2 bigint, total bigint, bands array<bigint>, sketch binary"
     signed = cut_lineage(rows_in.select("key", "text").mapInArrow(_sign(size, k, rows), sign))
     some = signed.filter("total > 0")
     classes = some.groupBy("d1", "d2", "total").agg(
-        F.min("key").alias("rep"), F.min_by("bands", "key").alias("bands")
+        F.min("key").alias("rep"), F.min_by("bands", "key").alias("bands"), F.min_by("sketch", "key").alias("sketch")
     )
     classes = cut_lineage(classes)
     buckets = classes.select("rep", "total", F.posexplode("bands").alias("band", "value"))
@@ -243,17 +314,21 @@ def near_duplicates(
         "band", "value", "rep", "total", F.coalesce("component", "rep").alias("part")
     )
     apart = placed.groupBy("band", "value").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    open_ = cut_lineage(placed.join(apart.filter("low < high").select("band", "value"), ["band", "value"]))
-    x = open_.select("band", "value", F.col("rep").alias("a"), F.col("total").alias("total_a"), F.col("part").alias("part_a"))
-    y = open_.select("band", "value", F.col("rep").alias("b"), F.col("total").alias("total_b"), F.col("part").alias("part_b"))
-    rest = (
-        x.join(y, ["band", "value"])
-        .filter((F.col("part_a") < F.col("part_b")) & near("total_a", "total_b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    still = placed.join(apart.filter("low < high").select("band", "value"), ["band", "value"])
+    bucket = ["band", "value"]
+    pair_of_blocks = [*bucket, "low", "high"]
+    marks = classes.select("rep", "bands", "sketch")
+    still = cut_lineage(still.join(marks, "rep").select(*bucket, "rep", "total", "part", "bands", "sketch"))
+    misses = cut_lineage(
+        in_blocks(still, bucket, "rep").groupBy(*pair_of_blocks)
+        .applyInArrow(_near_misses(LEAST_AGREEMENT, threshold), "band int, value bigint, rep bigint")
         .distinct()
-        .join(led.select(F.col("leader").alias("a"), F.col("rep").alias("b")), ["a", "b"], "left_anti")
     )
-    second = verified(rest)
+    close = still.join(misses, [*bucket, "rep"]).join(texts.withColumnRenamed("key", "rep"), "rep")
+    second = cut_lineage(
+        in_blocks(close, bucket, "rep").groupBy(*pair_of_blocks)
+        .applyInArrow(_compare(size, LEAST_AGREEMENT, threshold), "a bigint, b bigint")
+    )
     whole = connected_components(first.union(second))
     named = classes.select("d1", "d2", "total", "rep").join(
         whole.select(F.col("node").alias("rep"), "component"), "rep", "left"
