@@ -58,15 +58,15 @@ class DoubleArray:
         free = np.ones(size, bool)
         free[0] = False
         place = {0: 0}
-        low, queue = 1, [0]
+        low, recent, queue = 256, 256, [0]
         for node in queue:
             kids = np.array(sorted(children[node]), np.int64)
             if not len(kids):
                 continue
-            # The first place in the next stretch of slots where all children find a free one.
-            reach = 1 if len(kids) == 1 else 256
+            # An only child fills the first hole; others look near the last such node.
+            begin, reach = (low, 1) if len(kids) == 1 else (max(low, recent - 512), 1024)
             while True:
-                spots = low + np.flatnonzero(free[low : low + reach])
+                spots = begin + np.flatnonzero(free[begin : begin + reach])
                 fits = spots[(spots >= kids[0]) & (spots - kids[0] + 256 <= size)] - kids[0]
                 for c in kids[1:].tolist():
                     fits = fits[free[fits + c]]
@@ -74,6 +74,7 @@ class DoubleArray:
                     break
                 reach *= 4
             base, at = int(fits[0]), place[node]
+            recent = recent if len(kids) == 1 else base + int(kids[0])
             self.base[at] = base
             for c in kids.tolist():
                 child, spot = children[node][c], base + c
