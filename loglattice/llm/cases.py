@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import chat, langid, licenses, linededup, minhash, mixing, pieces, substrings
+from loglattice.llm import bitslice, chat, langid, lattice, licenses, linededup, minhash, mixing, pieces, substrings
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -110,3 +110,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_bytes",
         same.alias("round_trip"),
     )
+
+
+@CASES.add("op8_embedding_near_dedup", "embedding near-dedup")
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@CASES.add("op10_top_k_search", "exact top-k search", bitslice.OP10_SQL)
+def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
