@@ -3,8 +3,8 @@
 Each task hashes all windows of its documents. A window that repeats among them goes on only for the
 smallest document id; the larger ones are removed there and then, so a window that a third of all documents
 share costs one entry per task. What is left is packed by hash bucket, and each bucket finds the windows
-that also start in a document with a smaller id. Positions return to their document, where overlapping
-windows merge into maximal removal intervals.
+that also start in a document with a smaller id. Positions return, packed by group of documents, to their
+document, where overlapping windows merge into maximal removal intervals.
 
 The number of buckets follows the size of the text, so a bucket holds about the same number of windows at
 any scale. A bucket number and 56 further bits identify a window. Two different windows meet in a bucket
@@ -29,11 +29,12 @@ from loglattice.llm import tokens
 
 WINDOW = 50
 BUCKET_BYTES = 12_000_000
+GROUP_DOCS = 2000
 FLUSH_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 
-PACKED = "bucket int, kind byte, key bigint, tag int, hashes binary, refs binary"
-FOUND = "key bigint, tag int, places binary"
+PACKED = "bucket int, team int, hashes binary, refs binary"
+FOUND = "team int, removed binary"
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -51,20 +52,36 @@ def _deltas(values: np.ndarray, dtype: str) -> np.ndarray:
     return out
 
 
-def _places(positions: np.ndarray) -> bytes:
-    narrow = len(positions) and positions[-1] < 65536
-    return (b"\2" if narrow else b"\4") + positions.astype("<u2" if narrow else "<u4").tobytes()
+def _pack_places(key: np.ndarray, tag: np.ndarray, place: np.ndarray) -> bytes:
+    """Removed windows as (document key, tag, first word), packed."""
+    raw = len(key).to_bytes(4, "little") + _planes(_deltas(key, "<i8")) + _planes(tag.astype("<u2")) + _planes(place.astype("<u4"))
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
-def _read_places(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, "<u2" if blob[:1] == b"\2" else "<u4", offset=1)
+def _read_places(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int.from_bytes(raw[:4], "little")
+    key = np.cumsum(_from_planes(raw[4 : 4 + 8 * n], "<i8", n))
+    return key, _from_planes(raw[4 + 8 * n : 4 + 10 * n], "<u2", n), _from_planes(raw[4 + 10 * n :], "<u4", n)
+
+
+def _teams(key: np.ndarray, teams: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (tokens.mix(key.view(np.uint64)) % np.uint64(teams)).astype(np.int32)
+
+
+def _by_team(key: np.ndarray, tag: np.ndarray, place: np.ndarray, teams: int) -> Iterator[tuple[int, bytes]]:
+    team = _teams(key, teams)
+    order = np.lexsort((place, tag, key, team))
+    for part in np.split(order, np.flatnonzero(np.diff(team[order])) + 1) if len(order) else []:
+        yield int(team[part[0]]), _pack_places(key[part], tag[part], place[part])
 
 
 class _Flush:
     """The windows of some documents, cleared of repeats among them and packed by bucket."""
 
-    def __init__(self, window: int, buckets: int):
-        self.window, self.buckets = window, buckets
+    def __init__(self, window: int, buckets: int, teams: int):
+        self.window, self.buckets, self.teams = window, buckets, teams
         self.hasher, self.first, self.second = tokens.WordHasher(11), tokens.Roller(21), tokens.Roller(22)
         self.clear()
 
@@ -114,14 +131,12 @@ class _Flush:
                 + _planes(tags[here].astype("<u2")) + _planes(count.astype("<u4"))
             )
             packed = hashes[part].view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-            rows.append((int(bucket[part[0]]), 0, None, None, packed, refs))
+            rows.append((int(bucket[part[0]]), None, packed, refs))
         # What was removed here passes through some bucket on its way to its document.
-        gone = np.sort(gone)
-        for part in np.split(gone, np.flatnonzero(np.diff(doc[gone])) + 1) if len(gone) else []:
-            d = doc[part[0]]
-            rows.append((int(bucket[part[0]]), 1, int(keys[d]), int(tags[d]), None, _places(place[part])))
-        kinds = (pa.int32(), pa.int8(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-        names = ["bucket", "kind", "key", "tag", "hashes", "refs"]
+        d = doc[gone]
+        rows += [(t % self.buckets, t, None, blob) for t, blob in _by_team(keys[d], tags[d], place[gone], self.teams)]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        names = ["bucket", "team", "hashes", "refs"]
         for i in range(0, len(rows), 200):
             cols = zip(*rows[i : i + 200], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
@@ -141,9 +156,9 @@ def _larger(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return at[keys[at] > np.repeat(least, np.diff(np.r_[begins, len(at)]))]
 
 
-def _pack(window: int, buckets: int):
+def _pack(window: int, buckets: int, teams: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flush = _Flush(window, buckets)
+        flush = _Flush(window, buckets, teams)
         for batch in batches:
             buf, offsets = tokens.text_bytes(batch.column("text"))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
@@ -176,65 +191,71 @@ def _unpack(hashes: bytes, refs: bytes) -> tuple[np.ndarray, ...]:
     return wide.reshape(-1).view("<u8"), np.repeat(keys, count), np.repeat(tags, count), place
 
 
-def _match(table: pa.Table) -> pa.Table:
-    """Windows of one bucket that also start in a document with a smaller id."""
-    kinds = table.column("kind").to_numpy()
-    hashes, refs = table.column("hashes"), table.column("refs")
-    out: list[tuple[int, int, bytes]] = [
-        (table.column("key")[i].as_py(), table.column("tag")[i].as_py(), refs[i].as_py())
-        for i in np.flatnonzero(kinds == 1).tolist()
-    ]
-    parts = [_unpack(hashes[i].as_py(), refs[i].as_py()) for i in np.flatnonzero(kinds == 0).tolist()]
-    if parts:
-        h, key, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h)
-        gone = order[_larger(h[order], key[order])]
-        gone = gone[np.lexsort((place[gone], tag[gone], key[gone]))]
-        k, t = key[gone], tag[gone]
-        for part in np.split(gone, np.flatnonzero((k[1:] != k[:-1]) | (t[1:] != t[:-1])) + 1) if len(gone) else []:
-            out.append((int(key[part[0]]), int(tag[part[0]]), _places(place[part])))
-    cols = list(zip(*out, strict=True)) or [(), (), ()]
-    return pa.table(
-        {"key": pa.array(cols[0], pa.int64()), "tag": pa.array(cols[1], pa.int32()), "places": pa.array(cols[2], pa.binary())}
-    )
+def _match(teams: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Windows of one bucket that also start in a document with a smaller id."""
+        done = table.filter(table.column("hashes").is_null())
+        parts = [
+            _unpack(h.as_py(), r.as_py()) for h, r in zip(table.column("hashes"), table.column("refs"), strict=True) if h.is_valid
+        ]
+        found = list(zip(done.column("team").to_pylist(), done.column("refs").to_pylist(), strict=True))
+        if parts:
+            h, key, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h)
+            gone = order[_larger(h[order], key[order])]
+            found += _by_team(key[gone], tag[gone], place[gone], teams)
+        cols = list(zip(*found, strict=True)) or [(), ()]
+        return pa.table({"team": pa.array(cols[0], pa.int32()), "removed": pa.array(cols[1], pa.binary())})
+
+    return run
 
 
-def covered(n_words: int, places: list[bytes], window: int) -> np.ndarray:
+def covered(n_words: int, places: np.ndarray, window: int) -> np.ndarray:
     """True for every word inside a removed window; touching windows merge into one interval."""
     edge = np.zeros(n_words + 1, np.int32)
-    starts = np.unique(np.concatenate([_read_places(p) for p in places]).astype(np.int64))
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + window, -1)
+    starts = np.unique(places.astype(np.int64))
+    edge[starts] += 1
+    edge[starts + window] -= 1
     return np.cumsum(edge)[:n_words] > 0
 
 
-def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        small = [squeeze.compress(x.encode()) if x is not None else None for x in batch.column("text").to_pylist()]
-        i = batch.schema.get_field_index("text")
-        yield batch.set_column(i, "text", pa.array(small, pa.binary()))
+def _squeeze(teams: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            small = [squeeze.compress(x.encode()) if x is not None else None for x in batch.column("text").to_pylist()]
+            i = batch.schema.get_field_index("text")
+            team = pa.array(_teams(batch.column("key").to_numpy(zero_copy_only=False), teams))
+            yield batch.set_column(i, "text", pa.array(small, pa.binary())).append_column("team", team)
+
+    return run
 
 
 def _apply(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         widen = zstandard.ZstdDecompressor()
-        for batch in batches:
-            totals, removed, kept = [], [], []
-            for small, places in zip(batch.column("text"), batch.column("places"), strict=True):
-                words = widen.decompress(small.as_py()).split() if small.is_valid else []
-                totals.append(len(words))
-                if places.is_valid and words:
-                    out = covered(len(words), places.as_py(), window)
-                    removed.append(int(out.sum()))
-                    words = [words[i] for i in np.flatnonzero(~out).tolist()]
-                else:
-                    removed.append(0)
-                kept.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
+        parts = [_read_places(b.as_py()) for b in found.column("removed")]
+        none = np.empty(0, np.int64)
+        key, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none, none, none)
+        order = np.lexsort((tag, key))
+        key, tag, place = key[order], tag[order].astype(np.int64), place[order]
+        totals, removed, kept = [], [], []
+        for k, t, small in zip(docs.column("key").to_pylist(), docs.column("tag").to_pylist(), docs.column("text"), strict=True):
+            words = widen.decompress(small.as_py()).split() if small.is_valid else []
+            low, high = np.searchsorted(key, [k, k + 1]) if k < LAST else (np.searchsorted(key, k), len(key))
+            mine = place[low:high][tag[low:high] == t]
+            totals.append(len(words))
+            if len(mine):
+                out = covered(len(words), mine, window)
+                removed.append(int(out.sum()))
+                words = [words[i] for i in np.flatnonzero(~out).tolist()]
+            else:
+                removed.append(0)
+            kept.append(b" ".join(words).decode())
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "n_words": pa.array(totals, pa.int64()),
+            "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string()),
+        })
 
     return run
 
@@ -249,12 +270,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.pmod(F.xxhash64(F.col(text)), F.lit(65536)).cast("int").alias("tag"),
         F.col(text).alias("text"),
     )
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(-(-total // BUCKET_BYTES), 2 * width)
-    packed = rows.select("key", "tag", "text").mapInArrow(_pack(window, buckets), PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_match, FOUND)
-    by_doc = found.groupBy("key", "tag").agg(F.collect_list("places").alias("places"))
-    small = rows.mapInArrow(_squeeze, "doc_id bigint, key bigint, tag int, text binary")
-    joined = small.join(by_doc, ["key", "tag"], "left").select("doc_id", "text", "places")
-    return joined.mapInArrow(_apply(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    buckets = max(-(-(size[0] or 0) // BUCKET_BYTES), 2 * width)
+    teams = max(-(-size[1] // GROUP_DOCS), 4 * width)
+    packed = rows.select("key", "tag", "text").mapInArrow(_pack(window, buckets, teams), PACKED)
+    found = packed.groupBy("bucket").applyInArrow(_match(teams), FOUND)
+    small = rows.mapInArrow(_squeeze(teams), "doc_id bigint, key bigint, tag int, text binary, team int")
+    return small.groupBy("team").cogroup(found.groupBy("team")).applyInArrow(
+        _apply(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    )
