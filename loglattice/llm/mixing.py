@@ -101,7 +101,7 @@ def balanced_rates(hist: DataFrame, targets: DataFrame, cap: float = CAP) -> Dat
     """Rows (src, size, n, source_size, target, rate) by Newton steps on the dual of all sources at once."""
     h = hist.withColumnRenamed("src", "hist_src")
     same = F.col("hist_src").eqNullSafe(F.col("src"))
-    scale = h.groupBy("hist_src").agg(
+    scale = h.filter("size > 0").groupBy("hist_src").agg(
         (_exact(F.col("n") * F.col("size").cast("double") * F.col("size")) / _exact(F.col("n") * F.col("size"))).alias("scale")
     )
     t = targets.join(scale, same, "left").drop("hist_src").filter(F.col("target") > 0)
