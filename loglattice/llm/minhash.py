@@ -17,8 +17,8 @@ than 36 of 64 coordinates are not compared in the second step, which at 0.8 has
 
 Defined results: words are what stands between white space, unchanged; a text of one to four words is one
 shingle; null and empty texts and texts of white space have none and are classes of their own; a null id
-counts as the largest id; rows that share an id share a class; an empty table gives an empty result. Other
-columns are ignored.
+counts as the largest id; rows that share an id are placed each by its own text, and texts whose smallest id is
+the same share a class; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
