@@ -78,3 +78,12 @@ NUMBER = r"\d[\d,]*\.?\d*"
 SEED = 42
 TRAIN_PERCENT = 80
 MAJORITY_PER_MINORITY = 5
+
+# The parameter grids of the health model search.
+SEARCH_GRIDS = {
+    "logistic_regression": {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
+    "decision_tree": {"maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 5, 10]},
+    "random_forest": {"numTrees": [50, 100], "maxDepth": [5, 10]},
+}
+# A search fits every grid point on every fold, so its training rows are bounded.
+SEARCH_ROWS = 20_000

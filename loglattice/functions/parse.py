@@ -1,8 +1,8 @@
 """Raw log line to event, as Column expressions.
 
 Each pattern runs once per line: ``regexp_replace`` rewrites a matching line into a separator
-followed by its groups, and ``split`` turns that into an array. A stripped text never starts with
-the separator, so an empty element before others means the pattern matched. The arrays sit in their own
+followed by its groups, and ``split`` turns that into an array. A full count of
+elements after an empty one means the pattern matched. The arrays sit in their own
 projection so that the optimizer keeps them as one evaluation instead of one per field.
 """
 
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loglattice import constants as C
 from loglattice.schemas import EVENT
 
-_SEPARATOR = "\n"
+# A control character that log text does not hold; a line feed can stand inside a context or message.
+_SEPARATOR = "\x01"
 # groups of each pattern, by output position; the file is one of two groups
 _HEADER_FORM = ["$1$2", "$3", "$4", "$5", "$6", "$7", "$8"]
 _HTTP_FORM = ["$1", "$2", "$3", "$4", "$5"]
@@ -29,8 +30,8 @@ def _groups(text: Column, pattern: str, form: list[str]) -> Column:
     return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(template)), _SEPARATOR, len(form) + 1)
 
 
-def matched(groups: Column) -> Column:
-    return (F.size(groups) > 1) & (F.get(groups, F.lit(0)) == "")
+def matched(groups: Column, form: list[str]) -> Column:
+    return (F.size(groups) == len(form) + 1) & (F.get(groups, F.lit(0)) == "")
 
 
 def _filled(groups: Column, index: int) -> Column:
@@ -58,7 +59,7 @@ def headers_of(df: DataFrame, line: str = "value", compat: bool = False) -> Data
     which a filter pushed below the projection would.
     """
     tried = df.withColumn("_tried", parse_header(F.col(line), compat))
-    found = F.when(matched(F.col("_tried")), F.array("_tried"))
+    found = F.when(matched(F.col("_tried"), _HEADER_FORM), F.array("_tried"))
     return tried.select(*df.columns, F.explode(found).alias("_header"))
 
 
@@ -106,25 +107,53 @@ def drop_unparsed(df: DataFrame, line: str = "value", compat: bool = False) -> D
     return df.where(has_header(F.col(line), compat))
 
 
+def as_uuid(text: Column) -> Column:
+    """A digest of the text in the shape of a UUID."""
+    digest = F.sha2(text, 256)
+    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def _joined(columns: list[str]) -> Column:
+    return F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
+def with_occurrence(df: DataFrame) -> DataFrame:
+    """Add ``_occurrence``, which numbers equal rows from 0.
+
+    Only digests are counted. Rows that do not repeat pass as they are; of equal rows one is taken and
+    copied, so a line that makes up much of a file meets in no task.
+    """
+    keyed = df.withColumn("_digest", F.sha2(_joined(df.columns), 256))
+    repeated = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    flagged = keyed.join(repeated, "_digest", "left")
+    single = flagged.where(F.col("_copies").isNull()).withColumn("_occurrence", F.lit(0).cast("long"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)
+    copied = flagged.where(F.col("_copies").isNotNull()).dropDuplicates(["_digest"]).withColumn("_occurrence", F.explode(numbers))
+    return single.unionByName(copied).drop("_digest", "_copies")
+
+
 def with_identity(df: DataFrame, by: list[str] | None = None, mode: str = "auto") -> DataFrame:
-    """Add ``event_id`` and the constant data set name.
+    """Add ``event_id``, shaped like a UUID, and the constant data set name.
 
     ``by`` names the columns that identify an event, such as topic, partition and offset. Without
-    it, ``auto`` uses Kafka coordinates when they are there, else the line's position in its input
-    split (two equal lines stay two events), or, on a stream, the content. All of these give the
-    same id again when a lost task is rerun. ``random`` gives a new UUID on every evaluation.
+    it, ``auto`` uses Kafka coordinates when they are there, else the row's content (a line and its file)
+    and its number among equal rows, which does not depend on how the input is split. A stream cannot number
+    rows; parse its files inside ``foreachBatch``, where each file is whole and gets the same ids.
+    ``content`` gives equal rows one id, and ``random`` a new UUID on every evaluation.
     """
+    named = {"dataset_source": F.lit(C.DATASET_SOURCE)}
     if mode == "random":
-        identity = F.expr("uuid()")
-    else:
-        coordinates = ["kafka_topic", "kafka_partition", "kafka_offset"]
-        if not by and set(coordinates) <= set(df.columns):
-            by = coordinates
-        keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (by or df.columns)]
-        if not by and not df.isStreaming and mode != "content":
-            keys.append(F.monotonically_increasing_id().cast("string"))
-        identity = F.sha2(F.concat_ws("\x01", *keys), 256)
-    return df.withColumns({"event_id": identity, "dataset_source": F.lit(C.DATASET_SOURCE)})
+        return df.withColumns({"event_id": F.expr("uuid()"), **named})
+    coordinates = ["kafka_topic", "kafka_partition", "kafka_offset"]
+    if not by and set(coordinates) <= set(df.columns):
+        by = coordinates
+    if by or mode == "content":
+        return df.withColumns({"event_id": as_uuid(_joined(by or df.columns)), **named})
+    if df.isStreaming:
+        raise ValueError("a stream of lines without identifying columns must be parsed inside foreachBatch")
+    counted = with_occurrence(df)
+    identity = as_uuid(_joined([*df.columns, "_occurrence"]))
+    return counted.withColumns({"event_id": identity, **named}).drop("_occurrence")
 
 
 def parse_lines(
@@ -150,7 +179,7 @@ def parse_lines(
     shaped = opened.withColumn("_http", parse_http(F.col("_rest")))
 
     http, rest = F.col("_http"), F.col("_rest")
-    is_http = F.coalesce(matched(http), F.lit(False))
+    is_http = F.coalesce(matched(http, _HTTP_FORM), F.lit(False))
     request, user, project = parse_context(F.col("_context"))
     columns = {
         "timestamp": F.get(header, F.lit(2)),

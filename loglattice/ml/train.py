@@ -52,15 +52,17 @@ def score(model: Model, df: DataFrame) -> DataFrame:
 def parameter_grid(name: str, classifier) -> list:
     """The grids searched by default: 6, 9 and 4 combinations."""
     grid = ParamGridBuilder()
-    if name == "logistic_regression":
-        grid = grid.addGrid(classifier.regParam, [0.01, 0.1, 1.0]).addGrid(classifier.elasticNetParam, [0.0, 0.5])
-    elif name == "decision_tree":
-        grid = grid.addGrid(classifier.maxDepth, [5, 10, 15]).addGrid(classifier.minInstancesPerNode, [1, 5, 10])
-    else:
-        grid = grid.addGrid(classifier.numTrees, [50, 100]).addGrid(classifier.maxDepth, [5, 10])
+    for parameter, values in C.SEARCH_GRIDS[name].items():
+        grid = grid.addGrid(classifier.getParam(parameter), values)
     return grid.build()
 
 
+def bounded(rows: DataFrame, most: int = C.SEARCH_ROWS, by: str = "event_id") -> DataFrame:
+    """About ``most`` rows for a search, chosen by a hash of their id; all of them if there are no more."""
+    share = min(1.0, most / max(rows.count(), 1))
+    return rows if share == 1.0 else rows.where(F.pmod(F.xxhash64(F.col(by)), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
 def select_model(
     name: str,
     train_features: DataFrame,

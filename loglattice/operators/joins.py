@@ -5,34 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from loglattice.functions import scalars as S
-from loglattice.session import fits_broadcast
 
 
 def attach_labels(
-    events: DataFrame,
-    labels: DataFrame,
-    salts: int = 64,
-    spread_by: str = "event_id",
-    broadcast: bool | None = None,
+    events: DataFrame, labels: DataFrame, spread_by: str = "event_id", hint: str | None = None
 ) -> DataFrame:
     """Add ``is_anomaly``: 1 where the event's instance is in the label list, else 0.
 
-    Labels are made distinct first, so they cannot multiply events. A label list under the
-    session's broadcast threshold is broadcast. A larger one is joined on (instance, salt): events
-    of one busy instance go to ``salts`` tasks, and events without an instance, which can match
-    nothing, are spread by their id alone instead of meeting in the task of the NULL key.
+    Labels are made distinct first, so they cannot multiply events. The planner and AQE choose how to
+    join and split a busy instance; ``hint`` is for forcing a strategy. Events without an instance match
+    nothing, so they are spread by their id instead of meeting in the task of the NULL key.
     """
-    flags = labels.select("instance_id").where(F.col("instance_id").isNotNull()).distinct()
+    flags = labels.where(F.col("instance_id").isNotNull()).select(F.col("instance_id").alias("_instance")).distinct()
     flags = flags.withColumn("is_anomaly", F.lit(1))
+    flags = flags.hint(hint) if hint else flags
     kept = [c for c in events.columns if c != "is_anomaly"]
-    if fits_broadcast(labels) if broadcast is None else broadcast:
-        joined = events.select(*kept).join(F.broadcast(flags), "instance_id", "left")
-    else:
-        spread = F.xxhash64(spread_by)
-        salt = F.when(F.col("instance_id").isNull(), spread).otherwise(F.pmod(spread, F.lit(salts)))
-        copies = flags.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        joined = events.select(*kept, salt.alias("_salt")).join(copies, ["instance_id", "_salt"], "left")
-    return fill_label(joined.select(*kept, "is_anomaly"))
+    apart = F.concat(F.lit("\x01"), F.xxhash64(spread_by).cast("string"))
+    keyed = events.select(*kept, F.coalesce("instance_id", apart).alias("_instance"))
+    return fill_label(keyed.join(flags, "_instance", "left").select(*kept, "is_anomaly"))
 
 
 def fill_label(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from loglattice import constants as C
 from loglattice.functions import scalars as S
 from loglattice.operators.dedupe import dedupe, dedupe_any
 from loglattice.operators.joins import attach_labels
+from loglattice.sources.decode import split_undecodable
 
 
 def with_event_timestamp(df: DataFrame, source: str = "timestamp") -> DataFrame:
@@ -43,12 +44,18 @@ def enrich(df: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, labels: DataFrame, compat: bool = False) -> DataFrame:
-    """Deduplicate, derive and label. ``compat`` keeps an arbitrary duplicate, lets undecodable
+    """Deduplicate, derive and label. Rows without an id come from ``silver_and_quarantine``. ``compat`` keeps an arbitrary duplicate, lets undecodable
     rows collapse into one, and calls an unmeasured latency Slow."""
     unique = dedupe_any(bronze) if compat else dedupe(bronze)
     return attach_labels(enrich(unique, compat), labels)
 
 
+def silver_and_quarantine(bronze: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Silver, and the rows it cannot hold because they have no id."""
+    good, bad = split_undecodable(bronze)
+    return build_silver(good, labels), bad
+
+
 def feature_time(df: DataFrame, ts: str = "event_timestamp", compat: bool = False) -> DataFrame:
     """Hour, day, month, weekday and weekend flag. ``compat`` copies the hour into all four parts."""
     parts = {

@@ -10,6 +10,7 @@ from loglattice.registry import (
     silver_cases,
     storage_cases,
     stream_cases,
+    upkeep_cases,
 )
 from loglattice.registry.case import Case
 
@@ -23,6 +24,7 @@ CASES: list[Case] = [
     *insight_cases.CASES,
     *storage_cases.CASES,
     *stream_cases.CASES,
+    *upkeep_cases.CASES,
 ]
 
 assert len({c.name for c in CASES}) == len(CASES), "query names must be unique"

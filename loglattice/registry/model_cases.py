@@ -301,12 +301,8 @@ def health_model_selection(spark, d):
     train, test = health_frames(spark, d)
     stages = prep.feature_pipeline("health").fit(train)
     # every fold and grid point reads these rows again; lost blocks are computed anew
-    train_features = stages.transform(train).select("features", "label", "class_weight").cache()
-    tree = T.decision_tree("label", weight="class_weight")
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, [3, 5]).build()
-    chosen = {"decision_tree": T.select_model("decision_tree", train_features, grid=grid)}
+    train_features = stages.transform(T.bounded(train, by="row_key")).select("features", "label", "class_weight").cache()
+    chosen = {name: T.select_model(name, train_features) for name in T.CLASSIFIERS}
     name, f1, best = T.assemble_best(stages, chosen, stages.transform(test))
     train_features.unpersist()
     scored = M.evaluate(T.score(best, test))

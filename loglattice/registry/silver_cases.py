@@ -289,7 +289,7 @@ def label_join(spark, d):
 @CASES.add("label_join_large_list", "J1", over_silver("SELECT event_id, instance_id, is_anomaly FROM silver"))
 def label_join_large_list(spark, d):
     repeated = labels(spark, d).unionByName(labels(spark, d))
-    joined = J.attach_labels(logs(spark, d), repeated, broadcast=False)
+    joined = J.attach_labels(logs(spark, d), repeated, hint="merge")
     return joined.select("event_id", "instance_id", "is_anomaly")
 
 

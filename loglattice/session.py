@@ -1,4 +1,4 @@
-"""Session set-up and the few planner facts the library asks Spark for."""
+"""Session set-up, and the shared folder for tables that several jobs read."""
 
 from __future__ import annotations
 
@@ -33,17 +33,6 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for a frame; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the planner's own estimate is under the session's broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= planned_bytes(df) <= limit
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or one inside the warehouse if it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

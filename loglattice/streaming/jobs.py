@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,9 +63,9 @@ def session_trend(stream: DataFrame, gap: str = "5 minutes", delay: str = "10 mi
         *[c for c in counted.columns if c != "w"])
 
 
-def label_stream(stream: DataFrame, labels: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def label_stream(stream: DataFrame, labels: DataFrame) -> DataFrame:
     """Stream-static join with the label list; stateless."""
-    return attach_labels(stream, labels, broadcast=broadcast)
+    return attach_labels(stream, labels)
 
 
 def error_alerts(stream: DataFrame, percent: float = C.DEGRADED_BELOW_PERCENT, delay: str = "10 minutes", ts: str = TIME
@@ -79,44 +81,85 @@ def error_alerts(stream: DataFrame, percent: float = C.DEGRADED_BELOW_PERCENT, d
 
 
 def defect() -> Column:
-    """Why a decoded event cannot go to Silver; NULL for a good one."""
+    """Why a decoded event cannot go to Silver; NULL for one that can. Batch Silver has the same gate."""
+    return F.when(F.col("event_id").isNull(), F.lit("undecodable"))
+
+
+def doubt() -> Column:
+    """What is odd about an event that Silver keeps; NULL for a regular one."""
     return (
-        F.when(F.col("event_id").isNull(), F.lit("undecodable"))
-        .when(F.try_to_timestamp("timestamp").isNull(), F.lit("no timestamp"))
+        F.when(F.try_to_timestamp("timestamp").isNull(), F.lit("no timestamp"))
         .when(F.col("service").isNull(), F.lit("no service"))
         .when(~F.coalesce(F.col("log_level").isin(*C.LEVEL_SEVERITY), F.lit(False)), F.lit("unknown level"))
     )
 
 
 def quality_gate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good events, and the rest with their reason."""
+    """Events for Silver, and the rest with their reason."""
     checked = df.withColumn("reason", defect())
     return checked.where(F.col("reason").isNull()).drop("reason"), checked.where(F.col("reason").isNotNull())
 
 
-def silver_writer(labels: DataFrame, silver_path: str, quarantine_path: str) -> Callable[[DataFrame, int], None]:
-    """Batch function for ``foreachBatch``: gate, deduplicate inside the batch, derive, label, write.
+def _stored(spark, path: str, schema: str) -> DataFrame | None:
+    """Some columns of a stored table, or None when there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _append_new(rows: DataFrame, stored: DataFrame | None, keys: list[str], path: str, by: str | None = None) -> None:
+    """Append the rows whose keys are not stored; NULL-safe, so that no coordinate is lost."""
+    if stored is not None:
+        known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+        rows = rows.join(known, same, "left_anti")
+    writer = rows.write.mode("append")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+
+
+COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
+
+
+def silver_writer(
+    labels: DataFrame, silver_path: str, quarantine_path: str, all_dates: bool = True
+) -> Callable[[DataFrame, int], None]:
+    """Batch function for ``foreachBatch``: gate, deduplicate within and across batches, derive, label, append.
 
-    Each batch overwrites its own folder, so a batch that is run again after a failure leaves the
-    same files as one that succeeded at once.
+    Only ids that Silver does not hold yet are appended, whatever the batch number. So a batch that is run
+    again, or a run with a new checkpoint, neither repeats nor loses a row. ``all_dates=False`` compares
+    with the dates of the batch alone, for sources whose repeats carry their first timestamp; the comparison
+    then reads the id column of those partitions only.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
-        good, bad = quality_gate(batch)
-        rows = attach_labels(enrich(dedupe(good)), labels)
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{silver_path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            good, bad = quality_gate(batch)
+            rows = enrich(dedupe(good))
+            stored = _stored(spark, silver_path, "event_id string, event_date date")
+            if stored is not None and not all_dates:
+                dates = [r[0] for r in rows.select("event_date").distinct().collect()]
+                of_batch = F.col("event_date").isin([d for d in dates if d is not None])
+                stored = stored.where(of_batch | F.col("event_date").isNull() if None in dates else of_batch)
+            _append_new(attach_labels(rows, labels), stored, ["event_id"], silver_path, "event_date")
+            keys = [c for c in COORDINATES if c in bad.columns] or [c for c in bad.columns if c != "ingestion_timestamp"]
+            types = ", ".join(f"{k} {bad.schema[k].dataType.simpleString()}" for k in keys)
+            _append_new(bad, _stored(spark, quarantine_path, types), keys, quarantine_path)
+        finally:
+            batch.unpersist()
 
     return write
 
 
 def start_silver(
-    bronze: DataFrame, labels: DataFrame, silver_path: str, quarantine_path: str, checkpoint: str
+    bronze: DataFrame, labels: DataFrame, silver_path: str, quarantine_path: str, checkpoint: str, all_dates: bool = True
 ) -> StreamingQuery:
     """Keep Silver up to date from a stream of decoded events, then stop when it is drained."""
     return (
-        bronze.writeStream.foreachBatch(silver_writer(labels, silver_path, quarantine_path))
+        bronze.writeStream.foreachBatch(silver_writer(labels, silver_path, quarantine_path, all_dates))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

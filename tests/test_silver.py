@@ -90,8 +90,8 @@ def test_dedupe_of_one_hot_id(spark):
 def test_repeated_labels_do_not_multiply_events(spark, events):
     df = events({"instance_id": "i1"}, {"instance_id": "i2"}, {})
     labels = spark.createDataFrame([("i1",), ("i1",), (None,)], "instance_id string")
-    for broadcast in (True, False):
-        out = J.attach_labels(df, labels, broadcast=broadcast)
+    for hint in ("broadcast", "merge"):
+        out = J.attach_labels(df, labels, hint=hint)
         assert sorted((r.event_id, r.is_anomaly) for r in out.collect()) == [("0", 1), ("1", 0), ("2", 0)]
         assert out.columns == [c for c in df.columns if c != "is_anomaly"] + ["is_anomaly"]
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglattice.schemas import LABELS
-from loglattice.session import checkpoint_dir, cut_lineage, fits_broadcast, planned_bytes
+from loglattice.session import checkpoint_dir, cut_lineage
 from loglattice.sinks import tables as W
 from loglattice.sources import readers as R
 from loglattice.sources.decode import encode_series
@@ -62,11 +62,6 @@ def test_ddl_views_and_missing_tables(spark):
     spark.sql("DROP TABLE made_once")
 
 
-def test_broadcast_is_bounded_by_the_plan_size(spark):
-    assert fits_broadcast(spark.range(10)) and not fits_broadcast(spark.range(10**9))
-    assert planned_bytes(spark.range(1000)) == 8000
-
-
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert cut_lineage(spark.range(5)).count() == 5

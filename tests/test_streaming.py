@@ -134,9 +134,10 @@ def test_quality_gate_reasons(spark):
     for fault in faults:
         frame = frame.unionByName(fault)
     kept, rejected = L.quality_gate(frame)
-    assert kept.count() == 1 and kept.columns == good.columns
-    assert sorted(r.reason for r in rejected.collect()) == [
-        "no service", "no timestamp", "undecodable", "unknown level", "unknown level"]
+    assert kept.count() == 5 and kept.columns == good.columns
+    assert [r.reason for r in rejected.collect()] == ["undecodable"]
+    doubts = sorted(str(r[0]) for r in kept.select(L.doubt()).collect())
+    assert doubts == ["None", "no service", "no timestamp", "unknown level", "unknown level"]
 
 
 def test_silver_upkeep_and_a_repeated_batch(spark, tmp_path):
@@ -149,6 +150,11 @@ def test_silver_upkeep_and_a_repeated_batch(spark, tmp_path):
     silver = spark.read.parquet(path("silver"))
     assert silver.count() == 10 and silver.agg(F.sum("is_anomaly")).first()[0] == 4
     assert [r.reason for r in spark.read.parquet(path("bad")).collect()] == ["undecodable"]
-    write = L.silver_writer(labels, path("silver"), path("bad"))
-    write(decode_records(spark.read.parquet(path("in"))), 0)
-    assert spark.read.parquet(path("silver")).count() == 10
+    for all_dates in (True, False):
+        write = L.silver_writer(labels, path("silver"), path("bad"), all_dates)
+        write(decode_records(spark.read.parquet(path("in"))), 0)
+        assert spark.read.parquet(path("silver")).count() == 10
+        assert spark.read.parquet(path("bad")).count() == 1
+    more = decode_records(as_records(spark, make_events(spark, 4, first=8)))
+    write(more, 0)
+    assert spark.read.parquet(path("silver")).count() == 12
