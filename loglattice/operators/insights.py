@@ -24,8 +24,8 @@ SEVERITY_OF_STATUS = {
 TEXT_FIELDS = ["headline", "narrative", "recommended_action"]
 EXPLANATION_FIELDS = ["headline", "what_happened", "why_did_this_happen", "impact", "what_to_check_next"]
 
-OVERVIEW_VIEWS = "vw_service_overview,vw_service_latency"
-ESTATE_VIEWS = "vw_service_overview,vw_log_level,vw_http_status,vw_hourly_trend,vw_topic"
+OVERVIEW_VIEWS = "vw_dash_service_overview,vw_dash_service_latency"
+ESTATE_VIEWS = "vw_dash_service_overview,vw_dash_log_level,vw_dash_http_status,vw_dash_hourly_trend,vw_dash_topic"
 
 
 # ------------------------------------------------------------------ facts

@@ -182,12 +182,12 @@ def dashboard(silver: DataFrame, rollup: DataFrame | None = None) -> dict[str, D
     views = V.dashboard_views(silver)
     if rollup is not None:
         views |= R.views_from_rollup(rollup)
-    overview, latency = views["vw_service_overview"], views["vw_service_latency"]
+    overview, latency = views["vw_dash_service_overview"], views["vw_dash_service_latency"]
     return {
-        "kpis": estate_kpis(overview, views["vw_log_level"], views["vw_http_status"], views["vw_topic"]),
+        "kpis": estate_kpis(overview, views["vw_dash_log_level"], views["vw_dash_http_status"], views["vw_dash_topic"]),
         "services": service_cards(overview, latency),
-        "hourly_trend": hourly_trend(views["vw_hourly_trend"]),
-        "hourly_latency": hourly_latency(views["vw_hourly_latency"]),
+        "hourly_trend": hourly_trend(views["vw_dash_hourly_trend"]),
+        "hourly_latency": hourly_latency(views["vw_dash_hourly_latency"]),
         "service_latency": service_latency(latency),
         "anomalies": anomaly_patterns(silver),
     }

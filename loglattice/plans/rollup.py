@@ -139,10 +139,10 @@ def topic(rollup: DataFrame) -> DataFrame:
 def views_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
     """The count views by name, with the same columns as those over Silver."""
     return {
-        "vw_service_overview": service_overview(rollup),
-        "vw_http_status": http_status(rollup),
-        "vw_daily_trend": daily_trend(rollup),
-        "vw_hourly_trend": hourly_trend(rollup),
-        "vw_log_level": log_level(rollup),
-        "vw_topic": topic(rollup),
+        "vw_dash_service_overview": service_overview(rollup),
+        "vw_dash_http_status": http_status(rollup),
+        "vw_dash_daily_trend": daily_trend(rollup),
+        "vw_dash_hourly_trend": hourly_trend(rollup),
+        "vw_dash_log_level": log_level(rollup),
+        "vw_dash_topic": topic(rollup),
     }

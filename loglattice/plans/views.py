@@ -147,27 +147,27 @@ def topic(silver: DataFrame) -> DataFrame:
 def dashboard_views(silver: DataFrame) -> dict[str, DataFrame]:
     """All eight views by name; register them with ``sinks.tables.register_views``."""
     return {
-        "vw_service_overview": service_overview(silver),
-        "vw_service_latency": service_latency(silver),
-        "vw_http_status": http_status(silver).drop("latency_sample_count"),
-        "vw_daily_trend": daily_trend(silver),
-        "vw_hourly_trend": hourly_trend(silver),
-        "vw_hourly_latency": hourly_latency(silver),
-        "vw_log_level": log_level(silver),
-        "vw_topic": topic(silver),
+        "vw_dash_service_overview": service_overview(silver),
+        "vw_dash_service_latency": service_latency(silver),
+        "vw_dash_http_status": http_status(silver).drop("latency_sample_count"),
+        "vw_dash_daily_trend": daily_trend(silver),
+        "vw_dash_hourly_trend": hourly_trend(silver),
+        "vw_dash_hourly_latency": hourly_latency(silver),
+        "vw_dash_log_level": log_level(silver),
+        "vw_dash_topic": topic(silver),
     }
 
 
 # the columns of each view that must never be NULL
 REQUIRED = {
-    "vw_service_overview": ["service", "log_lines", "error_rate", "risk_score", "health_status"],
-    "vw_service_latency": ["avg_response_time", "p95_response_time", "request_count"],
-    "vw_http_status": ["status_code", "pct_of_requests", "avg_response_time"],
-    "vw_daily_trend": ["event_date", "log_lines"],
-    "vw_hourly_trend": ["event_hour_ts", "log_lines"],
-    "vw_hourly_latency": ["event_hour_ts", "avg_response_time"],
-    "vw_log_level": ["log_level", "log_lines"],
-    "vw_topic": ["kafka_topic", "log_lines"],
+    "vw_dash_service_overview": ["service", "log_lines", "error_rate", "risk_score", "health_status"],
+    "vw_dash_service_latency": ["avg_response_time", "p95_response_time", "request_count"],
+    "vw_dash_http_status": ["status_code", "pct_of_requests", "avg_response_time"],
+    "vw_dash_daily_trend": ["event_date", "log_lines"],
+    "vw_dash_hourly_trend": ["event_hour_ts", "log_lines"],
+    "vw_dash_hourly_latency": ["event_hour_ts", "avg_response_time"],
+    "vw_dash_log_level": ["log_level", "log_lines"],
+    "vw_dash_topic": ["kafka_topic", "log_lines"],
 }
 
 

@@ -84,7 +84,7 @@ def page_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     rollup kept in the checkpoint folder, and once for the latencies."""
     events = silver(spark, sf_dir)
     rollup = cut_lineage(hourly_rollup(events))
-    return {**views_from_rollup(rollup), "vw_service_latency": service_latency(events)}
+    return {**views_from_rollup(rollup), "vw_dash_service_latency": service_latency(events)}
 
 
 # --- the same layer for the other engine, written by hand in its own SQL ---

@@ -298,7 +298,7 @@ def topic_mix(spark, d):
 
 
 @CASES.add("verify_views", "V9 X4", over_silver("""
-SELECT 'vw_' || name AS view_name, bad AS bad_rows FROM (
+SELECT 'vw_dash_' || name AS view_name, bad AS bad_rows FROM (
   SELECT 'service_overview' AS name, count(*) FILTER (service IS NULL) AS bad FROM silver
   UNION ALL SELECT 'service_latency', 0
   UNION ALL SELECT 'http_status', count(*) FILTER (status_code IS NOT NULL AND response_time IS NULL) FROM silver

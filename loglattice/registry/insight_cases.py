@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loglattice.functions import text as W
 from loglattice.operators import insights as I, serving as K
 from loglattice.plans import views as V
+from loglattice.registry import model_cases as M
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, page_views, silver
 from loglattice.registry.gold_cases import HOURLY_TREND, HTTP_STATUS, LATENCY, LEVELS, OVERVIEW, TOPICS
@@ -127,7 +128,7 @@ def service_insights_by_weekday(spark, d):
 
 def _estate(views):
     names = ("service_overview", "service_latency", "log_level", "http_status", "hourly_trend", "topic")
-    return I.estate_facts(*[views[f"vw_{name}"] for name in names])
+    return I.estate_facts(*[views[f"vw_dash_{name}"] for name in names])
 
 
 _TOP = ("FROM overview ORDER BY log_lines >= 100 DESC, CASE WHEN log_lines >= 100 THEN risk_score END DESC NULLS LAST, "
@@ -320,23 +321,37 @@ def chosen_texts(spark, d):
 _INSIGHTS = """
 insights AS (
   SELECT 'estate:all' AS insight_id, 'estate' AS scope, 'all' AS scope_key, headline, narrative, recommended_action, severity,
-         'vw_service_overview,vw_log_level,vw_http_status,vw_hourly_trend,vw_topic' AS source_views, log_lines
+         'vw_dash_service_overview,vw_dash_log_level,vw_dash_http_status,vw_dash_hourly_trend,vw_dash_topic' AS source_views, log_lines,
+         'rule' AS generation_mode
   FROM estate_written
   UNION ALL
-  SELECT 'service:' || service, 'service', service, headline, narrative, recommended_action, severity,
-         'vw_service_overview,vw_service_latency', log_lines FROM written)
-"""
-_INSIGHT_CTES = (OVERVIEW, LATENCY, _FACTS, _TEXTS, LEVELS, HOURLY_TREND, _ESTATE, _ESTATE_TEXT, _INSIGHTS)
+  SELECT 'service:' || service, 'service', service, CASE WHEN {good} THEN service || ' wrote ' || {lines} || ' lines' ELSE headline END,
+         CASE WHEN {good} THEN 'There are ' || (SELECT f.error_count FROM facts f WHERE f.service = written.service)
+                || ' errors.' ELSE narrative END,
+         CASE WHEN {good} THEN 'Look at 3 of them.' ELSE recommended_action END, severity,
+         'vw_dash_service_overview,vw_dash_service_latency', log_lines, CASE WHEN {good} THEN 'llm' ELSE 'rule' END FROM written
+  UNION ALL
+  SELECT 'model:' || model_name, 'model', model_name, model_name || ': ' || replace(status, '_', ' '),
+         'Predict ' || target || ' from ' || width || ' columns. ' || limitations,
+         CASE status WHEN 'production_candidate' THEN 'Take its metrics from the run history.'
+                     ELSE 'Do not present its metrics as a result.' END,
+         CASE status WHEN 'production_candidate' THEN 'healthy' ELSE 'degraded' END, 'ml_model_cards', NULL, 'rule'
+  FROM model_cards JOIN (VALUES {targets}) AS t(name, target, width) ON name = model_name)
+""".format(good="log_lines % 4 = 0", lines=n("log_lines"), targets=", ".join(
+    f"('{m}', '{label}', {len(f)})" for m, label, f in (
+        ("anomaly", "is_anomaly", M._ANOMALY_FEATURES), ("health", "degrading", M._HEALTH_FEATURES),
+        ("early_warning", "early_warning_target", M._WARNING_FEATURES))))
+_INSIGHT_CTES = (OVERVIEW, LATENCY, _FACTS, _TEXTS, LEVELS, HOURLY_TREND, _ESTATE, _ESTATE_TEXT, *M.CARD_CTES, _INSIGHTS)
 
 
 def insight_table(spark, d):
     views = page_views(spark, d)
-    services = I.service_facts(views["vw_service_overview"], views["vw_service_latency"])
-    return I.build_insights(services, _estate(views))
+    services = I.service_facts(views["vw_dash_service_overview"], views["vw_dash_service_latency"])
+    return I.build_insights(services, _estate(views), _candidates(services), M.cards(spark, d))
 
 
 @CASES.add("insights", "I13", over_silver(
-    "SELECT *, log_lines AS evidence_lines, 'rule' AS generation_mode, 'none' AS model_endpoint FROM insights".replace(
+    "SELECT *, log_lines AS evidence_lines, 'none' AS model_endpoint FROM insights".replace(
         "*,", "* EXCLUDE (log_lines),"), *_INSIGHT_CTES))
 def insights(spark, d):
     lines = F.coalesce(F.get_json_object("evidence", "$.log_lines"), F.get_json_object("evidence", "$.total_log_lines"))
@@ -345,14 +360,15 @@ def insights(spark, d):
 
 @CASES.add("verify_insights", "I14", over_silver("""
 SELECT count(*) AS row_count, count(DISTINCT insight_id) AS distinct_ids, CAST(0 AS BIGINT) AS bad_rows,
-       CAST(0 AS BIGINT) AS llm_rows, count(*) AS rule_rows FROM insights""", *_INSIGHT_CTES))
+       count(*) FILTER (generation_mode = 'llm') AS llm_rows, count(*) FILTER (generation_mode = 'rule') AS rule_rows
+FROM insights""", *_INSIGHT_CTES))
 def verify_insights(spark, d):
     return I.verify_insights(insight_table(spark, d))
 
 
 @CASES.add("list_insights", "I15 X2", over_silver("""
-SELECT scope, scope_key, severity, 'rule' AS generation_mode, headline FROM insights
-ORDER BY scope = 'service', CASE severity WHEN 'critical' THEN 0 WHEN 'degraded' THEN 1 ELSE 2 END, scope_key""",
+SELECT scope, scope_key, severity, generation_mode, headline FROM insights
+ORDER BY scope = 'model', scope = 'service', CASE severity WHEN 'critical' THEN 0 WHEN 'degraded' THEN 1 ELSE 2 END, scope_key""",
     *_INSIGHT_CTES))
 def list_insights(spark, d):
     return I.list_insights(insight_table(spark, d))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loglattice import constants as C
 from loglattice.ml import metrics as M, prep, runs as R, train as T
-from loglattice.operators import serving as K
+from loglattice.operators import serving as K, warning as W
 from loglattice.plans import silver as P
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, silver, table
@@ -209,14 +209,92 @@ def recent_runs(spark, d):
         F.col("metrics")["mean"].alias("mean_metric"), F.get_json_object("metrics_json", "$.n").cast("double").alias("n_metric"))
 
 
-@CASES.add("model_card_status", "I16 K15", """
-SELECT CAST(3 AS BIGINT) AS models, CAST(1 AS BIGINT) AS production_candidates, CAST(1 AS BIGINT) AS demo_only,
-       CAST(1 AS BIGINT) AS paused, CAST(count(*) > 0 AS BIGINT) AS with_metrics FROM events WHERE event_type <> 'error'""")
+_ANOMALY_FEATURES = ["service", "log_level", "http_method", "status_code", "response_category", "event_hour",
+                     "instance_exists", "log_file"]
+_HEALTH_FEATURES = ["log_level", "status_code", "severity_score", "response_category", "service", "event_hour", "is_anomaly"]
+_WARNING_FEATURES = ["total_logs", "error_count", "warning_count", "event_hour"]
+
+
+def cards(spark, d):
+    """A card for each model, from the rows it would be trained on."""
+    events = silver(spark, d)
+    health = P.service_health_label(events.fillna(C.HEALTH_SENTINELS)).where("service_health <> 'Critical'").withColumn(
+        "degrading", (F.col("service_health") == "Degrading").cast("int"))
+    warning = W.early_warning_target(W.early_warning_base(events))
+    history = run_history(spark, d)
+    return R.model_cards([
+        R.model_card("anomaly", P.instance_exists(events), "is_anomaly", _ANOMALY_FEATURES, T.random_forest(),
+                     runs=history, prefix="Binary_"),
+        R.model_card("health", health, "degrading", _HEALTH_FEATURES, T.decision_tree("degrading")),
+        R.model_card("early_warning", warning, "early_warning_target", _WARNING_FEATURES),
+    ])
+
+
+def _leaks(rows: str, label: str, features: list[str]) -> str:
+    """Features each of whose values has one class only."""
+    tests = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, bool_and(classes = 1) AS fixes FROM "
+        f"(SELECT count(DISTINCT {label}) AS classes FROM {rows} GROUP BY CAST({f} AS VARCHAR))" for f in features)
+    return f"(SELECT coalesce(string_agg(feature, ', ' ORDER BY feature), '') FROM ({tests}) WHERE fixes)"
+
+
+_CARDS = f"""
+anomaly_rows AS (SELECT *, CAST(instance_id IS NOT NULL AS INTEGER) AS instance_exists FROM silver),
+health_rows AS (
+  SELECT * EXCLUDE (status_code, response_time), coalesce(status_code, -1) AS status_code,
+         CAST(log_level IN ('ERROR', 'WARNING') OR is_anomaly = 1 OR coalesce(response_time, 0) > 0.35
+              OR coalesce(status_code, -1) >= 400 AS INTEGER) AS degrading
+  FROM silver
+  WHERE NOT (log_level = 'CRITICAL' OR (log_level = 'ERROR' AND coalesce(response_time, 0) >= 0.6)
+             OR coalesce(status_code, -1) >= 500)),
+card_facts AS (
+  SELECT 'anomaly' AS model_name, count(*) AS n, count(*) FILTER (is_anomaly = 1) AS positives, true AS fitted,
+         {_leaks('anomaly_rows', 'is_anomaly', _ANOMALY_FEATURES)} AS leaks FROM anomaly_rows
+  UNION ALL
+  SELECT 'health', count(*), count(*) FILTER (degrading = 1), true, {_leaks('health_rows', 'degrading', _HEALTH_FEATURES)}
+  FROM health_rows
+  UNION ALL
+  SELECT 'early_warning', count(*), count(*) FILTER (early_warning_target = 1), false,
+         {_leaks('warning_rows', 'early_warning_target', _WARNING_FEATURES)} FROM warning_rows),
+model_cards AS (
+  SELECT model_name, n, positives, leaks,
+         CASE WHEN leaks = '' THEN 'No feature fixes the label alone.' ELSE 'The label follows from ' || leaks || ' alone.' END
+           || CASE WHEN positives < 50 THEN ' Fewer than 50 positive rows.' ELSE '' END AS limitations,
+         CASE WHEN NOT fitted OR positives < 50 THEN 'paused' WHEN leaks <> '' THEN 'demo_only'
+              ELSE 'production_candidate' END AS status
+  FROM card_facts)
+"""
+# Next hours of the early warning rows: the hour after, of the same service.
+_WARNING = """
+hours AS (
+  SELECT service, event_hour, date_trunc('hour', event_timestamp) AS hour, count(*) AS total_logs,
+         count(*) FILTER (log_level = 'ERROR') AS error_count, count(*) FILTER (log_level = 'WARNING') AS warning_count,
+         count(*) FILTER (log_level = 'CRITICAL') AS critical_count
+  FROM silver GROUP BY ALL),
+warning_rows AS (
+  SELECT h.*, CAST(coalesce(f.critical_count, 0) > 0 AS INTEGER) AS early_warning_target
+  FROM hours h LEFT JOIN hours f ON h.service = f.service AND f.hour = h.hour + INTERVAL 1 HOUR)
+"""
+CARD_CTES = (_WARNING, _CARDS)
+
+
+@CASES.add("model_cards", "I16", over_silver(
+    "SELECT model_name, positives || ' of ' || n AS share, limitations, status FROM model_cards", *CARD_CTES))
+def model_cards(spark, d):
+    share = F.regexp_extract("target_definition", "([0-9]+ of [0-9]+)", 1).alias("share")
+    return cards(spark, d).select("model_name", share, "limitations", "status")
+
+
+@CASES.add("model_card_status", "I16 K15", over_silver("""
+SELECT count(*) AS models, count(*) FILTER (status = 'production_candidate') AS production_candidates,
+       count(*) FILTER (status = 'demo_only') AS demo_only, count(*) FILTER (status = 'paused') AS paused,
+       CAST((SELECT count(*) > 0 FROM events WHERE event_type <> 'error') AS BIGINT) AS with_metrics
+FROM model_cards""", *CARD_CTES))
 def model_card_status(spark, d):
-    cards = R.model_cards(spark, run_history(spark, d))
+    made = cards(spark, d)
     read = F.get_json_object("metrics_json", "$.status") == "read_from_runs"
-    counts = cards.agg(F.count_if(read).alias("with_metrics"))
-    return K.model_summary(cards).withColumn("with_metrics", counts.scalar())
+    counts = made.agg(F.count_if(read).alias("with_metrics"))
+    return K.model_summary(made).withColumn("with_metrics", counts.scalar())
 
 
 # ------------------------------------------------------------------ fits

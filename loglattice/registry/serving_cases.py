@@ -16,7 +16,7 @@ from loglattice.session import cut_lineage
 
 CASES = Cases()
 
-_KPI_VIEWS = ("vw_service_overview", "vw_log_level", "vw_http_status", "vw_topic")
+_KPI_VIEWS = ("vw_dash_service_overview", "vw_dash_log_level", "vw_dash_http_status", "vw_dash_topic")
 _MAPS = ["log_level_counts", "http_status_counts", "kafka_topics"]
 
 _TOP = ("FROM overview ORDER BY log_lines >= 100 DESC, CASE WHEN log_lines >= 100 THEN risk_score END DESC NULLS LAST, "

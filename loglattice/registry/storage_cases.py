@@ -68,4 +68,4 @@ def layer_overwrite_and_append(spark, d):
     "SELECT service, log_lines, risk_score FROM overview ORDER BY risk_score DESC, service", OVERVIEW))
 def views_by_name(spark, d):
     W.register_views(V.dashboard_views(silver(spark, d)))
-    return spark.sql("SELECT service, log_lines, risk_score FROM vw_service_overview ORDER BY risk_score DESC, service")
+    return spark.sql("SELECT service, log_lines, risk_score FROM vw_dash_service_overview ORDER BY risk_score DESC, service")

@@ -51,7 +51,7 @@ def test_verify_views_counts_missing_values(events):
     assert len(clean) == 8 and set(clean.values()) == {0}
     bad = events(good, {"service": None, "log_level": None, "kafka_topic": None, "status_code": 404})
     counts = {r.view_name: r.bad_rows for r in V.verify_views(V.dashboard_views(bad)).collect()}
-    assert {k for k, v in counts.items() if v} == {"vw_service_overview", "vw_http_status", "vw_log_level", "vw_topic"}
+    assert {k for k, v in counts.items() if v} == {"vw_dash_service_overview", "vw_dash_http_status", "vw_dash_log_level", "vw_dash_topic"}
 
 
 def test_trend_axis(events):

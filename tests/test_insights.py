@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglattice.functions import text as W
-from loglattice.ml.runs import model_cards
+from loglattice.ml.runs import model_card, model_cards
 from loglattice.operators import insights as I
 from loglattice.plans import views as V
 
@@ -138,7 +138,9 @@ def views(events, *rows):
 def test_insight_table(spark, events):
     services, estate = views(events, {"service": "b"}, {"service": "a", "log_level": "ERROR", "severity_score": 3})
     when = dt.datetime(2024, 5, 6)
-    table = I.build_insights(services, estate, cards=model_cards(spark), generated_at=when)
+    labelled = spark.range(9).selectExpr("int(id % 2) as y", "id % 3 as x")
+    cards = model_cards([model_card(name, labelled, "y", ["x"]) for name in ("m1", "m2", "m3")])
+    table = I.build_insights(services, estate, cards=cards, generated_at=when)
     rows = {r.insight_id: r for r in table.collect()}
     assert len(rows) == 1 + 2 + 3 and {r.generated_at for r in rows.values()} == {when}
     assert rows["estate:all"].severity == "degraded" and rows["service:a"].severity == "critical"

@@ -137,7 +137,20 @@ def test_run_history(spark):
     assert json.loads(newest[1].metrics_json) == {"f1": 3.3333}
     assert json.loads(R.runs_json(runs, "Binary_").first()[0])["runs"]["Binary_11"] == {"f1": 3.6667}
     assert json.loads(R.runs_json(runs, "None_").first()[0]) == {"status": "no_matching_runs", "prefix": "None_"}
-    cards = {r.status: r for r in R.model_cards(spark, runs).collect()}
-    assert json.loads(cards["production_candidate"].metrics_json)["status"] == "read_from_runs"
-    assert cards["paused"].metrics_json == '{"status":"not_logged"}'
-    assert set(C.ANOMALY_NUMERIC_FEATURES) <= set(cards["production_candidate"].feature_summary.replace(",", " ").replace(".", " ").replace(";", " ").split())
+
+
+def test_cards_are_computed(spark):
+    rows = spark.range(300).selectExpr("int(id % 3 = 0) as y", "id % 3 as tell", "id % 7 as quiet")
+    runs = spark.createDataFrame([("A_1", dt.datetime(2024, 1, 1), {"f1": 0.5})], "run_name string, start_time timestamp, metrics map<string,double>")
+    made = R.model_cards([
+        R.model_card("good", rows, "y", ["quiet"], T.decision_tree("y", depth=4), runs=runs, prefix="A_"),
+        R.model_card("leaky", rows, "y", ["quiet", "tell"], T.decision_tree("y")),
+        R.model_card("rare", rows.where("y = 0 or quiet = 1"), "y", ["quiet"], T.decision_tree("y")),
+        R.model_card("unfitted", rows, "y", ["quiet"]),
+    ])
+    cards = {r.model_name: r for r in made.collect()}
+    assert {n: c.status for n, c in cards.items()} == {
+        "good": "production_candidate", "leaky": "demo_only", "rare": "paused", "unfitted": "paused"}
+    assert cards["good"].target_definition == "y: 100 of 300 rows are positive." and "maxDepth=4" in cards["good"].algorithm
+    assert json.loads(cards["good"].metrics_json)["runs"] == {"A_1": {"f1": 0.5}}
+    assert cards["leaky"].limitations == "The label follows from tell alone." and cards["unfitted"].algorithm == "none"
