@@ -22,7 +22,7 @@ HEADLINE = """
 parse_lines decode_records silver_events label_join label_join_large_list dedupe
 service_overview service_latency http_status hourly_trend rollup_service_overview
 gold_service_risk hourly_service_metrics early_warning_base null_profile cardinality
-estate_kpis service_cards insights number_grounding undersample evaluate stream_silver
+estate_kpis service_cards insights number_grounding undersample evaluate stream_silver bronze_to_silver stream_silver_runs
 """.split()
 REPEATS = 2
 

@@ -113,6 +113,31 @@ def stream_error_alerts(spark, d):
     return _plain(drained(spark, L.error_alerts(logs_stream(spark, d))))
 
 
+def trended(spark, d, by: list[str] | None = None, **options) -> DataFrame:
+    out, state = _folders(spark)
+    L.start_trend(logs_stream(spark, d), out, state, by=by, **options).awaitTermination()
+    return L.read_trend(spark, out, by)
+
+
+@CASES.add("stream_hourly_trend_whole", "L4", over_logs(_windows()))
+def stream_hourly_trend_whole(spark, d):
+    return _plain(trended(spark, d))
+
+
+@CASES.add("stream_sliding_trend_whole", "L4", over_logs(_windows(source="slid").replace(
+    "(SELECT *, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start FROM slid)", "slid"), _HALF_HOURS))
+def stream_sliding_trend_whole(spark, d):
+    return _plain(trended(spark, d, slide="30 minutes"))
+
+
+@CASES.add("stream_error_alerts_whole", "L9", over_logs(f"""
+SELECT window_start, service, log_lines, errors, {r('100.0 * errors / log_lines', 2)} AS error_rate,
+       'Critical' AS health_status
+FROM ({_windows('service')}) WHERE 100.0 * errors / log_lines >= 5"""))
+def stream_error_alerts_whole(spark, d):
+    return _plain(L.alerts_of(trended(spark, d, ["service"])))
+
+
 @CASES.add("stream_dedupe", "L3", over_logs("SELECT event_id, log_level FROM logs"))
 def stream_dedupe(spark, d):
     twice = logs_stream(spark, d).select("event_id", "event_timestamp", "log_level")

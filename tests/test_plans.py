@@ -1,6 +1,5 @@
 """Physical plans: where rows are shuffled, what reaches the scan, and what must never appear."""
 
-import os
 import re
 
 import pytest
@@ -67,9 +66,7 @@ FITS = ("fit", "anomaly_logistic", "anomaly_decision", "anomaly_random", "anomal
 
 
 def plain_cases():
-    """Every fourth query, or all of them with ALL_QUERIES=1."""
-    cases = [c for c in CASES if not c.name.startswith(FITS)]
-    return cases if os.environ.get("ALL_QUERIES") else cases[::4]
+    return [c for c in CASES if not c.name.startswith(FITS)]
 
 
 @pytest.mark.parametrize("case", plain_cases(), ids=lambda c: c.name)

@@ -158,3 +158,16 @@ def test_silver_upkeep_and_a_repeated_batch(spark, tmp_path):
     more = decode_records(as_records(spark, make_events(spark, 4, first=8)))
     write(more, 0)
     assert spark.read.parquet(path("silver")).count() == 12
+
+
+def test_trend_holds_late_rows_and_open_windows(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    schema = "event_timestamp timestamp, log_level string, status_code int"
+    hour = lambda h: START + dt.timedelta(hours=h)
+    parts = [[(hour(0), "INFO", 200), (hour(9), "ERROR", None)], [(hour(0), "ERROR", None), (hour(9), "INFO", 1)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path("in"))
+        stream = spark.readStream.schema(schema).parquet(path("in"))
+        L.start_trend(stream, path("trend"), path("state")).awaitTermination()
+    got = sorted((r.window_start, r.log_lines, r.errors, r.http_requests) for r in L.read_trend(spark, path("trend")).collect())
+    assert got == [(hour(0), 2, 1, 1), (hour(9), 2, 1, 1)]
