@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglattice.session import cut_lineage
+
 RATIO = 0.1
 MIN_PAGES = 10
 
@@ -53,8 +55,9 @@ def drop_boilerplate(
     docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """Rows (row, kept, n_lines, n_dropped): the input row as a struct and its text without boilerplate."""
-    marked = boilerplate_lines(docs, host, text, ratio, min_pages).groupBy("host").agg(
-        F.collect_set("line_hash").alias("drops")
+    # Written first, so that the planner knows its size: pages move only if it is too large to broadcast.
+    marked = cut_lineage(
+        boilerplate_lines(docs, host, text, ratio, min_pages).groupBy("host").agg(F.collect_set("line_hash").alias("drops"))
     )
     rows = docs.select(F.struct("*").alias("row"), F.col(host).alias("page_host"), _lines(text).alias("lines"))
     joined = rows.join(marked, F.col("page_host").eqNullSafe(F.col("host")), "left").select(
