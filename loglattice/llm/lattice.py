@@ -33,6 +33,7 @@ TABLES = 10
 PROBES = 3
 # Mean number of spread-out vectors in a cell.
 PER_CELL = 64
+PAIRS_AT_ONCE = 10_000
 
 
 def nearest_e8(x: np.ndarray) -> np.ndarray:
@@ -128,53 +129,59 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _met(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Pairs of which one is at home in a cell that the other lives in or probes, by table."""
+    return (u[:, :, :1] == v).any(axis=2) | (u == v[:, :, :1]).any(axis=2)
+
+
+def _first_here(u: np.ndarray, v: np.ndarray, grid: int, cell: int) -> np.ndarray:
+    """Pairs that meet in no earlier table, and in this table's cell; of two home cells the smaller counts."""
+    h, g = u[:, grid, 0], v[:, grid, 0]
+    from_u, from_v = (u[:, grid] == g[:, None]).any(axis=1), (v[:, grid] == h[:, None]).any(axis=1)
+    chosen = np.where(from_u & from_v, np.minimum(h, g), np.where(from_u, g, h))
+    return (chosen == cell) & ~_met(u[:, :grid], v[:, :grid]).any(axis=1)
+
+
+def _leads(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest row number that each of n rows reaches by pairs."""
+    lead = np.arange(n)
+    while True:
+        low = np.minimum(lead[a], lead[b])
+        before = lead.copy()
+        np.minimum.at(lead, a, low)
+        np.minimum.at(lead, b, low)
+        if (lead == before).all():
+            return lead
+
+
 def _link(width: int, n: int, tables: int, probes: int, threshold: float):
+    hashers: list[Hasher] = []
+
     def run(table: pa.Table) -> pa.Table:
-        grid = table.column("grid")[0].as_py()
         left, right = sides(table.column("own").to_numpy(), table.column("low")[0].as_py(), table.column("high")[0].as_py())
         node, home = table.column("node").to_numpy(), table.column("home").to_numpy(zero_copy_only=False)
-        x = _rows(table.column("vector"), width)
-        unit = _unit(x)
-        cells = Hasher(width, n, tables, probes)(unit)
-        links = np.zeros(len(node), np.int64)
-        root = np.arange(len(node))
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        def met(a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
-            """Pairs of which one is at home in a cell that the other lives in or probes."""
-            u, v = cells[a, t], cells[b, t]
-            return (u[:, :1] == v).any(axis=1) | (u == v[:, :1]).any(axis=1)
-
-        cell = table.column("cell")[0].as_py()
-        for i in left.tolist():
-            other = right[right > i] if left is right else right
-            other = other[(home[other] | home[i]) & (node[other] != node[i])]
-            cosine = unit[other] @ unit[i]
-            other = other[cosine >= threshold]
-            if not len(other):
-                continue
-            me = np.full(len(other), i)
-            for t in range(grid):
-                other = other[~met(me[: len(other)], other, t)]
-            # A pair that meets in both home cells is taken in the smaller of them.
-            h, g = cells[i, grid, 0], cells[other, grid, 0]
-            from_me = (cells[i, grid][None, :] == g[:, None]).any(axis=1)
-            from_it = (cells[other, grid] == h).any(axis=1)
-            chosen = np.where(from_me & from_it, np.minimum(h, g), np.where(from_me, g, h))
-            other = other[chosen == cell]
-            links[i] += len(other)
-            links[other] += 1
-            for j in other.tolist():
-                a, b = top(i), top(j)
-                root[max(a, b)] = min(a, b)
+        unit = _unit(_rows(table.column("vector"), width))
+        near = unit[left] @ unit[right].T >= threshold
+        near &= (home[left][:, None] | home[right]) & (node[left][:, None] != node[right])
+        if left is right:
+            near = np.triu(near, 1)
+        a, b = np.nonzero(near)
+        a, b = left[a], right[b]
+        if len(a):
+            if not hashers:
+                hashers.append(Hasher(width, n, tables, probes))
+            some, place = np.unique(np.r_[a, b], return_inverse=True)
+            cells = hashers[0](unit[some])
+            u, v = place[: len(a)], place[len(a) :]
+            grid, cell = table.column("grid")[0].as_py(), table.column("cell")[0].as_py()
+            mine = np.concatenate([
+                _first_here(cells[u[k : k + PAIRS_AT_ONCE]], cells[v[k : k + PAIRS_AT_ONCE]], grid, cell)
+                for k in range(0, len(a), PAIRS_AT_ONCE)
+            ])
+            a, b = a[mine], b[mine]
+        links = np.bincount(a, minlength=len(node)) + np.bincount(b, minlength=len(node))
         some = np.flatnonzero(links)
-        lead = np.array([node[top(int(i))] for i in some], np.int64)
-        return pa.table({"node": node[some], "lead": lead, "links": links[some]})
+        return pa.table({"node": node[some], "lead": node[_leads(a, b, len(node))[some]], "links": links[some]})
 
     return run
 
