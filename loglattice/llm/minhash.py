@@ -329,10 +329,14 @@ def near_duplicates(
         in_blocks(close, bucket, "rep").groupBy(*pair_of_blocks)
         .applyInArrow(_compare(size, LEAST_AGREEMENT, threshold), "a bigint, b bigint")
     )
-    whole = connected_components(first.union(second))
-    named = classes.select("d1", "d2", "total", "rep").join(
-        whole.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("d1", "d2", "total", F.coalesce("component", "rep").alias("class_key"))
+    # The second links join components of the first, so only those are linked up again.
+    part_of = {s: joined.select(F.col("node").alias(s), F.col("component").alias(f"part_{s}")) for s in ("a", "b")}
+    between = second.join(part_of["a"], "a", "left").join(part_of["b"], "b", "left")
+    whole = connected_components(between.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
+    parts = classes.select("d1", "d2", "total", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    named = parts.select("d1", "d2", "total", F.coalesce("component", "rep").alias("node")).join(
+        whole, "node", "left"
+    ).select("d1", "d2", "total", F.coalesce("component", "node").alias("class_key"))
     members = signed.select("key", "d1", "d2", "total").join(named, ["d1", "d2", "total"], "left")
     key = F.coalesce("class_key", "key")
     back = F.when(F.col("key") != F.lit(int(LAST)), F.col("key"))
