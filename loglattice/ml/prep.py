@@ -43,15 +43,26 @@ def undersample(
     The fraction is a scalar subquery and the choice is a filter on the key's hash: one pass, no
     shuffle of the rows. Without any row of label 1 there is nothing to balance, and all rows stay.
     """
+    return df.where((F.col(label) == 1) | (hash_fraction(key, seed) < _majority_fraction(df, label, ratio)))
+
+
+def _majority_fraction(df: DataFrame, label: str, ratio: float) -> Column:
     minority, majority = F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)
-    fraction = df.agg(F.when(minority > 0, ratio * minority / majority).otherwise(F.lit(1.0)).alias("f")).scalar()
-    return df.where((F.col(label) == 1) | (hash_fraction(key, seed) < fraction))
+    return df.agg(F.when(minority > 0, ratio * minority / majority).otherwise(F.lit(1.0)).alias("f")).scalar()
 
 
-def undersample_by_union(df: DataFrame, fraction: float, label: str = "is_anomaly", seed: int = C.SEED) -> DataFrame:
-    """The same by sampling label 0 at a given fraction and uniting it with label 1."""
-    sampled = df.where(F.col(label) == 0).sample(withReplacement=False, fraction=fraction, seed=seed)
-    return sampled.unionByName(df.where(F.col(label) == 1))
+def undersample_by_union(
+    df: DataFrame,
+    fraction: float | None = None,
+    label: str = "is_anomaly",
+    ratio: float = C.MAJORITY_PER_MINORITY,
+    key: str = "event_id",
+    seed: int = C.SEED + 1,
+) -> DataFrame:
+    """The same rows by choosing from label 0, at a given fraction or for the ratio, and uniting with label 1."""
+    share = _majority_fraction(df, label, ratio) if fraction is None else F.lit(fraction)
+    chosen = df.where((F.col(label) == 0) & (hash_fraction(key, seed) < share))
+    return chosen.unionByName(df.where(F.col(label) == 1))
 
 
 def weight_table(df: DataFrame, label: str = "label") -> DataFrame:
