@@ -6,7 +6,8 @@ vectors meet in a table if one is at home in a cell that the other lives in or p
 cosine in double precision in the first such table only, so every link is counted once.
 
 The scale of the lattice follows the number of vectors, so that a cell of spread-out vectors holds about the
-same number at any size. A cell that holds many is compared in pairs of blocks by several tasks. Tasks count
+same number at any size. Finer cells part more pairs, so the number of tables follows the scale: two vectors
+at the threshold meet with a chance of at least RECALL at any size. A cell that holds many is compared in pairs of blocks by several tasks. Tasks count
 the links of each vector and write one edge for each vector and group they join, never the pairs.
 
 Defined results: vectors that are null, empty or zero, or hold a null or a component that is not finite, and
@@ -18,6 +19,7 @@ empty result. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,19 @@ from loglattice.llm.components import connected_components
 from loglattice.session import cut_lineage
 
 COSINE = 0.9
+# The fewest tables; more are dealt where the chance of meeting asks for them.
 TABLES = 10
 PROBES = 3
+# Chance that two vectors at the threshold meet in at least one table.
+RECALL = 0.99
+# Most pairs drawn to learn the chance of meeting in one table.
+DRAWS = 1_000_000
 # Mean number of spread-out vectors in a cell.
 PER_CELL = 64
 PAIRS_AT_ONCE = 10_000
+# Rows of vectors and cells, and cells of pairs, that a task holds at a time.
+COPIES_AT_ONCE = 80_000
+CELLS_AT_ONCE = PAIRS_AT_ONCE * TABLES
 
 
 def nearest_e8(x: np.ndarray) -> np.ndarray:
@@ -68,13 +78,51 @@ def shortest_e8() -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def scale_for(n: int, per_cell: int = PER_CELL) -> float:
+    """Deviation of projected coordinates; such a cloud covers about (4.13 scale)^8 cells of volume 1."""
+    return max((max(n, 1) / per_cell) ** (1 / 8) / math.sqrt(2 * math.pi * math.e), 0.05)
+
+
+@lru_cache(maxsize=64)
+def meeting_chance(scale: float, threshold: float, probes: int) -> float:
+    """Chance that two vectors at the threshold meet in one table, from drawn projections, less two deviations.
+
+    Random directions make the projections of such a pair normal with the cosine as correlation, whatever the width.
+    """
+    draw = np.random.Generator(np.random.PCG64(83))
+    # A table of no directions of its own: what it is given is projected already.
+    table = Hasher(8, 1, 1, probes)
+    table.directions, table.shifts = np.eye(8)[None], np.zeros((1, 8))
+    met = tried = 0
+    while met < 1000 and tried < DRAWS:
+        x, y = draw.standard_normal((2, 5000, 8)) * scale
+        y = threshold * x + math.sqrt(max(1 - threshold * threshold, 0)) * y
+        shift = draw.random((5000, 8))
+        met += int(_met(table(x + shift), table(y + shift)).sum())
+        tried += len(x)
+    share = met / tried
+    chance = share - 2 * math.sqrt(share * (1 - share) / tried)
+    if chance <= 0:
+        raise ValueError(f"vectors at cosine {threshold} hardly ever meet in cells of scale {scale:.2f}")
+    return chance
+
+
+def tables_for(scale: float, threshold: float = COSINE, probes: int = PROBES, recall: float = RECALL) -> int:
+    """The number of tables in which two vectors at the threshold meet with a chance of at least recall."""
+    missed = 1 - meeting_chance(scale, threshold, probes)
+    return TABLES if missed <= 0 else max(TABLES, math.ceil(math.log(1 - recall) / math.log(missed)))
+
+
 class Hasher:
-    """Home and probed cells of unit vectors in every table."""
+    """Home and probed cells of unit vectors in every table; without a number of tables, in as many as recall asks for."""
 
-    def __init__(self, width: int, n: int, tables: int = TABLES, probes: int = PROBES, per_cell: int = PER_CELL):
+    def __init__(
+        self, width: int, n: int, tables: int | None = None, probes: int = PROBES, per_cell: int = PER_CELL,
+        threshold: float = COSINE,
+    ):
         draw = np.random.Generator(np.random.PCG64(81))
-        # Projected coordinates have deviation `scale`; such a cloud covers about (4.13 scale)^8 cells of volume 1.
-        self.scale = max((max(n, 1) / per_cell) ** (1 / 8) / math.sqrt(2 * math.pi * math.e), 0.05)
+        self.scale = scale_for(n, per_cell)
+        tables = tables_for(self.scale, threshold, probes) if tables is None else tables
         self.directions = draw.standard_normal((tables, width, 8)) * self.scale
         self.shifts = draw.random((tables, 8))
         self.steps, self.probes = shortest_e8(), probes
@@ -102,8 +150,9 @@ def _spread(width: int, n: int, tables: int, probes: int):
     def run(batches):
         hasher = Hasher(width, n, tables, probes)
         for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
+            step = max(COPIES_AT_ONCE // (tables * (1 + probes)), 1)
+            for i in range(0, batch.num_rows, step):
+                part = batch.slice(i, step)
                 vector = part.column("vector")
                 if not part.num_rows:
                     continue
@@ -174,9 +223,9 @@ def _link(width: int, n: int, tables: int, probes: int, threshold: float):
             cells = hashers[0](unit[some])
             u, v = place[: len(a)], place[len(a) :]
             grid, cell = table.column("grid")[0].as_py(), table.column("cell")[0].as_py()
+            step = max(CELLS_AT_ONCE // tables, 1)
             mine = np.concatenate([
-                _first_here(cells[u[k : k + PAIRS_AT_ONCE]], cells[v[k : k + PAIRS_AT_ONCE]], grid, cell)
-                for k in range(0, len(a), PAIRS_AT_ONCE)
+                _first_here(cells[u[k : k + step]], cells[v[k : k + step]], grid, cell) for k in range(0, len(a), step)
             ])
             a, b = a[mine], b[mine]
         links = np.bincount(a, minlength=len(node)) + np.bincount(b, minlength=len(node))
@@ -188,9 +237,9 @@ def _link(width: int, n: int, tables: int, probes: int, threshold: float):
 
 def near_duplicate_vectors(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
-    threshold: float = COSINE, tables: int = TABLES, probes: int = PROBES,
+    threshold: float = COSINE, tables: int | None = None, probes: int = PROBES,
 ) -> DataFrame:
-    """Rows (vec_id, n_links, component_id, kept), one for each row."""
+    """Rows (vec_id, n_links, component_id, kept), one for each row; tables follow the number of vectors unless given."""
     e = F.col(embedding)
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x) < float("inf")))
     rows = vectors.select(
@@ -208,6 +257,7 @@ def near_duplicate_vectors(
             F.col("node").isNotNull().alias("kept"),
         )
     width, n = int(widths["width"]), int(widths["count"])
+    tables = tables_for(scale_for(n), threshold, probes) if tables is None else tables
     usable = rows.filter(F.col("usable") & (F.size("vector") == width)).select("node", "vector")
     kind = usable.schema["vector"].dataType.simpleString()
     seen = usable.mapInArrow(

@@ -250,6 +250,18 @@ def test_recall_of_links_near_the_threshold(spark):
     assert sum(r.n_links for r in out) / links_of(rows, 0.9).sum() >= 0.97
 
 
+@pytest.mark.parametrize("n", [800, 1_000_000, 5_000_000, 20_000_000])
+def test_pairs_at_the_threshold_meet_at_any_size(n):
+    draw = np.random.default_rng(8)
+    a, b = draw.standard_normal((2, 2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    hasher = lattice.Hasher(64, n)
+    u, v = hasher(a), hasher(0.9 * a + math.sqrt(1 - 0.81) * b)
+    assert lattice._met(u, v).any(axis=1).mean() >= 0.985
+
+
 def test_embedding_blocks_and_empty_table(spark, monkeypatch):
     from loglattice.llm import blocks
 
