@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from loglattice.operators import audit as A
 from loglattice.plans import gold as G
@@ -50,6 +50,18 @@ def cardinality_line_items(spark, d):
     return A.cardinality(table(spark, d, "lineitem").select(*columns))
 
 
+_LINE_ITEM_NUMBERS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_ITEM_COLUMNS = [*_LINE_ITEM_NUMBERS, "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@CASES.add("cardinality_line_items_all", "A3", _union(
+    "SELECT '{c}' AS column_name, (SELECT count(*) FROM (SELECT DISTINCT {c} FROM lineitem)) AS distinct_values",
+    _LINE_ITEM_COLUMNS))
+def cardinality_line_items_all(spark, d):
+    return A.cardinality(table(spark, d, "lineitem"))
+
+
 for _column in ("service", "log_level", "http_method", "kafka_topic", "status_code", "log_file", "is_anomaly"):
     @CASES.add(f"value_counts_{_column}", "A4", over_silver(
         f'SELECT {_column}, count(*) AS "count" FROM silver GROUP BY {_column} ORDER BY 2 DESC, 1'))
@@ -97,6 +109,14 @@ def describe_line_items(spark, d):
     return six(A.describe_numeric(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]), "mean", "stddev")
 
 
+@CASES.add("describe_line_items_all", "A8", " UNION ALL ".join(
+    _moments(c, "lineitem").format(extra="") for c in _LINE_ITEM_NUMBERS))
+def describe_line_items_all(spark, d):
+    items = table(spark, d, "lineitem")
+    numbers = [f.name for f in items.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return six(A.describe_numeric(items, numbers), "mean", "stddev")
+
+
 @CASES.add("summary_numeric", "A9", over_logs(
     " UNION ALL ".join(_moments(c, "logs").format(extra=_QUARTILES.format(c=c)) for c in _NUMERIC)))
 def summary_numeric(spark, d):
