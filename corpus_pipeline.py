@@ -37,7 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_text(linededup.drop_boilerplate(docs), docs.columns, "kept")
+    return _with_text(linededup.drop_boilerplate(docs, min_pages=linededup.FEWEST_PAGES), docs.columns, "kept")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

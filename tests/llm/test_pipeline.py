@@ -59,6 +59,14 @@ def test_line_dedup_takes_the_menu_out(steps):
             assert r.text == want and r.n_chars == len(want)
 
 
+def test_line_dedup_goes_by_share_on_small_hosts_too(spark):
+    rows = [(i, f"menu\nline {i}", "aa", "small" if i < 5 else "large", 1) for i in range(65)]
+    rows += [(100, "alone\nmenu", "aa", "single", 1), (101, "seen twice", "aa", "large", 1), (102, "seen twice", "aa", "large", 1)]
+    out = {r.doc_id: r.text for r in P.line_dedup(spark, spark.createDataFrame(rows, COLUMNS), "").collect()}
+    assert all(out[i] == f"line {i}" for i in range(65))
+    assert out[100] == "alone\nmenu" and out[101] == out[102] == "seen twice"
+
+
 def test_near_dedup_keeps_one_of_each_group(steps):
     before, after = steps["rows"][2], steps["rows"][3]
     classes = plain.near_duplicates([(i, r.text) for i, r in before.items()])
