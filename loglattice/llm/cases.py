@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglattice.llm import bitslice, chat, langid, lattice, licenses, linededup, minhash, mixing, pieces, substrings
+from loglattice.llm import (
+    bitslice, chat, infill, langid, lattice, lexical, licenses, linededup, minhash, mixing, pieces, substrings,
+)
 from loglattice.registry.case import Cases
 
 CASES = Cases()
@@ -120,3 +122,18 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CASES.add("op10_top_k_search", "exact top-k search", bitslice.OP10_SQL)
 def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@CASES.add("op11_ranked_search", "ranked lexical search", lexical.OP11_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@CASES.add("op13_fill_in_middle", "fill-in-middle transformation", infill.OP13_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )

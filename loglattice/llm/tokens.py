@@ -72,6 +72,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def code_points(buf: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
+    """The texts as one string, as an array of code points, and the code point at which each begins and the last ends."""
+    text = buf.tobytes().decode("utf-8", "surrogateescape")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) == len(buf):
+        return text, points, offsets
+    begun = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum((buf & 0xC0) != 0x80, out=begun[1:])
+    return text, points, begun[offsets]
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of whole documents with at most limit bytes, or of one document."""
     first, n = 0, len(offsets) - 1
