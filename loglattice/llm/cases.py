@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglattice.llm import (
-    bitslice, chat, infill, langid, lattice, lexical, licenses, linededup, minhash, mixing, pieces, substrings,
+    bitslice, chat, infill, langid, lattice, lexical, licenses, linededup, minhash, mixing, pieces, pii, substrings,
 )
 from loglattice.registry.case import Cases
 
@@ -137,3 +137,14 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@CASES.add("op12_pii", "PII")
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
