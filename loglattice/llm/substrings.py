@@ -1,14 +1,19 @@
-"""Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted in Spark.
-
-Each task hashes all windows of its documents. A window that repeats among them goes on only for the
-smallest document id; the larger ones are removed there and then, so a window that a third of all documents
-share costs one entry per task. What is left is packed by hash bucket, and each bucket finds the windows
-that also start in a document with a smaller id. Positions return, packed by group of documents, to their
-document, where overlapping windows merge into maximal removal intervals.
-
-The number of buckets follows the size of the text, so a bucket holds about the same number of windows at
-any scale. A bucket number and 56 further bits identify a window. Two different windows meet in a bucket
-with a chance of about (windows in a bucket) / 2^56, some 1e-11 for each window at any scale.
+"""Substring dedup: Rabin-Karp hashes of every fixed-length word window, matched in Spark.
+
+Each task hashes all windows of its documents, some megabytes of text at a time (a flush). Of a window that occurs there
+in several documents, only those with the smallest id can stay, so the others are removed there and then. One of
+the former, the leader, stands for the window when it travels to its hash bucket; where several rows share the smallest id, or a
+window repeats inside a row, the others follow what the leader is told. So a window that a third of all
+documents share costs one entry a flush, whatever their ids. A bucket finds the entries whose window also
+starts in a document with a smaller id and returns their places by row. A row's places and intervals merge
+into maximal removal intervals.
+
+A row is known by 64 bits of its id and text; rows with equal id and text have equal results and share them. The number of
+buckets follows the size of the text, so a bucket holds about the same number of windows at any scale. A window is
+known by 64 bits and its bucket, so two different ones meet with a chance of about (windows in a bucket) / 2^64, some 1e-13 for
+each window at any scale. What a flush has settled itself travels with its entries in one row, since a second
+consumer of the hashes would compute them again. Windows are packed as arrays, because a row of its own for each would
+write some six times the input to the shuffle.
 
 Defined results: null and empty texts have no words; a null id counts as the largest; rows that share an id
 are judged each on its own text and do not remove from one another; a window repeated inside one document
@@ -21,74 +26,55 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglattice.llm import tokens
+from loglattice.session import cut_lineage
 
 WINDOW = 50
-BUCKET_BYTES = 12_000_000
-GROUP_DOCS = 2000
+BUCKET_BYTES = 24_000_000
 FLUSH_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 
-PACKED = "bucket int, team int, hashes binary, refs binary"
-FOUND = "team int, removed binary"
-
-
-def _planes(values: np.ndarray) -> bytes:
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def _from_planes(raw: bytes, dtype: str, n: int) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.frombuffer(raw, np.uint8).reshape(width, n).T.copy().view(dtype).reshape(n)
-
-
-def _deltas(values: np.ndarray, dtype: str) -> np.ndarray:
-    out = values.astype(dtype)
-    out[1:] -= out[:-1].copy()
-    return out
+ENTRIES, OWN, FOLLOW = range(3)
+# Entries: hashes; key, row and number of entries of each document; places. Own: row and number of intervals of each
+# document; their starts and ends. Follow: runs of windows as row and first place, with leader (key) and its
+# first place (end) and length (count).
+PACKED = (
+    "kind int, bucket int, hashes array<bigint>, keys array<bigint>, rows array<bigint>, counts array<int>, "
+    "places array<int>, ends array<int>"
+)
+FOUND = "kind int, row bigint, starts array<int>, ends array<int>, leader bigint"
 
 
-def _pack_places(key: np.ndarray, tag: np.ndarray, place: np.ndarray) -> bytes:
-    """Removed windows as (document key, tag, first word), packed."""
-    raw = len(key).to_bytes(4, "little") + _planes(_deltas(key, "<i8")) + _planes(tag.astype("<u2")) + _planes(place.astype("<u4"))
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def _runs(*breaks: np.ndarray) -> np.ndarray:
+    """Where runs begin, given for each pair of neighbours whether any of the conditions parts them."""
+    apart = np.logical_or.reduce(breaks) if breaks else np.empty(0, bool)
+    return np.flatnonzero(np.r_[True, apart])
 
 
-def _read_places(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int.from_bytes(raw[:4], "little")
-    key = np.cumsum(_from_planes(raw[4 : 4 + 8 * n], "<i8", n))
-    return key, _from_planes(raw[4 + 8 * n : 4 + 10 * n], "<u2", n), _from_planes(raw[4 + 10 * n :], "<u4", n)
-
-
-def _teams(key: np.ndarray, teams: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (tokens.mix(key.view(np.uint64)) % np.uint64(teams)).astype(np.int32)
-
-
-def _by_team(key: np.ndarray, tag: np.ndarray, place: np.ndarray, teams: int) -> Iterator[tuple[int, bytes]]:
-    team = _teams(key, teams)
-    order = np.lexsort((place, tag, key, team))
-    for part in np.split(order, np.flatnonzero(np.diff(team[order])) + 1) if len(order) else []:
-        yield int(team[part[0]]), _pack_places(key[part], tag[part], place[part])
+def _merged(doc: np.ndarray, place: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and end of the maximal intervals that the windows cover; input sorted by document and place."""
+    if not len(doc):
+        return doc, place, place
+    begins = _runs(np.diff(doc) != 0, np.diff(place) > window)
+    last = np.r_[begins[1:], len(doc)] - 1
+    return doc[begins], place[begins], place[last] + window
 
 
 class _Flush:
-    """The windows of some documents, cleared of repeats among them and packed by bucket."""
+    """The windows of some documents, settled among them and packed by bucket."""
 
-    def __init__(self, window: int, buckets: int, teams: int):
-        self.window, self.buckets, self.teams = window, buckets, teams
+    def __init__(self, window: int, buckets: int):
+        self.window, self.buckets = window, buckets
         self.hasher, self.first, self.second = tokens.WordHasher(11), tokens.Roller(21), tokens.Roller(22)
         self.clear()
 
     def clear(self) -> None:
-        self.parts, self.keys, self.tags, self.size, self.docs = [], [], [], 0, 0
+        self.parts, self.keys, self.rows, self.size, self.docs = [], [], [], 0, 0
 
-    def add(self, buf: np.ndarray, offsets: np.ndarray, keys: np.ndarray, tags: np.ndarray) -> None:
+    def add(self, buf: np.ndarray, offsets: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
         starts, ends, doc = tokens.word_spans(buf, offsets, tokens.NOT_SPACE)
         words = self.hasher(buf, starts, ends)
         at, one = tokens.window_hashes(self.first, words, doc, self.window)
@@ -96,11 +82,10 @@ class _Flush:
         begin = np.searchsorted(doc, np.arange(len(keys)))
         bucket = (two >> np.uint64(33)) % np.uint64(self.buckets)
         self.parts.append(
-            (one >> np.uint64(8), bucket.astype(np.uint32), (doc[at] + self.docs).astype(np.uint32),
-             (at - begin[doc[at]]).astype(np.uint32))
+            (one.view(np.int64), bucket.astype(np.int32), (doc[at] + self.docs).astype(np.int32), (at - begin[doc[at]]).astype(np.int32))
         )
         self.keys.append(keys)
-        self.tags.append(tags)
+        self.rows.append(rows)
         self.docs += len(keys)
         self.size += len(buf)
 
@@ -108,64 +93,83 @@ class _Flush:
         if not self.parts:
             return
         hashes, bucket, doc, place = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        keys, tags = np.concatenate(self.keys), np.concatenate(self.tags)
+        keys, rows = np.concatenate(self.keys), np.concatenate(self.rows)
         self.clear()
-        order = np.argsort(hashes)
-        gone = order[_larger(hashes[order], keys[doc[order]])]
-        stays = np.ones(len(hashes), bool)
-        stays[gone] = False
-        kept = np.flatnonzero(stays)
-        small = bucket[kept].astype(np.uint16) if self.buckets <= 65536 else bucket[kept]
-        kept = kept[np.argsort(small, kind="stable")]
+        # Rows with equal id and text share their results, so one of them is enough.
+        alone = np.zeros(len(rows), bool)
+        alone[np.unique(rows, return_index=True)[1]] = True
+        hashes, bucket, doc, place = (x[alone[doc]] for x in (hashes, bucket, doc, place))
+        if not len(hashes):
+            return
+        # Entries of one window stand together, the smallest id first, then in the order of documents and places.
+        order = np.argsort(hashes, kind="stable")
+        shared = np.zeros(len(order), bool)
+        equal = hashes[order][1:] == hashes[order][:-1]
+        shared[1:] |= equal
+        shared[:-1] |= equal
+        several = order[shared]
+        several = several[np.lexsort((place[several], doc[several], keys[doc[several]], hashes[several]))]
+        leads = np.ones(len(hashes), bool)
+        if len(several):
+            begins = _runs(np.diff(hashes[several]) != 0)
+            leader = np.repeat(several[begins], np.diff(np.r_[begins, len(several)]))
+            leads[several] = several == leader
+            gone = np.sort(several[keys[doc[several]] > keys[doc[leader]]])
+            yield from self._own(doc[gone], place[gone], rows)
+            ties = (keys[doc[several]] == keys[doc[leader]]) & (several != leader)
+            ties &= (rows[doc[several]] != rows[doc[leader]]) | (place[several] != place[leader])
+            sent = np.argsort(several[ties], kind="stable")
+            yield from self._follow(several[ties][sent], leader[ties][sent], doc, place, rows)
+        kept = np.flatnonzero(leads)
+        kept = kept[np.argsort(bucket[kept], kind="stable")]
         cuts = np.flatnonzero(np.diff(bucket[kept])) + 1
-        rows = []
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for part in np.split(kept, cuts) if len(kept) else []:
-            here, which, count = np.unique(doc[part], return_index=True, return_counts=True)
-            place_delta = place[part].copy()
-            inner = np.ones(len(part), bool)
-            inner[which] = False
-            place_delta[inner] -= place[part][np.flatnonzero(inner) - 1]
-            refs = squeeze.compress(
-                len(here).to_bytes(4, "little") + _planes(place_delta) + _planes(_deltas(keys[here], "<i8"))
-                + _planes(tags[here].astype("<u2")) + _planes(count.astype("<u4"))
-            )
-            packed = hashes[part].view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-            rows.append((int(bucket[part[0]]), None, packed, refs))
-        # What was removed here passes through some bucket on its way to its document.
-        d = doc[gone]
-        rows += [(t % self.buckets, t, None, blob) for t, blob in _by_team(keys[d], tags[d], place[gone], self.teams)]
-        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        names = ["bucket", "team", "hashes", "refs"]
-        for i in range(0, len(rows), 200):
-            cols = zip(*rows[i : i + 200], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
-
-
-def _larger(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Numbers of the entries, sorted by hash, whose key is above the smallest key of their hash."""
-    same = hashes[1:] == hashes[:-1]
-    repeated = np.zeros(len(hashes), bool)
-    repeated[1:] |= same
-    repeated[:-1] |= same
-    at = np.flatnonzero(repeated)
-    if not len(at):
-        return at
-    begins = np.flatnonzero(np.r_[True, hashes[at][1:] != hashes[at][:-1]])
-    least = np.minimum.reduceat(keys[at], begins)
-    return at[keys[at] > np.repeat(least, np.diff(np.r_[begins, len(at)]))]
-
-
-def _pack(window: int, buckets: int, teams: int):
+        out = []
+        for part in np.split(kept, cuts):
+            begins = _runs(np.diff(doc[part]) != 0)
+            here = doc[part[begins]]
+            counts = np.diff(np.r_[begins, len(part)])
+            out.append((ENTRIES, int(bucket[part[0]]), hashes[part], keys[here], rows[here], counts, place[part], None))
+            if len(out) == 100:
+                yield _batch(out)
+                out = []
+        if out:
+            yield _batch(out)
+
+    def _own(self, doc: np.ndarray, place: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        doc, start, end = _merged(doc, place, self.window)
+        if len(doc):
+            begins = _runs(np.diff(doc) != 0)
+            counts = np.diff(np.r_[begins, len(doc)])
+            yield _batch([(OWN, int(rows[doc[0]] % self.buckets), None, None, rows[doc[begins]], counts, start, end)])
+
+    def _follow(self, one, leader, doc, place, rows) -> Iterator[pa.RecordBatch]:
+        """Runs of windows of a row that go along a run of windows of its leader."""
+        if len(one):
+            steady = [np.diff(x[y]) for x, y in ((doc, one), (place, one), (doc, leader), (place, leader))]
+            begins = _runs(steady[0] != 0, steady[1] != 1, steady[2] != 0, steady[3] != 1)
+            counts = np.diff(np.r_[begins, len(one)])
+            a, b = one[begins], leader[begins]
+            yield _batch([(FOLLOW, int(rows[doc[a[0]]] % self.buckets), None, rows[doc[b]], rows[doc[a]], counts, place[a], place[b])])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.int32())] * 3]
+    names = [part.split()[0] for part in PACKED.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+    )
+
+
+def _pack(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flush = _Flush(window, buckets, teams)
+        flush = _Flush(window, buckets)
         for batch in batches:
             buf, offsets = tokens.text_bytes(batch.column("text"))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
-            tags = batch.column("tag").to_numpy(zero_copy_only=False)
+            rows = batch.column("row").to_numpy(zero_copy_only=False)
             for i, j in tokens.chunks(offsets):
                 own = offsets[i : j + 1]
-                flush.add(buf[own[0] : own[-1]], own - own[0], keys[i:j], tags[i:j])
+                flush.add(buf[own[0] : own[-1]], own - own[0], keys[i:j], rows[i:j])
                 if flush.size >= FLUSH_BYTES:
                     yield from flush.packed()
         yield from flush.packed()
@@ -173,110 +177,119 @@ def _pack(window: int, buckets: int, teams: int):
     return run
 
 
-def _unpack(hashes: bytes, refs: bytes) -> tuple[np.ndarray, ...]:
-    n = len(hashes) // 7
-    wide = np.zeros((n, 8), np.uint8)
-    wide[:, :7] = np.frombuffer(hashes, np.uint8).reshape(n, 7)
-    raw = zstandard.ZstdDecompressor().decompress(refs)
-    docs, at = int.from_bytes(raw[:4], "little"), 4
-    place_delta = _from_planes(raw[at : at + 4 * n], "<u4", n)
-    at += 4 * n
-    keys = np.cumsum(_from_planes(raw[at : at + 8 * docs], "<i8", docs))
-    at += 8 * docs
-    tags = _from_planes(raw[at : at + 2 * docs], "<u2", docs)
-    count = _from_planes(raw[at + 2 * docs :], "<u4", docs).astype(np.int64)
-    total = np.cumsum(place_delta, dtype=np.int64)
-    first = np.cumsum(count) - count
-    place = total - np.repeat(total[first] - place_delta[first], count)
-    return wide.reshape(-1).view("<u8"), np.repeat(keys, count), np.repeat(tags, count), place
-
-
-def _match(teams: int):
-    def run(table: pa.Table) -> pa.Table:
-        """Windows of one bucket that also start in a document with a smaller id."""
-        done = table.filter(table.column("hashes").is_null())
-        parts = [
-            _unpack(h.as_py(), r.as_py()) for h, r in zip(table.column("hashes"), table.column("refs"), strict=True) if h.is_valid
-        ]
-        found = list(zip(done.column("team").to_pylist(), done.column("refs").to_pylist(), strict=True))
-        if parts:
-            h, key, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(h)
-            gone = order[_larger(h[order], key[order])]
-            found += _by_team(key[gone], tag[gone], place[gone], teams)
-        cols = list(zip(*found, strict=True)) or [(), ()]
-        return pa.table({"team": pa.array(cols[0], pa.int32()), "removed": pa.array(cols[1], pa.binary())})
-
-    return run
-
-
-def covered(n_words: int, places: np.ndarray, window: int) -> np.ndarray:
-    """True for every word inside a removed window; touching windows merge into one interval."""
-    edge = np.zeros(n_words + 1, np.int32)
-    starts = np.unique(places.astype(np.int64))
-    edge[starts] += 1
-    edge[starts + window] -= 1
+def _flat(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(n).combine_chunks().flatten().to_numpy(zero_copy_only=False) for n in names]
+
+
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def _match(table: pa.Table) -> pa.Table:
+    """Places of one bucket whose window also starts in a document with a smaller id, and what flushes settled."""
+    kind = table.column("kind").to_numpy()
+    names, out = ["kind", "row", "starts", "ends", "leader"], []
+
+    def add(what: int, row: np.ndarray, starts: pa.Array, ends: pa.Array | None = None, leader: np.ndarray | None = None) -> None:
+        n = len(row)
+        out.append(pa.table([
+            pa.array(np.full(n, what, np.int32)), pa.array(row), starts, ends if ends is not None else pa.nulls(n, pa.list_(pa.int32())),
+            pa.array(leader) if leader is not None else pa.nulls(n, pa.int64()),
+        ], names=names))
+
+    entries, own, follow = (table.filter(pa.array(kind == k)) for k in (ENTRIES, OWN, FOLLOW))
+    if len(entries):
+        hashes, keys, rows, counts, places = _flat(entries, "hashes", "keys", "rows", "counts", "places")
+        order = np.argsort(hashes, kind="stable")
+        equal = hashes[order][1:] == hashes[order][:-1]
+        shared = np.zeros(len(order), bool)
+        shared[1:] |= equal
+        shared[:-1] |= equal
+        at, doc = order[shared], np.repeat(np.arange(len(counts)), counts)[order[shared]]
+        if len(at):
+            begins = _runs(np.diff(hashes[at]) != 0)
+            least = np.minimum.reduceat(keys[doc], begins)
+            gone = keys[doc] > np.repeat(least, np.diff(np.r_[begins, len(at)]))
+            row, place = rows[doc[gone]], places[at[gone]]
+            sort = np.lexsort((place, row))
+            row, place = row[sort], place[sort]
+            if len(row):
+                begins = _runs(np.diff(row) != 0)
+                add(ENTRIES, row[begins], _lists(np.diff(np.r_[begins, len(row)]), place))
+    if len(own):
+        rows, counts, starts, ends = _flat(own, "rows", "counts", "places", "ends")
+        add(OWN, rows, _lists(counts, starts), _lists(counts, ends))
+    if len(follow):
+        rows, leaders, counts, starts, first = _flat(follow, "rows", "keys", "counts", "places", "ends")
+        # A run's first place, and its leader's first place and the place after its last.
+        add(FOLLOW, rows, _lists(np.ones(len(rows)), starts), _lists(np.full(len(rows), 2), np.c_[first, first + counts].ravel()), leaders)
+    none = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("leader", pa.int64())])
+    return pa.concat_tables(out) if out else none.empty_table()
+
+
+def covered(n_words: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """True for every word inside an interval."""
+    edge = np.zeros(n_words + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, ends, -1)
     return np.cumsum(edge)[:n_words] > 0
 
 
-def _squeeze(teams: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            small = [squeeze.compress(x.encode()) if x is not None else None for x in batch.column("text").to_pylist()]
-            i = batch.schema.get_field_index("text")
-            team = pa.array(_teams(batch.column("key").to_numpy(zero_copy_only=False), teams))
-            yield batch.set_column(i, "text", pa.array(small, pa.binary())).append_column("team", team)
-
-    return run
-
-
-def _apply(window: int):
-    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        widen = zstandard.ZstdDecompressor()
-        parts = [_read_places(b.as_py()) for b in found.column("removed")]
-        none = np.empty(0, np.int64)
-        key, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none, none, none)
-        order = np.lexsort((tag, key))
-        key, tag, place = key[order], tag[order].astype(np.int64), place[order]
+def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        starts, ends = batch.column("starts"), batch.column("ends")
+        edge = np.r_[0, np.cumsum(starts.value_lengths().fill_null(0).to_numpy())]
+        starts, ends = (x.flatten().to_numpy(zero_copy_only=False) for x in (starts, ends))
         totals, removed, kept = [], [], []
-        for k, t, small in zip(docs.column("key").to_pylist(), docs.column("tag").to_pylist(), docs.column("text"), strict=True):
-            words = widen.decompress(small.as_py()).split() if small.is_valid else []
-            low, high = np.searchsorted(key, [k, k + 1]) if k < LAST else (np.searchsorted(key, k), len(key))
-            mine = place[low:high][tag[low:high] == t]
+        for i, text in enumerate(batch.column("text")):
+            words = text.as_py().encode().split() if text.is_valid else []
             totals.append(len(words))
-            if len(mine):
-                out = covered(len(words), mine, window)
+            low, high = edge[i], edge[i + 1]
+            if high > low:
+                out = covered(len(words), starts[low:high], ends[low:high])
                 removed.append(int(out.sum()))
-                words = [words[i] for i in np.flatnonzero(~out).tolist()]
+                words = [words[w] for w in np.flatnonzero(~out).tolist()]
             else:
                 removed.append(0)
             kept.append(b" ".join(words).decode())
-        return pa.table({
-            "doc_id": docs.column("doc_id"), "n_words": pa.array(totals, pa.int64()),
-            "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string()),
-        })
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept"],
+        )
 
-    return run
+
+def _removals(found: DataFrame, window: int) -> DataFrame:
+    """Rows (row, starts, ends): all intervals to take out of a row."""
+    windows = found.filter(F.col("kind") == ENTRIES).select("row", "starts")
+    own = found.filter(F.col("kind") == OWN).select("row", "starts", "ends")
+    follow = found.filter(F.col("kind") == FOLLOW).select(
+        "leader", F.col("row").alias("follower"), F.col("starts")[0].alias("start"),
+        F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"),
+    )
+    told = follow.join(windows, F.col("leader") == F.col("row")).select(
+        F.col("follower").alias("row"),
+        F.transform(
+            F.filter("starts", lambda s: (s >= F.col("low")) & (s < F.col("high"))), lambda s: s - F.col("low") + F.col("start")
+        ).alias("starts"),
+    )
+    each = windows.unionByName(told).withColumn("ends", F.transform("starts", lambda s: s + window)).unionByName(own)
+    listed = each.groupBy("row").agg(F.collect_set(F.struct("starts", "ends")).alias("sets"))
+    return listed.select("row", F.flatten("sets.starts").alias("starts"), F.flatten("sets.ends").alias("ends"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept): words left after every repeated window is removed."""
     spark = docs.sparkSession
+    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST)))
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("key"),
-        # Tells rows with the same id apart.
-        F.pmod(F.xxhash64(F.col(text)), F.lit(65536)).cast("int").alias("tag"),
-        F.col(text).alias("text"),
+        F.col(doc_id).cast("long").alias("doc_id"), key.alias("key"), F.xxhash64(key, F.col(text)).alias("row"), F.col(text).alias("text")
     )
-    size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(-(-(size[0] or 0) // BUCKET_BYTES), 2 * width)
-    teams = max(-(-size[1] // GROUP_DOCS), 4 * width)
-    packed = rows.select("key", "tag", "text").mapInArrow(_pack(window, buckets, teams), PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_match(teams), FOUND)
-    small = rows.mapInArrow(_squeeze(teams), "doc_id bigint, key bigint, tag int, text binary, team int")
-    return small.groupBy("team").cogroup(found.groupBy("team")).applyInArrow(
-        _apply(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    buckets = max(-(-size // BUCKET_BYTES), width)
+    packed = rows.filter(F.octet_length("text") >= 2 * window - 1).select("key", "row", "text").mapInArrow(_pack(window, buckets), PACKED)
+    found = cut_lineage(packed.groupBy("bucket").applyInArrow(_match, FOUND))
+    joined = rows.select("doc_id", "row", "text").join(_removals(found, window), "row", "left")
+    return joined.select("doc_id", "text", "starts", "ends").mapInArrow(
+        _apply, "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     )

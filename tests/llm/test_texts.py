@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from loglattice.llm import licenses, linededup, minhash, substrings, tokens
@@ -119,6 +120,37 @@ def test_repeats_are_found_across_partitions_and_flushes(spark, repeats, monkeyp
     assert sorted(rows, key=str) == sorted(plain.without_repeats(repeats, 20), key=str)
 
 
+@pytest.mark.parametrize("flush", [100, 8_000_000])
+def test_repeats_among_null_and_repeated_ids(spark, monkeypatch, flush):
+    monkeypatch.setattr(substrings, "FLUSH_BYTES", flush)
+    draw = random.Random(9)
+    passages = [prose(30, 100 + i) for i in range(4)]
+
+    def text(i):
+        own, mid = prose(15, i), draw.choice(passages)
+        return " ".join(own[:7] + mid[draw.randrange(5) :] + own[7:] + draw.choice([[], mid]))
+
+    rows = [(i, text(i)) for i in range(60)] + [(None, text(1000 + i)) for i in range(1500)] + [(5, text(3000 + i)) for i in range(40)]
+    rows += [(None, rows[70][1])] * 300 + [(5, rows[3][1])] * 20 + [(None, None)] * 200 + [(None, "")] * 50 + [(2, None)]
+    out = [tuple(r) for r in substrings.remove_repeats(make(spark, rows).repartition(6), window=20).collect()]
+    assert sorted(out, key=str) == sorted(plain.without_repeats(rows, 20), key=str)
+
+
+def test_rows_between_tasks_grow_with_the_table(monkeypatch):
+    monkeypatch.setattr(substrings, "FLUSH_BYTES", 20_000)
+    counts = []
+    for n in (200, 400, 800):
+        texts = [" ".join(prose(60, i) + prose(25, 7)) for i in range(n)]
+        ids = pa.array(np.arange(n))
+        given = [pa.RecordBatch.from_arrays([ids.slice(i, 50), ids.slice(i, 50), pa.array(texts[i : i + 50])], names=["key", "row", "text"])
+                 for i in range(0, n, 50)]
+        buckets = n // 50
+        packs = pa.Table.from_batches(list(substrings._pack(20, buckets)(iter(given))))
+        found = [substrings._match(packs.filter(pa.compute.equal(packs["bucket"], b))) for b in range(buckets)]
+        counts.append(sum(map(len, found)))
+    assert counts[2] < 2.6 * counts[1] < 2.6 * 2.6 * counts[0]
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substrings.remove_repeats(make(spark, [(1, "a")]).filter("doc_id < 0")).collect() == []
 
