@@ -23,6 +23,8 @@ def in_blocks(df: DataFrame, keys: list[str], member: str, size: int = BLOCK) ->
         .withColumn("low", F.least("own", "_other"))
         .withColumn("high", F.greatest("own", "_other"))
         .drop("_members", "_blocks", "_other")
+        # Else the pairs of blocks of a large group would stay together in the task that its key was dealt to.
+        .repartition(*keys, "low", "high")
     )
 
 

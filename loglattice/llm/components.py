@@ -13,7 +13,7 @@ EDGES_PER_TASK = 20_000
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b").cast("decimal(20,0)"))).first())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -17,8 +17,9 @@ than 36 of 64 coordinates are not compared in the second step, which at 0.8 has
 
 Defined results: words are what stands between white space, unchanged; a text of one to four words is one
 shingle; null and empty texts and texts of white space have none and are classes of their own; a null id
-counts as the largest id; rows that share an id are placed each by its own text, and texts whose smallest id is
-the same share a class; an empty table gives an empty result. Other columns are ignored.
+counts as the largest id, so a class of null ids alone has a null class_id; rows that share an id are placed each by
+its own text; of rows that repeat, ids included, one is kept; an empty table gives an empty result. Classes are
+told apart by 64 bits of their shingles. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -169,9 +170,9 @@ def _sign(size: int, k: int, rows: int):
                 sketch = (tokens.mix(signature) & np.uint64(255)).astype(np.uint8)
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(i, n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                    [*(batch.column(c).slice(i, n) for c in ("row", "key", "mark")), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                      pa.array(total.astype(np.int64)), bands.cast(pa.list_(pa.int64())), pa.array([r.tobytes() for r in sketch])],
-                    names=["key", "d1", "d2", "total", "bands", "sketch"],
+                    names=["row", "key", "mark", "d1", "d2", "total", "bands", "sketch"],
                 )
 
     return run
@@ -273,28 +274,39 @@ def _compare(size: int, least: float, threshold: float):
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
-    threshold: float = THRESHOLD, k: int = COORDINATES, rows: int = BAND_ROWS,
+    threshold: float = THRESHOLD, k: int = COORDINATES, rows: int = BAND_ROWS, carry: list[str] | None = None,
 ) -> DataFrame:
-    """Rows (doc_id, class_id, kept), one for each row of docs; class_id is the smallest id of the class."""
-    rows_in = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
+    """Rows (doc_id, class_id, kept), one for each row of docs, with the carried columns of its row as `row`.
+
+    class_id is the smallest id of the class; of each class one row is kept, one with that id.
+    """
+    given = docs.select(
+        F.struct(*[F.col(c) for c in carry or [doc_id]]).alias("row"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("key"),
         F.col(text).alias("text"),
+    ).withColumn("mark", F.xxhash64("text"))
+    sign = "d1 bigint, d2 bigint, total bigint, bands array<bigint>, sketch binary"
+    signed = cut_lineage(
+        given.mapInArrow(_sign(size, k, rows), f"row {given.schema['row'].dataType.simpleString()}, key bigint, mark bigint, {sign}")
+        .withColumn("number", F.monotonically_increasing_id())
     )
-    sign = "key bigint, d1 bigint, d2 bigint, total bigint, bands array<bigint>, sketch binary"
-    signed = cut_lineage(rows_in.select("key", "text").mapInArrow(_sign(size, k, rows), sign))
-    some = signed.filter("total > 0")
-    classes = some.groupBy("d1", "d2", "total").agg(
-        F.min("key").alias("rep"), F.min_by("bands", "key").alias("bands"), F.min_by("sketch", "key").alias("sketch")
+    some = signed.filter("total > 0").withColumn("first", F.struct("key", "number"))
+    classes = cut_lineage(
+        some.groupBy("d1", "d2", "total").agg(
+            F.min("first").alias("first"), F.min_by("mark", "first").alias("mark"),
+            F.min_by("bands", "first").alias("bands"), F.min_by("sketch", "first").alias("sketch"),
+        ).withColumn("rep", F.xxhash64("d1", "d2", "total"))
     )
-    classes = cut_lineage(classes)
     buckets = classes.select("rep", "total", F.posexplode("bands").alias("band", "value"))
     sizes = buckets.groupBy("band", "value").agg(F.min("rep").alias("leader"), F.max("rep").alias("other"))
     shared = sizes.filter("leader < other").select("band", "value", "leader")
     buckets = cut_lineage(buckets.join(shared, ["band", "value"]))
-    involved = buckets.select(F.col("rep").alias("key")).distinct()
-    texts = cut_lineage(rows_in.join(involved, "key", "left_semi").select("key", "text").dropDuplicates(["key"]))
-    totals = classes.groupBy(F.col("rep").alias("leader")).agg(F.max("total").alias("leader_total"))
+    involved = buckets.select("rep").distinct()
+    wanted = classes.join(involved, "rep", "left_semi").select("rep", F.col("first.key").alias("key"), "mark")
+    texts = cut_lineage(
+        given.join(wanted, ["key", "mark"]).select(F.col("rep").alias("key"), "text").dropDuplicates(["key"])
+    )
+    totals = classes.select(F.col("rep").alias("leader"), F.col("total").alias("leader_total"))
 
     def near(x: str, y: str):
         return F.least(x, y) >= F.greatest(x, y) * threshold - 1e-9
@@ -333,15 +345,42 @@ def near_duplicates(
     part_of = {s: joined.select(F.col("node").alias(s), F.col("component").alias(f"part_{s}")) for s in ("a", "b")}
     between = second.join(part_of["a"], "a", "left").join(part_of["b"], "b", "left")
     whole = connected_components(between.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
-    parts = classes.select("d1", "d2", "total", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    named = parts.select("d1", "d2", "total", F.coalesce("component", "rep").alias("node")).join(
-        whole, "node", "left"
-    ).select("d1", "d2", "total", F.coalesce("component", "node").alias("class_key"))
-    members = signed.select("key", "d1", "d2", "total").join(named, ["d1", "d2", "total"], "left")
-    key = F.coalesce("class_key", "key")
-    back = F.when(F.col("key") != F.lit(int(LAST)), F.col("key"))
+    parts = classes.select("d1", "d2", "total", "first", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    named = parts.withColumn("node", F.coalesce("component", "rep")).drop("component").join(whole, "node", "left").select(
+        "d1", "d2", "total", "first", F.coalesce("component", "node").alias("part")
+    )
+    least = named.groupBy("part").agg(F.min("first").alias("best"))
+    placed_classes = named.join(least, "part").select("d1", "d2", "total", "best")
+    members = signed.select("row", "key", "number", "d1", "d2", "total").join(placed_classes, ["d1", "d2", "total"], "left")
+    alone = F.col("best").isNull()
+    key = F.when(alone, F.col("key")).otherwise(F.col("best.key"))
     return members.select(
-        back.alias("doc_id"),
+        "row",
+        F.when(F.col("key") != F.lit(int(LAST)), F.col("key")).alias("doc_id"),
         F.when(key != F.lit(int(LAST)), key).alias("class_id"),
-        (F.col("key") == key).alias("kept"),
+        (alone | (F.col("number") == F.col("best.number"))).alias("kept"),
+    )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs without near copies: one whole row of each class stays.
+
+    Rows are told apart by 128 bits of all their columns, whatever their ids; of rows that are equal in all columns one stays.
+    """
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    # The columns stand in one struct, so that names that clash with the marks do no harm.
+    marked = docs.select(
+        F.struct(*every).alias("whole"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+        F.xxhash64(*every).alias("m1"), F.xxhash64(F.lit("second"), *every).alias("m2"),
+    )
+    told = near_duplicates(marked, carry=["m1", "m2"], **options)
+    decided = cut_lineage(
+        told.groupBy("row.m1", "row.m2").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     )
+    marks = ["m1", "m2"]
+    left = marked.join(decided.filter("not kept").select(*marks), marks, "left_anti")
+    repeated = decided.filter("kept and n > 1").select(*marks)
+    if repeated.isEmpty():
+        return left.select("whole.*")
+    single = left.join(repeated, marks, "left_anti")
+    return single.union(left.join(repeated, marks, "left_semi").dropDuplicates(marks)).select("whole.*")

@@ -177,11 +177,28 @@ def test_near_duplicates_with_null_ids_and_repeated_rows(spark):
     text = " ".join(prose(50, 1))
     out = minhash.near_duplicates(make(spark, [(4, text), (4, text), (None, text), (None, "other words"), (6, "x")])).collect()
     got = sorted((str(r.doc_id), str(r.class_id), r.kept) for r in out)
-    want = [("4", "4", True), ("4", "4", True), ("6", "6", True), ("None", "4", False), ("None", "None", True)]
+    # Of the two equal rows one is kept.
+    want = [("4", "4", False), ("4", "4", True), ("6", "6", True), ("None", "4", False), ("None", "None", True)]
     assert got == want
     assert minhash.near_duplicates(make(spark, [(1, "a")]).filter("doc_id < 0")).count() == 0
 
 
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    unique = [" ".join(prose(60, i)) for i in range(40)]
+    copy, near = " ".join(prose(80, 900)), edited(prose(80, 900), 1, 5)
+    rows = [(3, copy), (5, copy), (5, unique[0]), (None, copy), (None, near), (None, unique[1]), (9, unique[2]), (9, unique[2])]
+    rows += [(7, unique[i]) for i in range(3, 20)] + [(None, unique[i]) for i in range(20, 40)] + [(None, unique[30])] * 25
+    rows += [(8, None), (8, None), (None, ""), (None, "")]
+    docs = make(spark, rows).repartition(5)
+    kept = minhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    texts = sorted(r.text for r in kept.collect() if r.text)
+    assert [t for t in texts if t not in (copy, near)] == sorted(unique) and len(texts) == len(unique) + 1
+    assert [r.doc_id for r in kept.collect() if r.text in (copy, near)] == [3]
+    out = minhash.near_duplicates(docs).collect()
+    assert len(out) == len(rows) and sum(r.kept for r in out) == len(unique) + 1 + 4
+
+
 def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     from loglattice.llm import blocks
 
