@@ -41,8 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return minhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
