@@ -30,9 +30,11 @@ from loglattice.llm import tokens
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
-# Bounds of what is learned: about this many labelled documents, and the most frequent languages among them.
-MAX_TRAINING_DOCS = 30_000
-MAX_LANGUAGES = 64
+# Bounds of what is learned: about this many labelled documents of each language, and so many numbers in the matrix.
+# Every language is learned; where there are very many, n-grams share fewer buckets.
+DOCS_PER_LANGUAGE = 8000
+MATRIX_CELLS = 1 << 24
+FEWEST_BUCKETS = 256
 UNDETERMINED = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -98,9 +100,10 @@ def _count(labels: list[str], buckets: int):
                 of = np.array([number[x] for x in langs[i:j]])
                 for hashed, edge in ngram_buckets(buf[own[0] : own[-1]], own - own[0], buckets):
                     each = np.repeat(of, np.diff(edge))
-                    for label in np.unique(each):
-                        held = counts.setdefault(int(label), np.zeros(buckets, np.int64))
-                        held += np.bincount(hashed[each == label], minlength=buckets)
+                    order = np.argsort(each, kind="stable")
+                    for part in np.split(order, np.flatnonzero(np.diff(each[order])) + 1) if len(order) else []:
+                        held = counts.setdefault(int(each[part[0]]), np.zeros(buckets, np.int64))
+                        held += np.bincount(hashed[part], minlength=buckets)
         for label, held in counts.items():
             some = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays(
@@ -113,21 +116,24 @@ def _count(labels: list[str], buckets: int):
 
 def train(
     docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    max_docs: int = MAX_TRAINING_DOCS, max_languages: int = MAX_LANGUAGES, buckets: int = BUCKETS,
+    docs_per_language: int = DOCS_PER_LANGUAGE, buckets: int = BUCKETS,
 ) -> Model:
-    """Learn from the rows where `learn` holds and text and lang are not null."""
+    """Learn from the rows where `learn` holds and text and lang are not null: a sample of each language, drawn by hash of id and text."""
     labelled = docs.filter(learn & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.col(doc_id), F.lit(4)), F.lit(1 << 20)).alias("lot"),
+        F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit(4)), F.lit(1 << 20)).alias("lot"),
     )
-    n = labelled.count()
-    sample = labelled.filter(F.col("lot") < int((1 << 20) * min(1.0, max_docs / max(n, 1))) + 1)
-    frequent = sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not frequent:
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n")).withColumn(
+        "upto", F.floor((1 << 20) * F.least(F.lit(1.0), docs_per_language / F.col("n"))) + 1
+    )
+    known = sorted(counted.collect(), key=lambda r: r["lang"])
+    labels = [r["lang"] for r in known]
+    while len(labels) * buckets > MATRIX_CELLS and buckets > FEWEST_BUCKETS:
+        buckets //= 2
+    if not labels:
         return Model([], np.zeros(0), np.zeros((0, buckets), np.float32))
-    frequent.sort(key=lambda r: r["lang"])
-    labels = [r["lang"] for r in frequent]
-    sample = sample.filter(F.col("lang").isin(labels)).select("lang", "text")
+    limits = docs.sparkSession.createDataFrame([(r["lang"], r["upto"]) for r in known], "known string, upto bigint")
+    sample = labelled.join(limits, (F.col("lang") == F.col("known")) & (F.col("lot") < F.col("upto"))).select("lang", "text")
     # At most languages x buckets numbers come to the driver.
     sums = (
         sample.mapInArrow(_count(labels, buckets), "label int, bucket int, n bigint")
@@ -135,7 +141,7 @@ def train(
     )
     counts = np.full((len(labels), buckets), SMOOTHING)
     counts[sums.column("label").to_numpy(), sums.column("bucket").to_numpy()] += sums.column("n").to_numpy()
-    seen = np.array([r["count"] for r in frequent], float)
+    seen = np.array([r["n"] for r in known], float)
     log_prob = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
     return Model(labels, np.log(seen / seen.sum()), log_prob)
 

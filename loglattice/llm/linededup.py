@@ -1,15 +1,14 @@
 """Line dedup by site-relative frequency.
 
 A line is boilerplate of a host when the pages of that host which hold it, divided by all pages of the
-host, exceed a ratio, and it stands on at least min_pages pages of the host. Both counts are partial sums before their shuffle, so a hot host costs one row per
-distinct line and task. The lines above the ratio number at most (mean distinct lines per page) / ratio
+host, exceed a ratio; a line on a single page stays. Both counts are partial sums before their shuffle, so a hot host
+costs one row per distinct line and task. The lines above the ratio number at most (mean distinct lines per page) / ratio
 for each host, whatever its size, so they travel as one array per host.
 
 Defined results: a null text stays null and has 0 lines; an empty text is one blank line; blank lines are
 neither counted nor dropped; a null host is a host of its own; every row is one page, repeated rows too,
-and a line repeated on a page counts once; with the defaults, a ratio of 0.1 and a floor of 10 pages, hosts with
-fewer than 10 pages lose nothing, and up to 100 pages the floor asks for more than the ratio. With FEWEST_PAGES as
-the floor, which the pipeline takes, the ratio decides for every host, and a line on one page stays. Other columns pass through whatever their names.
+and a line repeated on a page counts once; the ratio decides for hosts of any size, but a line that only one page
+holds stays. Other columns pass through whatever their names.
 Lines are compared by a 64-bit hash within their host only.
 """
 
@@ -21,10 +20,8 @@ from pyspark.sql import functions as F
 from loglattice.session import cut_lineage
 
 RATIO = 0.1
-# The floor of op5, whose SQL states it.
-MIN_PAGES = 10
 # The lowest floor that leaves a line alone which no other page of its host holds.
-FEWEST_PAGES = 2
+MIN_PAGES = 2
 
 
 def _lines(text: str) -> Column:

@@ -7,7 +7,9 @@ a bracket, find every lambda at once. A rate depends on source and size alone, s
 histogram of (source, size), not over documents.
 
 Rates become copies by systematic rounding in the order of size: a source's words then miss their target
-by about one document. Sums are decimals, so their order cannot change a result and reruns agree.
+by about one document. What is missing, or too much, is then made up by one copy more, or less, of single documents, from
+the largest size that fits downwards, so that a source ends nearer to its target than the size of its smallest
+document that can still change. Sums are decimals, so their order cannot change a result and reruns agree.
 
 Defined results: null and empty texts have size 0 and are taken once, adding no words; a null source is a
 source of its own, after all others; rows that repeat are separate documents; an empty table gives an empty
@@ -161,6 +163,53 @@ def balanced_rates(hist: DataFrame, targets: DataFrame, cap: float = CAP) -> Dat
     )
 
 
+def _copied(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """Add group and copies: the rates of a source's documents, in the order of size, rounded systematically."""
+    spread = F.ceil(F.col("n") / ROUND_GROUP)
+    joined = rows.join(
+        rates, F.col("src").eqNullSafe(F.col("rate_src")) & (F.col("size") == F.col("rate_size"))
+    ).withColumn("group", F.pmod(F.col("order"), spread))
+    place = F.row_number().over(Window.partitionBy("src", "size", "group").orderBy("order"))
+    # A single group goes on where smaller sizes stopped; the groups of a frequent size start anywhere.
+    own_start = (F.pmod(F.xxhash64("src", "size", "group"), F.lit(1000)) / 1000).cast("decimal(38,9)")
+    begin = F.when(F.col("n") > ROUND_GROUP, own_start).otherwise(F.col("start") + F.lit(0.5).cast("decimal(2,1)"))
+
+    def upto(k: Column) -> Column:
+        return F.floor(F.col("begin") + (k * F.col("rate")).cast("decimal(38,9)"))
+
+    copies = (upto(F.col("place")) - upto(F.col("place") - 1)).cast("long")
+    return joined.withColumn("place", place).withColumn("begin", begin.cast("decimal(38,9)")).withColumn("copies", copies)
+
+
+def _changes(groups: DataFrame) -> DataFrame:
+    """Rows (src, size, group, sign, quota): how many documents of a group take one copy more or less.
+
+    A source's gap is filled from the largest size that fits downwards; the sizes that can fit are fewer than the gap is wide.
+    """
+    gaps = groups.groupBy("src").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap")).select(
+        F.col("src").alias("gap_src"), F.signum("gap").cast("long").alias("sign"), F.floor(F.abs("gap")).alias("gap")
+    )
+    here = groups.filter("size > 0").join(gaps, F.col("src").eqNullSafe(F.col("gap_src"))).select(
+        "src", "size", "group", "sign", "gap", F.when(F.col("sign") > 0, F.col("more")).otherwise(F.col("fewer")).alias("able")
+    ).filter("able > 0 and size <= gap")
+    sizes = here.groupBy("src", "gap", "size").agg(F.sum("able").alias("able"))
+    listed = sizes.groupBy("src", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "able")), asc=False).alias("sizes"))
+
+    def step(state: Column, x: Column) -> Column:
+        n = F.least(x["able"], F.floor(state["gap"] / x["size"]))
+        picks = F.when(n > 0, F.concat(state["picks"], F.array(F.struct(x["size"].alias("size"), n.alias("n"))))).otherwise(state["picks"])
+        return F.struct((state["gap"] - n * x["size"]).alias("gap"), picks.alias("picks"))
+
+    empty = F.array().cast("array<struct<size:bigint,n:bigint>>")
+    chosen = listed.select(
+        F.col("src").alias("pick_src"), F.explode(F.aggregate("sizes", F.struct(F.col("gap"), empty.alias("picks")), step)["picks"]).alias("pick")
+    )
+    before = Window.partitionBy("src", "size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    picked = here.join(chosen, F.col("src").eqNullSafe(F.col("pick_src")) & (F.col("size") == F.col("pick.size")))
+    left = F.col("pick.n") - F.coalesce(F.sum("able").over(before), F.lit(0))
+    return picked.withColumn("quota", F.least("able", left)).filter("quota > 0").select("src", "size", "group", "sign", "quota")
+
+
 def mix_sources(
     docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
     weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, carry: list[str] | None = None,
@@ -171,7 +220,8 @@ def mix_sources(
             F.struct(*(carry or docs.columns)).alias("row"),
             F.col(source).alias("src"),
             word_count(text).alias("size"),
-            F.xxhash64(F.col(doc_id)).alias("order"),
+            # Rows that share an id, or have none, are apart unless they are equal in text too.
+            F.xxhash64(F.col(doc_id), F.col(text)).alias("order"),
         )
     )
     hist = cut_lineage(rows.groupBy("src", "size").agg(F.count("*").alias("n")))
@@ -183,25 +233,20 @@ def mix_sources(
         rates.withColumn("start", F.coalesce(F.sum(mass).over(before).cast("decimal(38,9)"), zero))
         .withColumnsRenamed({"src": "rate_src", "size": "rate_size"})
     )
-    spread = F.ceil(F.col("n") / ROUND_GROUP)
-    joined = rows.join(
-        rates, F.col("src").eqNullSafe(F.col("rate_src")) & (F.col("size") == F.col("rate_size"))
-    ).withColumn("group", F.pmod(F.col("order"), spread))
-    place = F.row_number().over(Window.partitionBy("src", "size", "group").orderBy("order"))
-    # A single group goes on where smaller sizes stopped; the groups of a frequent size start anywhere.
-    own_start = (F.pmod(F.xxhash64("src", "size", "group"), F.lit(1000)) / 1000).cast("decimal(38,9)")
-    begin = F.when(F.col("n") > ROUND_GROUP, own_start).otherwise(F.col("start") + F.lit(0.5).cast("decimal(2,1)"))
-
-    def upto(k: Column) -> Column:
-        return F.floor(F.col("begin") + (k * F.col("rate")).cast("decimal(38,9)"))
-
-    copies = (upto(F.col("place")) - upto(F.col("place") - 1)).cast("long")
-    return (
-        joined.withColumn("place", place)
-        .withColumn("begin", begin.cast("decimal(38,9)"))
-        .withColumn("copies", copies)
-        .select(
-            "row", "size", "source_size", "target", "rate", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
+    most = int(cap)
+    groups = cut_lineage(
+        _copied(rows.select("src", "size", "order"), rates).groupBy("src", "size", "group", "target").agg(
+            F.sum("copies").alias("copies"), F.count_if(F.col("copies") < most).alias("more"), F.count_if(F.col("copies") > 0).alias("fewer")
         )
     )
+    changes = cut_lineage(_changes(groups))
+    names = {c: f"c_{c}" for c in ("src", "size", "group")}
+    same = (F.col("src").eqNullSafe(F.col("c_src"))) & (F.col("size") == F.col("c_size")) & (F.col("group") == F.col("c_group"))
+    told = _copied(rows, rates).join(changes.withColumnsRenamed(names), same, "left")
+    able = F.when(F.col("sign") > 0, F.col("copies") < most).when(F.col("sign") < 0, F.col("copies") > 0).otherwise(False)
+    turn = F.row_number().over(Window.partitionBy("src", "size", "group").orderBy(F.col("able").desc(), "order"))
+    changed = told.withColumn("able", able).withColumn("turn", turn)
+    copies = F.col("copies") + F.when(F.col("able") & (F.col("turn") <= F.col("quota")), F.col("sign")).otherwise(0)
+    return changed.withColumn("copies", copies.cast("long")).select(
+        "row", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+    )

@@ -106,3 +106,42 @@ def viterbi(vocabulary, text):
         ids = ([i] if i >= 0 else [int(vocabulary.byte_ids[c]) for c in raw[p:q]]) + ids
         q = p
     return ids
+
+
+def bayes(train, texts, buckets, orders=(1, 2, 3), smoothing=0.5):
+    """Most probable label and its posterior by multinomial naive Bayes over hashed n-grams, in whole Python numbers."""
+    wide, top = (1 << 64) - 1, 64 - (buckets.bit_length() - 1)
+
+    def scramble(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & wide
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & wide
+        return x ^ (x >> 31)
+
+    factors = [scramble(((i + 1) * 0x9E3779B97F4A7C15 + 61) & wide) | 1 for i in range(max(orders) + 1)]
+
+    def grams(text):
+        folded = [c.lower() if c.isascii() and c.isalpha() else " " if c.isascii() else c for c in text]
+        numbers = [int.from_bytes(c.encode(), "little") for c in folded]
+        for n in orders:
+            for i in range(len(numbers) - n + 1):
+                total = sum(numbers[i + k] * factors[k] for k in range(n)) & wide
+                yield (((total ^ (total >> 29)) * factors[-1]) & wide) >> top
+
+    counts, seen = defaultdict(Counter), Counter()
+    for text, label in train:
+        counts[label].update(grams(text))
+        seen[label] += 1
+    out = []
+    for text in texts:
+        if not any(map(str.isalpha, text or "")):
+            out.append(("und", 0.0))
+            continue
+        held, score = Counter(grams(text)), {}
+        for label in sorted(seen):
+            total = sum(counts[label].values()) + smoothing * buckets
+            score[label] = math.log(seen[label] / sum(seen.values())) + sum(
+                n * math.log((counts[label][b] + smoothing) / total) for b, n in held.items()
+            )
+        best = max(score, key=lambda x: (score[x], x))
+        out.append((best, 1 / sum(math.exp(v - score[best]) for v in score.values())))
+    return out

@@ -35,6 +35,27 @@ def test_language_id_on_held_out_texts(spark):
     assert len(out) > 50 and all(r.row.lang == r.lang_pred and 0 <= r.score <= 1 for r in out)
 
 
+def test_language_id_equals_plain_naive_bayes(spark):
+    texts = sample_texts(90, seed=5) + [(900, "Über étude, naïve! 12", "bb", "s"), (901, "日本語 the", "cc", "s")]
+    docs = make(spark, texts)
+    model = langid.train(docs, F.lit(True))
+    given = [t for _, t, _, _ in texts] + ["the αβ", "zzz", "?", "", None]
+    want = plain.bayes([(t, lang) for _, t, lang, _ in texts], given, langid.BUCKETS)
+    labels, scores = langid.score_texts(model, pa.array(given))
+    assert labels == [x for x, _ in want]
+    assert np.allclose(scores, [x for _, x in want], atol=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 10)}{chr(97 + i // 10 % 10)} " * (5 + i % 7), f"l{i % 100:02d}", "s") for i in range(300)]
+    rows += [(1000 + i, "xyz wvu 日本 tsr", "big", "s") for i in range(3000)]
+    model = langid.train(make(spark, rows), F.lit(True), docs_per_language=200)
+    assert model.labels == sorted({r[2] for r in rows}) and len(model.labels) == 101
+    labels, _ = langid.score_texts(model, pa.array([r[1] for r in rows[:100]]))
+    assert labels == [r[2] for r in rows[:100]]
+    assert model.log_prob.size <= langid.MATRIX_CELLS
+
+
 def test_undetermined_texts(spark):
     docs = make(spark, sample_texts(60))
     odd = make(spark, [(1, None, "aa", None), (2, "", None, None), (3, "12 !?", None, None), (4, "и", None, None), (None, "the", None, None), (5, "the " * 30000, "bb", None)])
@@ -113,6 +134,31 @@ def test_rates_are_exponential_in_size_below_the_cap(spark, mixture):
         assert max(s) - min(s) < 1e-6 * max(1, abs(s[0])) + 1e-8
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_words_taken_come_near_the_targets_of_small_sources(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/sf{size}/documents.parquet")
+    rows = mixing.mix_sources(docs, carry=["doc_id", "source"]).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.row.source, []).append(r)
+    assert len(rows) == docs.count() and all(0 <= r.copies <= 2 for r in rows)
+    for own in by.values():
+        gap = own[0].target - sum(r.taken for r in own)
+        free = [r.size for r in own if r.size and (r.copies < 2 if gap > 0 else r.copies > 0)]
+        assert abs(gap) < min(free, default=1) or abs(gap) <= 0.02 * own[0].target
+
+
+def test_mix_with_null_and_repeated_ids(spark):
+    draw = random.Random(3)
+    rows = [(draw.choice([None, 5, i]), "w " * draw.randrange(1, 60), None, f"s{i % 2}") for i in range(600)]
+    rows += [(None, "same text here", None, None)] * 200
+    out = mixing.mix_sources(make(spark, rows), carry=["source"]).collect()
+    assert len(out) == 800
+    for source in ("s0", "s1", None):
+        own = [r for r in out if r.row.source == source]
+        assert abs(own[0].target - sum(r.taken for r in own)) < 60
+
+
 def test_mix_of_an_empty_table(spark):
     assert mixing.mix_sources(make(spark, [(1, "a", None, "s")]).filter("doc_id < 0")).count() == 0
 
