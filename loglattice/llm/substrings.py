@@ -1,10 +1,10 @@
 """Substring dedup: Rabin-Karp hashes of every fixed-length word window, matched in Spark.
 
 Each task hashes all windows of its documents, some megabytes of text at a time (a flush). Of a window that occurs there
-in several documents, only those with the smallest id can stay, so the others are removed there and then. One of
-the former, the leader, stands for the window when it travels to its hash bucket; where several rows share the smallest id, or a
-window repeats inside a row, the others follow what the leader is told. So a window that a third of all
-documents share costs one entry a flush, whatever their ids. A bucket finds the entries whose window also
+in several documents, only those with the smallest id can stay, so the others are removed there and then. One row of
+the former, the leader, stands for the window when it travels to its hash bucket; where several rows share the smallest
+id, the others follow what the leader is told. So a window that a third of all
+documents share costs one row's entries a flush, whatever their ids. A bucket finds the entries whose window also
 starts in a document with a smaller id and returns their places by row. A row's places and intervals merge
 into maximal removal intervals.
 
@@ -33,18 +33,20 @@ from loglattice.llm import tokens
 from loglattice.session import cut_lineage
 
 WINDOW = 50
-BUCKET_BYTES = 24_000_000
+BUCKET_BYTES = 16_000_000
 FLUSH_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 
 ENTRIES, OWN, FOLLOW = range(3)
-# Entries: hashes; key, row and number of entries of each document; places. Own: row and number of intervals of each
+# Entries: hashes and steps from place to place; key, row, number of entries and first place of each document, which begins anew
+# where a step is too wide. Own: row and number of intervals of each
 # document; their starts and ends. Follow: runs of windows as row and first place, with leader (key) and its
 # first place (end) and length (count).
 PACKED = (
     "kind int, bucket int, hashes array<bigint>, keys array<bigint>, rows array<bigint>, counts array<int>, "
-    "places array<int>, ends array<int>"
+    "places array<int>, ends array<int>, steps array<smallint>"
 )
+WIDEST = np.iinfo(np.int16).max
 FOUND = "kind int, row bigint, starts array<int>, ends array<int>, leader bigint"
 
 
@@ -113,11 +115,10 @@ class _Flush:
         if len(several):
             begins = _runs(np.diff(hashes[several]) != 0)
             leader = np.repeat(several[begins], np.diff(np.r_[begins, len(several)]))
-            leads[several] = several == leader
+            leads[several] = doc[several] == doc[leader]
             gone = np.sort(several[keys[doc[several]] > keys[doc[leader]]])
             yield from self._own(doc[gone], place[gone], rows)
-            ties = (keys[doc[several]] == keys[doc[leader]]) & (several != leader)
-            ties &= (rows[doc[several]] != rows[doc[leader]]) | (place[several] != place[leader])
+            ties = (keys[doc[several]] == keys[doc[leader]]) & (doc[several] != doc[leader])
             sent = np.argsort(several[ties], kind="stable")
             yield from self._follow(several[ties][sent], leader[ties][sent], doc, place, rows)
         kept = np.flatnonzero(leads)
@@ -125,10 +126,12 @@ class _Flush:
         cuts = np.flatnonzero(np.diff(bucket[kept])) + 1
         out = []
         for part in np.split(kept, cuts):
-            begins = _runs(np.diff(doc[part]) != 0)
+            step = np.diff(place[part])
+            begins = _runs(np.diff(doc[part]) != 0, step > WIDEST)
             here = doc[part[begins]]
-            counts = np.diff(np.r_[begins, len(part)])
-            out.append((ENTRIES, int(bucket[part[0]]), hashes[part], keys[here], rows[here], counts, place[part], None))
+            counts, steps = np.diff(np.r_[begins, len(part)]), np.r_[0, step]
+            steps[begins] = 0
+            out.append((ENTRIES, int(bucket[part[0]]), hashes[part], keys[here], rows[here], counts, place[part[begins]], None, steps.astype(np.int16)))
             if len(out) == 100:
                 yield _batch(out)
                 out = []
@@ -140,7 +143,7 @@ class _Flush:
         if len(doc):
             begins = _runs(np.diff(doc) != 0)
             counts = np.diff(np.r_[begins, len(doc)])
-            yield _batch([(OWN, int(rows[doc[0]] % self.buckets), None, None, rows[doc[begins]], counts, start, end)])
+            yield _batch([(OWN, int(rows[doc[0]] % self.buckets), None, None, rows[doc[begins]], counts, start, end, None)])
 
     def _follow(self, one, leader, doc, place, rows) -> Iterator[pa.RecordBatch]:
         """Runs of windows of a row that go along a run of windows of its leader."""
@@ -149,11 +152,11 @@ class _Flush:
             begins = _runs(steady[0] != 0, steady[1] != 1, steady[2] != 0, steady[3] != 1)
             counts = np.diff(np.r_[begins, len(one)])
             a, b = one[begins], leader[begins]
-            yield _batch([(FOLLOW, int(rows[doc[a[0]]] % self.buckets), None, rows[doc[b]], rows[doc[a]], counts, place[a], place[b])])
+            yield _batch([(FOLLOW, int(rows[doc[a[0]]] % self.buckets), None, rows[doc[b]], rows[doc[a]], counts, place[a], place[b], None)])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.int32())] * 3]
+    kinds = [pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.int32())] * 3, pa.list_(pa.int16())]
     names = [part.split()[0] for part in PACKED.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
@@ -199,7 +202,7 @@ def _match(table: pa.Table) -> pa.Table:
 
     entries, own, follow = (table.filter(pa.array(kind == k)) for k in (ENTRIES, OWN, FOLLOW))
     if len(entries):
-        hashes, keys, rows, counts, places = _flat(entries, "hashes", "keys", "rows", "counts", "places")
+        hashes, keys, rows, counts, first, steps = _flat(entries, "hashes", "keys", "rows", "counts", "places", "steps")
         order = np.argsort(hashes, kind="stable")
         equal = hashes[order][1:] == hashes[order][:-1]
         shared = np.zeros(len(order), bool)
@@ -210,7 +213,9 @@ def _match(table: pa.Table) -> pa.Table:
             begins = _runs(np.diff(hashes[at]) != 0)
             least = np.minimum.reduceat(keys[doc], begins)
             gone = keys[doc] > np.repeat(least, np.diff(np.r_[begins, len(at)]))
-            row, place = rows[doc[gone]], places[at[gone]]
+            total = np.cumsum(steps, dtype=np.int64)
+            base = first - total[np.cumsum(counts) - counts]
+            row, place = rows[doc[gone]], base[doc[gone]] + total[at[gone]]
             sort = np.lexsort((place, row))
             row, place = row[sort], place[sort]
             if len(row):
@@ -266,7 +271,8 @@ def _removals(found: DataFrame, window: int) -> DataFrame:
         "leader", F.col("row").alias("follower"), F.col("starts")[0].alias("start"),
         F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"),
     )
-    told = follow.join(windows, F.col("leader") == F.col("row")).select(
+    led = windows.groupBy("row").agg(F.flatten(F.collect_set("starts")).alias("starts"))
+    told = follow.join(led, F.col("leader") == F.col("row")).select(
         F.col("follower").alias("row"),
         F.transform(
             F.filter("starts", lambda s: (s >= F.col("low")) & (s < F.col("high"))), lambda s: s - F.col("low") + F.col("start")
