@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loglattice.plans.silver import with_scores, with_time_parts
 from loglattice.registry.case import Cases
-from loglattice.registry.fixture import LOGS_SQL, half_up as r, labels, over_logs, over_silver, table
+from loglattice.registry.fixture import LOGS_SQL, half_up as r, labels, logs, over_logs, over_silver, table
 from loglattice.registry.gold_cases import six
 from loglattice.registry.model_cases import anomaly_frames
 from loglattice.registry.parse_cases import records
@@ -145,6 +145,20 @@ def stream_dedupe(spark, d):
     return drained(spark, L.dedupe_stream(repeated)).select("event_id", "log_level")
 
 
+@CASES.add("stream_distinct_days_apart", "L3", over_logs("SELECT DISTINCT event_id, service, log_level FROM logs"))
+def stream_distinct_days_apart(spark, d):
+    """Every event is sent three times, days apart and in two runs with checkpoints of their own."""
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    sent = logs(spark, d).select("event_id", "event_timestamp", "service", "log_level")
+    later = sent.withColumn("event_timestamp", F.expr("event_timestamp + INTERVAL 9 DAYS"))
+    sent.unionByName(later).write.parquet(f"{base}/in0")
+    later.where(F.hour("event_timestamp") < 12).write.parquet(f"{base}/in1")
+    for run in range(2):
+        stream = spark.readStream.schema(sent.schema).parquet(f"{base}/in{run}")
+        L.start_distinct(stream, f"{base}/out", f"{base}/state{run}").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "service", "log_level")
+
+
 @CASES.add("stream_silver_upkeep", "L1 L6 L8", over_silver("""
 SELECT event_id, event_timestamp, service, is_anomaly, response_category FROM silver WHERE kafka_offset % 23 <> 0"""))
 def stream_silver_upkeep(spark, d):

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,7 @@ from loglattice.functions import scalars as S
 from loglattice.operators.dedupe import dedupe
 from loglattice.operators.joins import attach_labels
 from loglattice.plans.silver import enrich
+from loglattice.streaming.idindex import BROADCAST_IDS, IdIndex, append_unseen, stored
 
 TIME = "event_timestamp"
 
@@ -74,7 +75,7 @@ def start_trend(
     its own counts; another checkpoint writes beside them.
     """
     window = F.window(F.col(ts).cast("timestamp"), width, slide or width)
-    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    run = _run_of(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counted = batch.groupBy(window.alias("w"), *(by or [])).agg(*_counts())
@@ -140,72 +141,103 @@ def quality_gate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.where(F.col("reason").isNull()).drop("reason"), checked.where(F.col("reason").isNotNull())
 
 
-def _stored(spark, path: str, schema: str) -> DataFrame | None:
-    """Some columns of a stored table, or None when there is none yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
-def _append_new(rows: DataFrame, stored: DataFrame | None, keys: list[str], path: str, by: str | None = None) -> None:
-    """Append the rows whose keys are not stored; NULL-safe, so that no coordinate is lost."""
-    if stored is not None:
-        known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
-        rows = rows.join(known, same, "left_anti")
-    writer = rows.write.mode("append")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+def _append_new(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Append the rows whose keys are not stored; NULL-safe, so that no coordinate is lost.
 
+    The rows' keys go to the stored ones; those they meet come back.
+    """
+    if rows.isEmpty():
+        return
+    types = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    held = stored(rows.sparkSession, path, types)
+    if held is not None:
+        def same(other: str) -> Column:
+            return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys])
 
-COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
+        asked = rows.select(*[F.col(k).alias(f"_asked_{k}") for k in keys])
+        few = asked.count() <= BROADCAST_IDS
+        met = held.join(F.broadcast(asked) if few else asked, same("_asked_"), "left_semi")
+        rows = rows.join(met.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), same("_known_"), "left_anti")
+    rows.write.mode("append").parquet(path)
+
+
+def index_of(path: str) -> IdIndex:
+    """The id index that stands beside a table."""
+    return IdIndex(f"{path.rstrip('/')}__ids")
 
 
 def silver_writer(
-    labels: DataFrame, silver_path: str, quarantine_path: str, all_dates: bool = True
+    labels: DataFrame, silver_path: str, quarantine_path: str, index: IdIndex | None = None, run: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Batch function for ``foreachBatch``: gate, deduplicate within and across batches, derive, label, append.
 
-    Only ids that Silver does not hold yet are appended, whatever the batch number. So a batch that is run
-    again, or a run with a new checkpoint, neither repeats nor loses a row. ``all_dates=False`` compares
-    with the dates of the batch alone, for sources whose repeats carry their first timestamp; the comparison
-    then reads the id column of those partitions only.
+    Only ids that Silver does not hold yet are appended, whatever the batch number and however far apart the repeats.
+    So a batch that is run again, or a run with a new checkpoint, neither repeats nor loses a row. Silver itself
+    is not read: its ids stand in an index, of which a batch reads the buckets of its own ids.
     """
+    index, run = index or index_of(silver_path), run or uuid.uuid4().hex[:16]
+    prepared = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if not prepared:
+            index.prepare(spark, stored(spark, silver_path, "event_id string"))
+            prepared.append(True)
         batch.persist()
         try:
             good, bad = quality_gate(batch)
-            rows = enrich(dedupe(good))
-            stored = _stored(spark, silver_path, "event_id string, event_date date")
-            if stored is not None and not all_dates:
-                dates = [r[0] for r in rows.select("event_date").distinct().collect()]
-                of_batch = F.col("event_date").isin([d for d in dates if d is not None])
-                stored = stored.where(of_batch | F.col("event_date").isNull() if None in dates else of_batch)
-            _append_new(attach_labels(rows, labels), stored, ["event_id"], silver_path, "event_date")
+            append_unseen(good, lambda new: attach_labels(enrich(dedupe(new)), labels), index, f"{run}-{batch_id}", silver_path,
+                          partition_by="event_date")
             keys = [c for c in COORDINATES if c in bad.columns] or [c for c in bad.columns if c != "ingestion_timestamp"]
-            types = ", ".join(f"{k} {bad.schema[k].dataType.simpleString()}" for k in keys)
-            _append_new(bad, _stored(spark, quarantine_path, types), keys, quarantine_path)
+            _append_new(bad, quarantine_path, keys)
         finally:
             batch.unpersist()
 
     return write
 
 
+def _run_of(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def start_silver(
-    bronze: DataFrame, labels: DataFrame, silver_path: str, quarantine_path: str, checkpoint: str, all_dates: bool = True
+    bronze: DataFrame, labels: DataFrame, silver_path: str, quarantine_path: str, checkpoint: str, index: IdIndex | None = None
 ) -> StreamingQuery:
     """Keep Silver up to date from a stream of decoded events, then stop when it is drained."""
     return (
-        bronze.writeStream.foreachBatch(silver_writer(labels, silver_path, quarantine_path, all_dates))
+        bronze.writeStream.foreachBatch(silver_writer(labels, silver_path, quarantine_path, index, _run_of(checkpoint)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def start_distinct(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "event_id", index: IdIndex | None = None
+) -> StreamingQuery:
+    """Store the first arrival of each id, however far apart its repeats are, then stop when the stream is drained.
+
+    There is no watermark and no state: what has been seen stands in the id index beside the table. Rows without
+    an id are left out.
+    """
+    index, run, prepared = index or index_of(path), _run_of(checkpoint), []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not prepared:
+            index.prepare(batch.sparkSession, stored(batch.sparkSession, path, f"{key} string"), key)
+            prepared.append(True)
+        batch.persist()
+        try:
+            append_unseen(batch, lambda new: dedupe(new, key), index, f"{run}-{batch_id}", path, key)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to Parquet until its source has nothing more."""
     return (

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from loglattice.schemas import EVENT
 from loglattice.sinks.tables import start_bronze, start_table
 from loglattice.sources.decode import decode_kv, decode_records, encode_records
 from loglattice.streaming import jobs as L
+from loglattice.streaming.idindex import IdIndex, append_unseen
 
 START = dt.datetime(2024, 1, 1)
 
@@ -150,8 +152,8 @@ def test_silver_upkeep_and_a_repeated_batch(spark, tmp_path):
     silver = spark.read.parquet(path("silver"))
     assert silver.count() == 10 and silver.agg(F.sum("is_anomaly")).first()[0] == 4
     assert [r.reason for r in spark.read.parquet(path("bad")).collect()] == ["undecodable"]
-    for all_dates in (True, False):
-        write = L.silver_writer(labels, path("silver"), path("bad"), all_dates)
+    for _ in range(2):
+        write = L.silver_writer(labels, path("silver"), path("bad"))
         write(decode_records(spark.read.parquet(path("in"))), 0)
         assert spark.read.parquet(path("silver")).count() == 10
         assert spark.read.parquet(path("bad")).count() == 1
@@ -171,3 +173,86 @@ def test_trend_holds_late_rows_and_open_windows(spark, tmp_path):
         L.start_trend(stream, path("trend"), path("state")).awaitTermination()
     got = sorted((r.window_start, r.log_lines, r.errors, r.http_requests) for r in L.read_trend(spark, path("trend")).collect())
     assert got == [(hour(0), 2, 1, 1), (hour(9), 2, 1, 1)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_probe_moves_no_stored_id(spark, tmp_path):
+    index = IdIndex(str(tmp_path / "index"), buckets=8)
+    index.prepare(spark)
+    index.claim(spark.range(1000).select(F.col("id").cast("string")), "one")
+    asked = spark.createDataFrame([("5",), ("2000",)], "id string")
+    hits = index.hits(asked, "two")
+    text = plan(hits)
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    touched = {r[0] for r in asked.select(index.bucket("id")).collect()}
+    assert len(touched) < 8 and "bucket#" in text and "PartitionFilters: [" in text
+    listed = re.search(r"PartitionFilters: \[(.*?bucket.*?)\]", text).group(1)
+    assert all(str(b) in listed for b in touched)
+    assert [r.id for r in hits.collect()] == ["5"]
+    assert index.hits(asked, "one").count() == 0
+
+
+def test_index_lots_when_there_are_many_ids(spark, tmp_path):
+    for most in (10, 60, 10**6):
+        index = IdIndex(str(tmp_path / f"index{most}"), buckets=4, broadcast_ids=most)
+        index.prepare(spark)
+        index.claim(spark.range(0, 200, 2).select(F.col("id").cast("string")), "one")
+        hits = index.hits(spark.range(100).select(F.col("id").cast("string")), "two")
+        assert sorted(int(r.id) for r in hits.collect()) == list(range(0, 100, 2))
+
+
+def test_index_with_another_number_of_buckets_is_refused(spark, tmp_path):
+    IdIndex(str(tmp_path / "index"), buckets=4).prepare(spark)
+    with pytest.raises(ValueError, match="4 buckets"):
+        IdIndex(str(tmp_path / "index"), buckets=8).prepare(spark)
+
+
+def test_a_run_that_died_neither_loses_nor_repeats_rows(spark, tmp_path, monkeypatch):
+    path, index = str(tmp_path / "table"), IdIndex(str(tmp_path / "index"), buckets=4)
+    index.prepare(spark)
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "event_id string, n int")
+
+    def append(claim):
+        append_unseen(rows, lambda new: new.where("event_id IS NOT NULL"), index, claim, path)
+
+    def table():
+        return sorted(r.event_id for r in spark.read.parquet(path).collect())
+
+    # died after its claim: another run writes the rows
+    index.claim(rows.select(F.col("event_id").alias("id")).where("id IS NOT NULL"), "dead")
+    append("second")
+    assert table() == ["a", "b"]
+    # died after its rows, unsettled: another run finds them there, and the same run replaces them
+    more = rows.unionByName(spark.createDataFrame([("c", 4)], rows.schema))
+    with monkeypatch.context() as broken:
+        broken.setattr(IdIndex, "settle", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            append_unseen(more, lambda new: new.where("event_id IS NOT NULL"), index, "third", path)
+    for claim in ("fourth", "third", "fifth"):
+        append_unseen(more, lambda new: new.where("event_id IS NOT NULL"), index, claim, path)
+        assert table() == ["a", "b", "c"]
+
+
+def test_silver_kept_without_an_index_is_taken_in(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    labels = spark.createDataFrame([("i1",)], "instance_id string")
+    first = decode_records(as_records(spark, make_events(spark, 6)))
+    L.silver_writer(labels, path("made"), path("bad"))(first, 0)
+    spark.read.parquet(path("made")).withColumn("batch", F.lit("old")).write.partitionBy("event_date", "batch").parquet(path("silver"))
+    L.silver_writer(labels, path("silver"), path("bad"))(decode_records(as_records(spark, make_events(spark, 9))), 0)
+    ids = [r.event_id for r in spark.read.schema("event_id string").parquet(path("silver")).collect()]
+    assert sorted(ids) == sorted(map(str, range(9)))
+
+
+def test_distinct_ids_days_apart(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    schema = "event_id string, event_timestamp timestamp"
+    for day, ids in enumerate([["a", "b", "a", None], ["b", "c"], ["a", "c", "d"]]):
+        rows = [(i, START + dt.timedelta(days=10 * day)) for i in ids]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path("in"))
+        stream = spark.readStream.schema(schema).parquet(path("in"))
+        L.start_distinct(stream, path("out"), path(f"state{day % 2}")).awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(path("out")).collect()) == ["a", "b", "c", "d"]
