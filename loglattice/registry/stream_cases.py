@@ -52,9 +52,6 @@ def stream_silver(spark, d):
         "is_anomaly", "event_hour", "log_file")
 
 
-_CLOSED = "window_end <= (SELECT max(event_timestamp) - INTERVAL 10 MINUTE FROM logs)"
-
-
 def _windows(by: str = "", source: str = "logs", width: str = "1 HOUR") -> str:
     extra = f", {by}" if by else ""
     return f"""
@@ -69,9 +66,15 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
 
-@CASES.add("stream_hourly_trend", "L4", over_logs(f"SELECT * FROM ({_windows()}) WHERE {_CLOSED}"))
+def windowed(spark, d, by: list[str] | None = None, **options) -> DataFrame:
+    out, state = _folders(spark)
+    L.start_windows(logs_stream(spark, d), out, state, by=by, **options).awaitTermination()
+    return L.read_windows(spark, out, by)
+
+
+@CASES.add("stream_hourly_trend", "L4", over_logs(_windows()))
 def stream_hourly_trend(spark, d):
-    return _plain(drained(spark, L.windowed_trend(logs_stream(spark, d))))
+    return _plain(windowed(spark, d))
 
 
 _HALF_HOURS = """
@@ -81,16 +84,37 @@ slid AS (
 """
 
 
-@CASES.add("stream_sliding_trend", "L4", over_logs(
-    "SELECT * FROM (" + _windows(source="slid").replace(
-        "(SELECT *, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start FROM slid)", "slid")
-    + f") WHERE {_CLOSED}", _HALF_HOURS))
+@CASES.add("stream_sliding_trend", "L4", over_logs(_windows(source="slid").replace(
+    "(SELECT *, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start FROM slid)", "slid"), _HALF_HOURS))
 def stream_sliding_trend(spark, d):
-    return _plain(drained(spark, L.windowed_trend(logs_stream(spark, d), slide="30 minutes")))
+    return _plain(windowed(spark, d, slide="30 minutes"))
+
+
+_ARRIVALS = """
+sent AS (SELECT *, CASE WHEN kafka_offset % 50 = 0 THEN 3 WHEN kafka_offset % 2 = 1 THEN 2 ELSE 1 END AS turn FROM logs),
+-- the watermark after the first batch, ten minutes behind its latest event: the second batch closes windows by it
+closed AS (SELECT max(event_timestamp) - INTERVAL 10 MINUTE AS upto FROM sent WHERE turn = 1),
+judged AS (
+  SELECT *, turn = 3 AND CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) + INTERVAL 1 HOUR <= (SELECT upto FROM closed) AS late
+  FROM sent)
+"""
+
+
+@CASES.add("stream_late_rows", "L4", over_logs("""
+SELECT count(*) AS rows_seen, count(*) FILTER (NOT late) AS rows_counted, count(*) FILTER (late) AS late_rows FROM judged""", _ARRIVALS))
+def stream_late_rows(spark, d):
+    """Every fiftieth event arrives after all others, most of them after their window has been closed."""
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    sent = logs(spark, d).select("event_timestamp", "log_level", "status_code", F.expr("CASE WHEN kafka_offset % 50 = 0 THEN 3 WHEN kafka_offset % 2 = 1 THEN 2 ELSE 1 END AS turn"))
+    for turn in (1, 2, 3):
+        sent.where(F.col("turn") == turn).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    query = L.start_windows(stream, f"{base}/out", f"{base}/state")
+    query.awaitTermination()
+    return L.late_rows(query, L.read_windows(spark, f"{base}/out"))
 
 
 @CASES.add("stream_sessions", "L4", over_logs("""
-SELECT * FROM (
   SELECT min(event_timestamp) AS window_start, max(event_timestamp) + INTERVAL 30 MINUTE AS window_end, service,
          count(*) AS log_lines, count(*) FILTER (log_level = 'ERROR') AS errors,
          count(*) FILTER (log_level = 'WARNING') AS warnings, count(*) FILTER (log_level = 'CRITICAL') AS critical,
@@ -99,18 +123,19 @@ SELECT * FROM (
         FROM (SELECT *, CAST(coalesce(event_timestamp >= lag(event_timestamp) OVER (
                 PARTITION BY service ORDER BY event_timestamp, event_id) + INTERVAL 30 MINUTE, true) AS INTEGER) AS opens
               FROM logs))
-  GROUP BY service, burst)
-WHERE """ + _CLOSED))
+  GROUP BY service, burst"""))
 def stream_sessions(spark, d):
-    return _plain(drained(spark, L.session_trend(logs_stream(spark, d), gap="30 minutes")))
+    out, state = _folders(spark)
+    L.start_sessions(logs_stream(spark, d), out, state).awaitTermination()
+    return _plain(L.read_sessions(spark, out, "30 minutes"))
 
 
 @CASES.add("stream_error_alerts", "L9", over_logs(f"""
 SELECT window_start, service, log_lines, errors, {r('100.0 * errors / log_lines', 2)} AS error_rate,
        'Critical' AS health_status
-FROM ({_windows('service')}) WHERE {_CLOSED} AND 100.0 * errors / log_lines >= 5"""))
+FROM ({_windows('service')}) WHERE 100.0 * errors / log_lines >= 5"""))
 def stream_error_alerts(spark, d):
-    return _plain(drained(spark, L.error_alerts(logs_stream(spark, d))))
+    return _plain(L.alerts_of(windowed(spark, d, ["service"])))
 
 
 def trended(spark, d, by: list[str] | None = None, **options) -> DataFrame:

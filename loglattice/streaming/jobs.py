@@ -91,6 +91,88 @@ def read_trend(spark: SparkSession, path: str, by: list[str] | None = None) -> D
     return spark.read.parquet(path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _COUNTED])
 
 
+def start_windows(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    delay: str = "10 minutes",
+    width: str = "1 hour",
+    slide: str | None = None,
+    by: list[str] | None = None,
+    ts: str = TIME,
+) -> StreamingQuery:
+    """Watermarked windows in update mode: every micro-batch stores the windows it changed, open ones too.
+
+    ``read_windows`` takes the latest state of each window, so a provisional count is overwritten by its key, and what
+    the watermark has closed is final. The watermark bounds the state; a row that comes after its window was
+    closed is not counted, and ``late_rows`` says how many those were. Each micro-batch observes how many rows it took in.
+    A batch that is run again overwrites its own folder.
+    """
+    run = _run_of(checkpoint)
+    window = F.window(ts, width, slide) if slide else F.window(ts, width)
+    # An event time is needed for a window, so rows without one are neither counted nor late.
+    timed = watermarked(stream, delay, ts).where(F.col(ts).isNotNull()).observe(SEEN, F.count(F.lit(1)).alias("rows"))
+    counted = timed.groupBy(window.alias("w"), *(by or [])).agg(*_counts())
+    flat = counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *(by or []), *_COUNTED)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("version", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+
+    return (
+        flat.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+SEEN = "windowed_rows"
+
+
+def read_windows(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """The latest state of every window of one run."""
+    keys = ["window_start", "window_end", *(by or [])]
+    latest = F.max_by(F.struct(*_COUNTED), "version").alias("latest")
+    return spark.read.parquet(path).groupBy(*keys).agg(latest).select(*keys, "latest.*")
+
+
+def rows_seen(query: StreamingQuery) -> int:
+    """How many rows with an event time a drained run of ``start_windows`` took in."""
+    metrics = [p.observedMetrics.get(SEEN) for p in query.recentProgress]
+    return sum(m["rows"] for m in metrics if m is not None)
+
+
+def late_rows(query: StreamingQuery, windows: DataFrame, per_row: int = 1) -> DataFrame:
+    """One row: rows taken in, rows counted in some window, and the late ones, which are in none.
+
+    ``per_row`` is the number of windows that a row belongs to. For a run from an empty checkpoint.
+    """
+    seen = F.lit(rows_seen(query)).cast("long")
+    counted = F.coalesce(F.sum("log_lines"), F.lit(0)) / per_row
+    return windows.agg(seen.alias("rows_seen"), counted.cast("long").alias("rows_counted"), (seen - counted.cast("long")).alias("late_rows"))
+
+
+def start_sessions(
+    stream: DataFrame, path: str, checkpoint: str, by: str = "service", ts: str = TIME
+) -> StreamingQuery:
+    """Store each micro-batch's level counts per event time and group, of which ``read_sessions`` makes bursts.
+
+    Counts add up, so late rows join, lengthen or unite the bursts they belong to, and open bursts are there.
+    """
+    run = _run_of(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = F.col(ts).cast("timestamp").alias("at")
+        batch.where(F.col(ts).isNotNull()).groupBy(at, by).agg(*_counts()).write.mode("overwrite").parquet(
+            f"{path}/run={run}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_sessions(spark: SparkSession, path: str, gap: str = "5 minutes", by: str = "service") -> DataFrame:
+    cells = spark.read.parquet(path)
+    summed = cells.groupBy(F.session_window("at", gap).alias("w"), by).agg(*[F.sum(c).alias(c) for c in _COUNTED])
+    return summed.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), by, *_COUNTED)
+
+
 def session_trend(stream: DataFrame, gap: str = "5 minutes", delay: str = "10 minutes", by: str = "service", ts: str = TIME
                   ) -> DataFrame:
     """Level counts per burst of lines of one service, ended by a gap without lines."""

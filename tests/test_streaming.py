@@ -128,6 +128,37 @@ def test_alerts_of_complete_hours(feed):
     assert [(r.window_start, r.errors, r.error_rate, r.health_status) for r in alerts] == [(START, 2, 5.0, "Critical")]
 
 
+def test_open_windows_are_overwritten_and_late_rows_counted(spark, tmp_path, feed):
+    add, _ = feed
+    schema = "event_id string, event_timestamp timestamp, service string, log_level string, status_code int, instance_id string"
+    add(("a", 5, "INFO"), ("b", 50, "ERROR"), ("c", 65, "INFO"))
+    add(("d", 75, "INFO"), ("e", 20, "CRITICAL"))
+    add(("f", 200, "INFO"))
+    add(("g", 201, "INFO"))
+    add(("late", 30, "ERROR"), ("late too", 80, "ERROR"), ("h", 190, "WARNING"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    query = L.start_windows(stream, str(tmp_path / "windows"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    windows = L.read_windows(spark, str(tmp_path / "windows"))
+    got = {r.window_start: (r.log_lines, r.errors, r.critical, r.warnings) for r in windows.collect()}
+    hour = lambda h: START + dt.timedelta(hours=h)
+    # the last window is still open
+    assert got == {hour(0): (3, 1, 1, 0), hour(1): (2, 0, 0, 0), hour(3): (3, 0, 0, 1)}
+    assert tuple(L.late_rows(query, windows).first()) == (10, 8, 2)
+
+
+def test_late_rows_unite_sessions(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    schema = "event_timestamp timestamp, service string, log_level string, status_code int"
+    for i, minutes in enumerate([[0, 12], [8], [4]]):
+        rows = [(START + dt.timedelta(minutes=m), "s", "INFO", None) for m in minutes]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path("in"))
+        stream = spark.readStream.schema(schema).parquet(path("in"))
+        L.start_sessions(stream, path("cells"), path("state")).awaitTermination()
+        found = [(r.window_start.minute, r.window_end.minute, r.log_lines) for r in L.read_sessions(spark, path("cells")).collect()]
+        assert sorted(found) == [[(0, 5, 1), (12, 17, 1)], [(0, 5, 1), (8, 17, 2)], [(0, 17, 4)]][i]
+
+
 def test_quality_gate_reasons(spark):
     good = make_events(spark, 1)
     faults = [good.withColumn(c, F.lit(v).cast("string")) for c, v in
