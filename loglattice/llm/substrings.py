@@ -47,7 +47,8 @@ PACKED = (
     "places array<int>, ends array<int>, steps array<smallint>"
 )
 WIDEST = np.iinfo(np.int16).max
-FOUND = "kind int, row bigint, starts array<int>, ends array<int>, leader bigint"
+FOUND = "kind int, row bigint, rows array<bigint>, starts array<int>, ends array<int>, leader bigint"
+PLACES_A_ROW = 50_000
 
 
 def _runs(*breaks: np.ndarray) -> np.ndarray:
@@ -191,14 +192,13 @@ def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
 def _match(table: pa.Table) -> pa.Table:
     """Places of one bucket whose window also starts in a document with a smaller id, and what flushes settled."""
     kind = table.column("kind").to_numpy()
-    names, out = ["kind", "row", "starts", "ends", "leader"], []
+    small, large = pa.list_(pa.int32()), pa.list_(pa.int64())
+    kinds = {"kind": pa.int32(), "row": pa.int64(), "rows": large, "starts": small, "ends": small, "leader": pa.int64()}
+    out = [pa.table([pa.array([], k) for k in kinds.values()], names=list(kinds))]
 
-    def add(what: int, row: np.ndarray, starts: pa.Array, ends: pa.Array | None = None, leader: np.ndarray | None = None) -> None:
-        n = len(row)
-        out.append(pa.table([
-            pa.array(np.full(n, what, np.int32)), pa.array(row), starts, ends if ends is not None else pa.nulls(n, pa.list_(pa.int32())),
-            pa.array(leader) if leader is not None else pa.nulls(n, pa.int64()),
-        ], names=names))
+    def add(what: int, n: int, **columns: pa.Array) -> None:
+        held = {"kind": pa.array(np.full(n, what, np.int32)), **columns}
+        out.append(pa.table([held[c] if c in held else pa.nulls(n, k) for c, k in kinds.items()], names=list(kinds)))
 
     entries, own, follow = (table.filter(pa.array(kind == k)) for k in (ENTRIES, OWN, FOLLOW))
     if len(entries):
@@ -216,20 +216,20 @@ def _match(table: pa.Table) -> pa.Table:
             total = np.cumsum(steps, dtype=np.int64)
             base = first - total[np.cumsum(counts) - counts]
             row, place = rows[doc[gone]], base[doc[gone]] + total[at[gone]]
-            sort = np.lexsort((place, row))
-            row, place = row[sort], place[sort]
-            if len(row):
-                begins = _runs(np.diff(row) != 0)
-                add(ENTRIES, row[begins], _lists(np.diff(np.r_[begins, len(row)]), place))
+            for i in range(0, len(row), PLACES_A_ROW):
+                some = slice(i, i + PLACES_A_ROW)
+                add(ENTRIES, 1, rows=pa.array([row[some]], large), starts=pa.array([place[some].astype(np.int32)], small))
     if len(own):
         rows, counts, starts, ends = _flat(own, "rows", "counts", "places", "ends")
-        add(OWN, rows, _lists(counts, starts), _lists(counts, ends))
+        add(OWN, len(rows), row=pa.array(rows), starts=_lists(counts, starts), ends=_lists(counts, ends))
     if len(follow):
         rows, leaders, counts, starts, first = _flat(follow, "rows", "keys", "counts", "places", "ends")
         # A run's first place, and its leader's first place and the place after its last.
-        add(FOLLOW, rows, _lists(np.ones(len(rows)), starts), _lists(np.full(len(rows), 2), np.c_[first, first + counts].ravel()), leaders)
-    none = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("leader", pa.int64())])
-    return pa.concat_tables(out) if out else none.empty_table()
+        add(
+            FOLLOW, len(rows), row=pa.array(rows), starts=_lists(np.ones(len(rows)), starts),
+            ends=_lists(np.full(len(rows), 2), np.c_[first, first + counts].ravel()), leader=pa.array(leaders),
+        )
+    return pa.concat_tables(out)
 
 
 def covered(n_words: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -265,20 +265,21 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _removals(found: DataFrame, window: int) -> DataFrame:
     """Rows (row, starts, ends): all intervals to take out of a row."""
-    windows = found.filter(F.col("kind") == ENTRIES).select("row", "starts")
+    windows = found.filter(F.col("kind") == ENTRIES).select(F.inline(F.arrays_zip("rows", "starts"))).toDF("row", "place")
     own = found.filter(F.col("kind") == OWN).select("row", "starts", "ends")
     follow = found.filter(F.col("kind") == FOLLOW).select(
         "leader", F.col("row").alias("follower"), F.col("starts")[0].alias("start"),
         F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"),
     )
-    led = windows.groupBy("row").agg(F.flatten(F.collect_set("starts")).alias("starts"))
+    # A place that several flushes sent for rows with equal id and text counts once.
+    led = windows.groupBy("row").agg(F.collect_set("place").alias("starts"))
     told = follow.join(led, F.col("leader") == F.col("row")).select(
         F.col("follower").alias("row"),
         F.transform(
             F.filter("starts", lambda s: (s >= F.col("low")) & (s < F.col("high"))), lambda s: s - F.col("low") + F.col("start")
         ).alias("starts"),
     )
-    each = windows.unionByName(told).withColumn("ends", F.transform("starts", lambda s: s + window)).unionByName(own)
+    each = led.unionByName(told).withColumn("ends", F.transform("starts", lambda s: s + window)).unionByName(own)
     listed = each.groupBy("row").agg(F.collect_set(F.struct("starts", "ends")).alias("sets"))
     return listed.select("row", F.flatten("sets.starts").alias("starts"), F.flatten("sets.ends").alias("ends"))
 
