@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, functions as F
 
 from loglattice.operators.shares import running_totals
@@ -44,19 +46,16 @@ def weighted_metrics(predictions: DataFrame, label: str = "label", prediction: s
     )
 
 
-def roc_auc(predictions: DataFrame, label: str = "label", score: str = "score", ranges: int = 256) -> DataFrame:
+def roc_auc(predictions: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve in one row, with tied scores counted half; NULL with one class only.
 
-    Rows are first counted per score, and the ranks come from running totals over score ranges.
+    Rows are first counted per score, from one read, and the ranks come from running totals over ranges of scores.
     """
     positive = F.col(label).cast("double") == 1.0
     per_score = predictions.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
-    # true for every score, but it makes each reader of the counts need both of them: their plans are
-    # then the same up to the shuffle, and Spark computes the counts once
-    per_score = per_score.where(F.col("positives") + F.col("negatives") > 0)
-    ranked = running_totals(per_score, "score", ["negatives"], ranges)
+    ranked = running_totals(per_score, "score", ["negatives"])
     wins = F.sum(
         F.col("positives").cast("double") * (F.col("negatives_before").cast("double") + F.col("negatives") / F.lit(2.0))
     )
@@ -80,6 +79,30 @@ def compare_models(results: dict[str, DataFrame]) -> DataFrame:
     return out.orderBy(F.desc("f1"), "model")
 
 
+def label_dependencies(df: DataFrame, label: str, features: list[str], most: int = 3) -> DataFrame:
+    """Smallest sets of at most ``most`` features that fix the label: rows (features, size, distinct_values).
+
+    Level by level: a set is looked at only if no smaller one inside it fixes the label already. All sets of a
+    level are judged from one read and one shuffle; a row becomes a digest of its values for each set, and what is kept
+    per distinct digest is whether its rows share one label. NULL counts as a value.
+    """
+    spark, found, levels = df.sparkSession, [], []
+    digests = {c: F.struct(F.xxhash64(F.lit(c), F.col(c), F.col(c).isNull()), F.xxhash64(F.col(c), F.col(c).isNull())) for c in features}
+    target = F.xxhash64(F.col(label), F.col(label).isNull())
+    for size in range(1, most + 1):
+        sets = [s for s in combinations(features, size) if not any(set(f) <= set(s) for f in found)]
+        if not sets:
+            break
+        keys = [F.struct(F.lit(i).alias("i"), *[F.xxhash64(F.lit(seed), *[digests[c] for c in s]).alias(f"h{seed}") for seed in (1, 2)])
+                for i, s in enumerate(sets)]
+        pairs = df.select(target.alias("label"), F.inline(F.array(*keys)))
+        judged = pairs.groupBy("i", "h1", "h2").agg((F.min("label") == F.max("label")).alias("one"))
+        told = judged.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.bool_and("one").alias("fixes")).where("fixes").collect()
+        found += [sets[r.i] for r in told]
+        levels += [(list(sets[r.i]), size, r.n) for r in told]
+    return spark.createDataFrame(levels, "features array<string>, size int, distinct_values bigint")
+
+
 def leakage_report(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     """How far each feature alone fixes the label: the share of rows in their value's largest class.
 

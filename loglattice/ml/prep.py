@@ -7,6 +7,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loglattice import constants as C
+from loglattice.operators.shares import prefix_sums
 
 
 def hash_fraction(key: str = "event_id", seed: int = C.SEED) -> Column:
@@ -22,6 +23,11 @@ def split(df: DataFrame, key: str = "event_id", percent: int = C.TRAIN_PERCENT,
     return df.where(in_train), df.where(~in_train)
 
 
+def with_fold(df: DataFrame, folds: int = 3, key: str = "event_id", seed: int = C.SEED + 2, name: str = "fold") -> DataFrame:
+    """Add the row's fold, fixed by its key; Spark's own folds depend on how the rows are partitioned."""
+    return df.withColumn(name, F.floor(hash_fraction(key, seed) * folds).cast("int"))
+
+
 def random_split(df: DataFrame, percent: int = C.TRAIN_PERCENT, seed: int = C.SEED) -> list[DataFrame]:
     """Spark's own random split; which rows it picks depends on how the input is partitioned."""
     return df.randomSplit([percent / 100, 1 - percent / 100], seed=seed)
@@ -90,10 +96,10 @@ def label_indexer(source: str = "service_health", target: str = "label") -> Stri
 
 
 def label_ranks(df: DataFrame, column: str) -> DataFrame:
-    """The index that ``label_indexer`` gives each value, as a table over the value counts."""
-    order = Window.orderBy(F.desc("rows"), column)
+    """The index that ``label_indexer`` gives each value, as a table over the value counts; no task ranks all values."""
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.withColumn("label", (F.row_number().over(order) - 1).cast("double"))
+    ranked = prefix_sums(counted, [F.desc("rows"), F.col(column).asc_nulls_first()], [])
+    return ranked.select(column, "rows", (F.col("place") - 1).cast("double").alias("label"))
 
 
 def feature_stages(

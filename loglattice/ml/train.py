@@ -72,7 +72,7 @@ def select_model(
     folds: int = 3,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Cross-validated search on weighted F1 over assembled features."""
+    """Cross-validated search on weighted F1 over assembled features, by the folds in column ``fold`` if it is there."""
     classifier = CLASSIFIERS[name](label=label, weight=weight)
     search = CrossValidator(
         estimator=classifier,
@@ -81,6 +81,7 @@ def select_model(
         numFolds=folds,
         parallelism=parallelism,
         seed=C.SEED,
+        foldCol="fold" if "fold" in train_features.columns else "",
     )
     return search.fit(train_features)
 
@@ -112,6 +113,13 @@ def feature_importance(model: Model, features: DataFrame, n: int = 20) -> DataFr
     return table.orderBy(F.desc("importance"), "feature").limit(n)
 
 
+def root_split(model: Model, features: DataFrame) -> tuple[str, float, float]:
+    """Feature, threshold and gain of a decision tree's first split on a number."""
+    tree = model.stages[-1] if isinstance(model, PipelineModel) else model
+    root = tree._java_obj.rootNode()
+    return feature_names(features)[root.split().featureIndex()], root.split().threshold(), root.gain()
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

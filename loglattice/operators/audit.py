@@ -39,34 +39,41 @@ def null_percent(df: DataFrame) -> DataFrame:
     return _per_column(df.columns, entry, df)
 
 
-def _comparable(df: DataFrame, column: str) -> Column:
-    """A text that is equal for two values exactly when the values are."""
+def _hashable(df: DataFrame, column: str) -> Column:
+    """A value that hashes equally for two values exactly when they are equal."""
     value, kind = F.col(f"`{column}`"), df.schema[column].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return (value + F.lit(0.0)).cast("string")  # -0.0 becomes 0.0
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value).cast("string")
-    if isinstance(kind, T.BinaryType):
-        return F.hex(value)
+        return value + F.lit(0.0)  # -0.0 becomes 0.0
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(value, {"ignoreNullFields": "false"})
-    return value.cast("string")
+    return value
+
+
+def digests(df: DataFrame) -> list[Column]:
+    """For every column a struct of its number and 128 bits that stand for its value; NULL bits for NULL."""
+    out = []
+    for i, c in enumerate(df.columns):
+        value = _hashable(df, c)
+        present = value.isNotNull()
+        out.append(F.struct(
+            F.lit(i).alias("i"), F.when(present, F.xxhash64(value)).alias("h1"),
+            F.when(present, F.xxhash64(F.lit("second"), value)).alias("h2")))
+    return out
 
 
 def _value_profile(df: DataFrame) -> DataFrame:
     """Rows, NULLs and distinct non-null values of every column, from one read and one shuffle.
 
-    Each row becomes (column, value) pairs, which are counted before and after the shuffle: a value
-    in a third of all rows is one pair per task by then, and the pairs of a wide table spread over
-    all tasks.
+    Each row becomes (column, digest of the value) pairs of fixed width, which are counted before and after the
+    shuffle: a value in a third of all rows is one pair per task by then, and the pairs of a wide table spread over
+    all tasks. Two of n values share their 128 bits with a chance of about n^2 / 2^129.
     """
-    values = [F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("v")) for i, c in enumerate(df.columns)]
-    pairs = df.select(F.inline(F.array(*values))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.select(F.inline(F.array(*digests(df)))).groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
 
     counted = pairs.groupBy("i").agg(
         F.sum("n").alias("total_rows"),
-        F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("null_count"),
-        F.count("v").alias("distinct_non_null"),
+        F.sum(F.when(F.col("h1").isNull(), F.col("n"))).alias("null_count"),
+        F.count("h1").alias("distinct_non_null"),
     )
     names = F.array(*[F.lit(c) for c in df.columns])
     every = df.sparkSession.range(0, len(df.columns), 1, 1).select(F.col("id").cast("int").alias("i"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loglattice.session import cut_lineage
+
 
 def share_of_total(counts: DataFrame, column: str = "count", name: str = "percentage", digits: int | None = 2) -> DataFrame:
     """Add each row's percentage of the column's total.
@@ -28,28 +30,30 @@ def value_counts(df: DataFrame, column: str, descending: bool = True) -> DataFra
     return counted.orderBy(*order)
 
 
-def running_totals(df: DataFrame, order_by: str, values: list[str], ranges: int = 256, accuracy: int = 10000) -> DataFrame:
-    """Add ``<value>_before``: the sum over all rows with a smaller ``order_by``.
+def prefix_sums(df: DataFrame, order: list[Column], values: list[str]) -> DataFrame:
+    """Add ``place``, the row's number from 1 in a total order, and ``<value>_before``: the sum over all rows before it.
 
-    Expects one row per ``order_by`` value. Rows are cut into value ranges of about equal size, each
-    range is summed, the few range sums are accumulated, and the running sum inside each range is
-    added to its range's start. No step sorts all rows in one place.
+    Two levels: rows are cut into ranges of the order, as many as their size asks for, and written; each range has its
+    own running sums, to which the sum over the earlier ranges is added. No step sorts all rows in one place, and the
+    only window over everything has one row per range.
     """
-    fractions = F.array(*[F.lit(i / ranges) for i in range(1, max(ranges, 2))])
-    cuts = df.agg(F.percentile_approx(order_by, fractions, accuracy).alias("cuts")).scalar()
-    cut = df.withColumn("_cuts", cuts)
-    placed = cut.withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(order_by)))).drop("_cuts")
-
-    sums = placed.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sums = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(v).alias(f"_sum_{v}") for v in values])
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        "_range", *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_start_{v}") for v in values]
-    )
 
-    inside = Window.partitionBy("_range").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    def before(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+
+    starts = sums.select(
+        F.col("_range").alias("_of"), before("_rows").alias("_first"), *[before(f"_sum_{v}").alias(f"_start_{v}") for v in values])
+    here = Window.partitionBy("_range").orderBy(*order)
+    inside = here.rowsBetween(Window.unboundedPreceding, -1)
     local = {f"{v}_before": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}
-    # at most ``ranges`` rows, so the start of each range is broadcast; every range has one, and a left
-    # join keeps Spark from testing the range of every input row for NULL below the aggregate
-    joined = placed.withColumns(local).join(F.broadcast(starts), "_range", "left")
+    joined = ranged.withColumns({"place": F.row_number().over(here), **local}).join(starts, F.col("_range") == F.col("_of"))
     total: dict[str, Column] = {f"{v}_before": F.col(f"{v}_before") + F.col(f"_start_{v}") for v in values}
-    return joined.withColumns(total).select(*df.columns, *total)
+    return joined.withColumns({"place": F.col("place") + F.col("_first"), **total}).select(*df.columns, "place", *total)
+
+
+def running_totals(df: DataFrame, order_by: str, values: list[str]) -> DataFrame:
+    """Add ``<value>_before``: the sum over all rows with a smaller ``order_by``, of which each value is there once."""
+    return prefix_sums(df, [F.col(order_by).asc_nulls_first()], values).drop("place")

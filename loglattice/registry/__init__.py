@@ -8,6 +8,7 @@ from loglattice.registry import (
     parse_cases,
     serving_cases,
     silver_cases,
+    sketch_cases,
     storage_cases,
     stream_cases,
     upkeep_cases,
@@ -22,6 +23,7 @@ CASES: list[Case] = [
     *serving_cases.CASES,
     *model_cases.CASES,
     *insight_cases.CASES,
+    *sketch_cases.CASES,
     *storage_cases.CASES,
     *stream_cases.CASES,
     *upkeep_cases.CASES,

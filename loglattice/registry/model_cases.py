@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from loglattice import constants as C
-from loglattice.ml import metrics as M, prep, runs as R, train as T
+from loglattice.ml import explain as X, metrics as M, prep, runs as R, train as T
 from loglattice.operators import serving as K, warning as W
 from loglattice.plans import silver as P
 from loglattice.registry.case import Cases
@@ -137,7 +139,7 @@ GROUP BY n1, n0"""))
 def roc_auc_many_scores(spark, d):
     timed = P.http_only(logs(spark, d))
     scored = timed.select((F.col("status_code") >= 400).cast("int").alias("label"), F.col("response_time").alias("score"))
-    return six(M.roc_auc(scored, ranges=64), "roc_auc")
+    return six(M.roc_auc(scored), "roc_auc")
 
 
 @CASES.add("confusion_matrix", "M13", over_silver(
@@ -183,6 +185,118 @@ def leakage_report(spark, d):
     return six(M.leakage_report(raw, "service_health", _LEAK_FEATURES), "purity", "baseline")
 
 
+def _fixes(features: tuple[str, ...]) -> str:
+    names = ", ".join(features)
+    listed = ", ".join(f"'{f}'" for f in features)
+    return f"""
+    SELECT [{listed}] AS features, CAST({len(features)} AS INTEGER) AS "size", count(*) AS distinct_values, bool_and(classes = 1) AS fixes
+    FROM (SELECT {names}, count(DISTINCT service_health) AS classes FROM health GROUP BY {names})"""
+
+
+_PARTS = ["service", "log_level", "status_code", "response_time", "is_anomaly"]
+_SETS = [s for n in (1, 2, 3, 4) for s in combinations(_PARTS, n)]
+
+
+@CASES.add("label_dependencies", "M19", over_silver(f"""
+SELECT array_to_string(features, ', ') AS features, "size", distinct_values FROM sets s
+WHERE fixes AND NOT EXISTS (SELECT 1 FROM sets t WHERE t.fixes AND t."size" < s."size" AND list_has_all(s.features, t.features))""",
+    _HEALTH, f"sets AS ({' UNION ALL '.join(map(_fixes, _SETS))})"))
+def label_dependencies(spark, d):
+    labelled = P.service_health_label(P.fill_health(silver(spark, d)))
+    raw = labelled.withColumns({
+        "status_code": F.nullif("status_code", F.lit(-1)),
+        "response_time": F.when(F.col("http_method") != C.HEALTH_MARKER, F.col("response_time"))})
+    found = M.label_dependencies(raw, "service_health", _PARTS, most=4)
+    return found.withColumn("features", F.array_join("features", ", "))
+
+
+@CASES.add("fold_sizes", "M10", over_logs(f"""
+SELECT CAST(floor({_fraction(44)} * 3) AS INTEGER) AS fold, count(*) AS "rows" FROM logs GROUP BY 1"""))
+def fold_sizes(spark, d):
+    folds = prep.with_fold(logs(spark, d).select("event_id"))
+    return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ first splits and permuted columns
+
+_SPLIT_FEATURES = ["event_hour", "status_code", "severity_score", "is_anomaly"]
+_DEGRADING = ("CAST(log_level IN ('ERROR', 'WARNING') OR is_anomaly = 1 OR coalesce(response_time, 0) > 0.35 "
+              "OR coalesce(status_code, -1) >= 400 AS INT)")
+_HISTOGRAM = " UNION ALL ".join(f"""
+  SELECT '{c}' AS feature, {i} AS place, CAST({c} AS DOUBLE) AS value, count(*) FILTER (degrading = 1) AS ones, count(*) FILTER (degrading = 0) AS zeros
+  FROM split_rows GROUP BY {c}""" for i, c in enumerate(_SPLIT_FEATURES))
+_GAINS = f"""
+split_rows AS (
+  SELECT event_hour, coalesce(status_code, -1) AS status_code, severity_score, is_anomaly, {_DEGRADING} AS degrading
+  FROM silver WHERE {_fraction(42)} < 0.8),
+histogram AS ({_HISTOGRAM}),
+cells AS (
+  SELECT feature, place, (value + lead(value) OVER (PARTITION BY feature ORDER BY value)) / 2 AS threshold,
+         sum(ones) OVER upto AS l1, sum(zeros) OVER upto AS l0, sum(ones) OVER (PARTITION BY feature) AS n1,
+         sum(zeros) OVER (PARTITION BY feature) AS n0
+  FROM histogram WINDOW upto AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
+gains AS (
+  SELECT feature, place, threshold, 1 - (n1 / n) ** 2 - (n0 / n) ** 2 - l / n * (1 - (l1 / l) ** 2 - (l0 / l) ** 2)
+         - rest / n * (1 - ((n1 - l1) / rest) ** 2 - ((n0 - l0) / rest) ** 2) AS gain
+  FROM (SELECT *, n1 + n0 AS n, l1 + l0 AS l, n1 + n0 - l1 - l0 AS rest FROM cells) WHERE threshold IS NOT NULL)
+"""
+
+
+def split_rows(spark, d):
+    train = prep.split(silver(spark, d).withColumn("degrading", F.expr(_DEGRADING)).fillna({"status_code": -1}))[0]
+    return train.select("degrading", *_SPLIT_FEATURES)
+
+
+@CASES.add("first_splits", "M8 M15", over_silver(f"""
+SELECT feature, arg_max(threshold, (round(gain, 12), -threshold)) AS threshold, {r('max(gain)', 6)} AS gain FROM gains GROUP BY feature""",
+    _GAINS))
+def first_splits(spark, d):
+    return six(X.first_splits(X.class_histograms(split_rows(spark, d), "degrading", _SPLIT_FEATURES)), "gain")
+
+
+@CASES.add("tree_first_split", "M8 M15", over_silver(f"""
+SELECT feature, threshold, {r('gain', 6)} AS gain, CAST(1 AS DOUBLE) AS importance_total
+FROM gains ORDER BY round(gain, 12) DESC, place, threshold LIMIT 1""", _GAINS))
+def tree_first_split(spark, d):
+    """The first split that a fitted tree takes is the one that counts give."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = split_rows(spark, d)
+    vectors = VectorAssembler(inputCols=_SPLIT_FEATURES, outputCol="features").transform(rows)
+    model = T.decision_tree("degrading", depth=1).fit(vectors)
+    importance = T.feature_importance(model, vectors).agg(F.sum("importance").alias("total")).first()["total"]
+    told = spark.createDataFrame([(*T.root_split(model, vectors), importance)], "feature string, threshold double, gain double, importance_total double")
+    return six(told, "gain", "importance_total")
+
+
+_PERMUTED = ["severity_score", "instance_exists", "event_hour"]
+_RULE = "CAST(severity_score >= 2 AND instance_exists = 0 OR event_hour % 7 = 0 AS INTEGER)"
+
+
+def _dealt(column: str) -> str:
+    named = ", ".join(f"dealt AS {c}" if c == column else c for c in _PERMUTED)
+    return f"""
+    SELECT '{column}' AS feature, (SELECT avg(CAST(is_anomaly = {_RULE} AS INTEGER)) FROM permuted_rows) AS accuracy,
+           avg(CAST(is_anomaly = {_RULE} AS INTEGER)) AS shuffled_accuracy
+    FROM (SELECT is_anomaly, {named} FROM (
+      SELECT *, coalesce(lead({column}) OVER dealing, first({column}) OVER (PARTITION BY pile ORDER BY draw, event_id)) AS dealt
+      FROM permuted_rows WINDOW dealing AS (PARTITION BY pile ORDER BY draw, event_id)))"""
+
+
+@CASES.add("permutation_importance", "M7 M9 M15", over_silver(
+    f"SELECT feature, {r('accuracy', 6)} AS accuracy, {r('shuffled_accuracy', 6)} AS shuffled_accuracy, "
+    f"{r('accuracy - shuffled_accuracy', 6)} AS importance FROM ({' UNION ALL '.join(map(_dealt, _PERMUTED))})", f"""
+permuted_rows AS (
+  SELECT event_id, is_anomaly, severity_score, CAST(instance_id IS NOT NULL AS INTEGER) AS instance_exists, event_hour,
+         {_fraction(45)} AS draw, floor({_fraction(45)} * 8) AS pile
+  FROM silver)"""))
+def permutation_importance(spark, d):
+    rows = P.instance_exists(silver(spark, d)).select("event_id", "is_anomaly", *_PERMUTED)
+    told = X.permutation_importance(
+        rows, lambda df: df.withColumn("prediction", F.expr(_RULE)), _PERMUTED, label="is_anomaly", groups=8)
+    return six(told, "accuracy", "shuffled_accuracy", "importance")
+
+
 # ------------------------------------------------------------------ run history and cards
 
 
@@ -378,7 +492,8 @@ def health_model_selection(spark, d):
     train, test = health_frames(spark, d)
     stages = prep.feature_pipeline("health").fit(train)
     # every fold and grid point reads these rows again; lost blocks are computed anew
-    train_features = stages.transform(T.bounded(train, by="row_key")).select("features", "label", "class_weight").cache()
+    rows = prep.with_fold(T.bounded(train, by="row_key"), key="row_key")
+    train_features = stages.transform(rows).select("features", "label", "class_weight", "fold").cache()
     chosen = {name: T.select_model(name, train_features) for name in T.CLASSIFIERS}
     name, f1, best = T.assemble_best(stages, chosen, stages.transform(test))
     train_features.unpersist()

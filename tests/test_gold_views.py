@@ -87,14 +87,25 @@ def test_views_from_rollup_equal_views_over_silver(events):
 def test_running_totals_match_brute_force(spark):
     rows = [(float((i * 7919) % 1000), i % 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "score double, n int")
-    for ranges in (1, 2, 7, 300):
-        out = {r.score: r.n_before for r in X.running_totals(df, "score", ["n"], ranges).collect()}
+    for parts in (1, 2, 7):
+        out = {r.score: r.n_before for r in X.running_totals(df.repartition(parts), "score", ["n"]).collect()}
         total = 0
         for score, n in sorted(rows):
             assert out[score] == total
             total += n
 
 
+def test_places_in_a_total_order_with_ties_across_ranges(spark):
+    rows = [(i % 7, f"v{i:03d}") for i in range(500)]
+    df = spark.createDataFrame(rows, "n int, v string").repartition(5)
+    out = X.prefix_sums(df, [F.desc("n"), F.col("v").asc_nulls_first()], ["n"])
+    want, total = {}, 0
+    for place, (n, v) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])), 1):
+        want[v] = (place, total)
+        total += n
+    assert {r.v: (r.place, r.n_before) for r in out.collect()} == want
+
+
 def test_share_of_sum_equals_share_of_total(spark):
     counts = spark.createDataFrame([("a", 1), ("b", 2)], "k string, count long")
     a = {r.k: r.p for r in X.share_of_sum(counts, "count", "p", 2).collect()}
