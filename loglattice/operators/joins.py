@@ -25,6 +25,17 @@ def attach_labels(
     return fill_label(keyed.join(flags, "_instance", "left").select(*kept, "is_anomaly"))
 
 
+def attach_bucketed_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """The label join over two tables of ``sinks.versions.write_bucketed`` with as many buckets, by instance: nothing is shuffled.
+
+    The labels' table holds each instance once, as ``spread_key``.
+    """
+    flags = labels.select("spread_key", F.lit(1).alias("is_anomaly"))
+    kept = [c for c in events.columns if c not in ("is_anomaly", "spread_key")]
+    joined = events.hint("merge").join(flags, "spread_key", "left")
+    return fill_label(joined.select(*kept, "is_anomaly"))
+
+
 def fill_label(df: DataFrame) -> DataFrame:
     return df.fillna({"is_anomaly": 0})
 

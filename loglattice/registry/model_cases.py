@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from loglattice.plans import silver as P
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, silver, table
 from loglattice.registry.gold_cases import six
+from loglattice.session import checkpoint_dir
 
 CASES = Cases()
 
@@ -499,3 +501,17 @@ def health_model_selection(spark, d):
     train_features.unpersist()
     scored = M.evaluate(T.score(best, test))
     return scored.select(F.lit(name).alias("model"), *_FIVE)
+
+
+@CASES.add("stored_model", "M16 M18", over_silver(f"""
+SELECT count(*) AS "rows", count(*) AS same FROM silver WHERE {_fraction(42)} >= 0.8"""))
+def stored_model(spark, d):
+    """A fitted pipeline, saved and loaded again, scores every test row as before."""
+    train, test = anomaly_frames(spark, d)
+    model = T.train(train, prep.anomaly_stages(), T.decision_tree(depth=4))
+    path = f"{checkpoint_dir(spark)}/stored/{uuid.uuid4().hex}"
+    T.save_model(model, path)
+    first = T.score(model, test).select("row_key", F.struct("prediction", "score").alias("first"))
+    second = T.score(T.load_model(path), test).select("row_key", F.struct("prediction", "score").alias("second"))
+    return first.join(second, "row_key", "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("first") == F.col("second")).alias("same"))
