@@ -35,6 +35,7 @@ SMOOTHING = 0.5
 DOCS_PER_LANGUAGE = 8000
 MATRIX_CELLS = 1 << 24
 FEWEST_BUCKETS = 256
+FEW_LABELS = 100_000
 UNDETERMINED = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -133,6 +134,8 @@ def train(
     if not labels:
         return Model([], np.zeros(0), np.zeros((0, buckets), np.float32))
     limits = docs.sparkSession.createDataFrame([(r["lang"], r["upto"]) for r in known], "known string, upto bigint")
+    # Few rows, which the planner can not tell: else all texts would be shuffled to meet them.
+    limits = F.broadcast(limits) if len(labels) <= FEW_LABELS else limits
     sample = labelled.join(limits, (F.col("lang") == F.col("known")) & (F.col("lot") < F.col("upto"))).select("lang", "text")
     # At most languages x buckets numbers come to the driver.
     sums = (
