@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from loglattice.ml.metrics import leakage_report
-
 
 def recent_runs(runs: DataFrame, prefix: str, n: int = 10) -> DataFrame:
     """The n newest runs whose name starts with a prefix, metrics at four places."""
@@ -44,6 +43,43 @@ def _parameters(classifier) -> str:
     return f"{type(classifier).__name__}({', '.join(f'{k}={given[k]}' for k in sorted(given))})"
 
 
+class CardRows(NamedTuple):
+    """What a card is computed from: labelled rows, the label of 0 and 1, and the feature columns."""
+
+    name: str
+    rows: DataFrame
+    label: str
+    features: list[str]
+
+
+def card_facts(cards: list[CardRows]) -> DataFrame:
+    """Rows (card, n, positives, leaks) for all cards from one aggregate; a leak is a feature that fixes the label alone.
+
+    Each row becomes a digest per feature and one for the row as such; what is kept is how often each digest goes with
+    either class. NULL counts as a value, and rows without a label are left out.
+    """
+    def cells(card: CardRows) -> DataFrame:
+        digests = [F.struct(F.lit(c).alias("feature"), F.xxhash64(F.col(c), F.col(c).isNull()).alias("value")) for c in card.features]
+        whole = F.struct(F.lit("").alias("feature"), F.lit(0).cast("long").alias("value"))
+        one = (F.col(card.label) == 1).alias("one")
+        labelled = card.rows.where(F.col(card.label).isNotNull())
+        return labelled.select(F.lit(card.name).alias("card"), one, F.inline(F.array(whole, *digests)))
+
+    long = reduce(DataFrame.unionByName, map(cells, cards))
+    counted = long.groupBy("card", "feature", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if("one").alias("ones"))
+    fixed = counted.groupBy("card", "feature").agg(
+        F.sum("n").alias("n"), F.sum("ones").alias("ones"), F.bool_and((F.col("ones") == 0) | (F.col("ones") == F.col("n"))).alias("fixes"))
+    whole = F.col("feature") == ""
+    found = fixed.groupBy("card").agg(
+        F.max(F.when(whole, F.col("n"))).alias("n"), F.max(F.when(whole, F.col("ones"))).alias("positives"),
+        F.array_sort(F.collect_list(F.when(~whole & F.col("fixes"), F.col("feature")))).alias("leaks"))
+    # a card without rows has no cells but is still a card
+    names = long.sparkSession.createDataFrame([(c.name,) for c in cards], "card string")
+    return names.join(found, "card", "left").select(
+        "card", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("positives", F.lit(0)).alias("positives"),
+        F.coalesce("leaks", F.array().cast("array<string>")).alias("leaks"))
+
+
 def model_card(
     name: str,
     rows: DataFrame,
@@ -54,16 +90,18 @@ def model_card(
     runs: DataFrame | None = None,
     prefix: str | None = None,
     least_positives: int = LEAST_POSITIVES,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """One card, computed from labelled rows, feature columns, the classifier and the run history.
 
+    ``facts`` is a ``card_facts`` table that several cards share.
+
     A model without a classifier or with too few positive rows is paused. One with a feature that fixes the
     label by itself is for demonstration only. Labels are 0 and 1; rows without a label are left out.
     """
-    labelled = rows.where(F.col(label).isNotNull())
-    leaks = leakage_report(labelled, label, features).where("determines_label")
-    found = leaks.agg(F.array_sort(F.collect_list("feature")).alias("leaks")).scalar()
-    facts = labelled.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("positives")).withColumn("leaks", found)
+    if facts is None:
+        facts = card_facts([CardRows(name, rows, label, features)])
+    facts = facts.where(F.col("card") == name)
     few = F.col("positives") < least_positives
     leaky = F.size("leaks") > 0
     logged = runs_json(runs, prefix).scalar() if runs is not None and prefix else F.lit(None).cast("string")

@@ -79,12 +79,12 @@ def silver(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:
     return attach_labels(parts, labels(spark, sf_dir))
 
 
-def page_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def page_views(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> dict[str, DataFrame]:
     """The views behind one page or one insight run: Silver is read once for all counts, into a
-    rollup kept in the checkpoint folder, and once for the latencies."""
-    events = silver(spark, sf_dir)
+    rollup kept in the checkpoint folder, and once for the latencies, which are kept too."""
+    events = silver(spark, sf_dir) if events is None else events
     rollup = cut_lineage(hourly_rollup(events))
-    return {**views_from_rollup(rollup), "vw_dash_service_latency": service_latency(events)}
+    return {**views_from_rollup(rollup), "vw_dash_service_latency": cut_lineage(service_latency(events))}
 
 
 # --- the same layer for the other engine, written by hand in its own SQL ---

@@ -12,6 +12,7 @@ from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, page_views, silver
 from loglattice.registry.gold_cases import HOURLY_TREND, HTTP_STATUS, LATENCY, LEVELS, OVERVIEW, TOPICS
 from loglattice.registry.serving_cases import _PATTERNS
+from loglattice.session import cut_lineage
 
 CASES = Cases()
 
@@ -344,10 +345,19 @@ insights AS (
 _INSIGHT_CTES = (OVERVIEW, LATENCY, _FACTS, _TEXTS, LEVELS, HOURLY_TREND, _ESTATE, _ESTATE_TEXT, *M.CARD_CTES, _INSIGHTS)
 
 
+# What views, cards and early warning read of Silver.
+_READ = ["service", "log_level", "event_timestamp", "event_date", "event_hour", "day_of_week", "status_code", "response_time",
+         "response_category", "severity_score", "is_anomaly", "instance_id", "http_method", "log_file", "kafka_topic"]
+
+
 def insight_table(spark, d):
-    views = page_views(spark, d)
-    services = I.service_facts(views["vw_dash_service_overview"], views["vw_dash_service_latency"])
-    return I.build_insights(services, _estate(views), _candidates(services), M.cards(spark, d))
+    """The insight table from one stored projection of Silver; the facts it words are stored as well."""
+    events = cut_lineage(silver(spark, d).select(*_READ))
+    views = page_views(spark, d, events)
+    views["vw_dash_service_overview"] = cut_lineage(views["vw_dash_service_overview"])
+    services = cut_lineage(I.service_facts(views["vw_dash_service_overview"], views["vw_dash_service_latency"]))
+    estate = cut_lineage(_estate(views))
+    return I.build_insights(services, estate, _candidates(services), cut_lineage(M.cards(spark, d, events)))
 
 
 @CASES.add("insights", "I13", over_silver(

@@ -14,7 +14,7 @@ from loglattice.plans import silver as P
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, silver, table
 from loglattice.registry.gold_cases import six
-from loglattice.session import checkpoint_dir
+from loglattice.session import checkpoint_dir, cut_lineage
 
 CASES = Cases()
 
@@ -330,19 +330,22 @@ _HEALTH_FEATURES = ["log_level", "status_code", "severity_score", "response_cate
 _WARNING_FEATURES = ["total_logs", "error_count", "warning_count", "event_hour"]
 
 
-def cards(spark, d):
+def cards(spark, d, events=None):
     """A card for each model, from the rows it would be trained on."""
-    events = silver(spark, d)
+    events = silver(spark, d) if events is None else events
     health = P.service_health_label(events.fillna(C.HEALTH_SENTINELS)).where("service_health <> 'Critical'").withColumn(
         "degrading", (F.col("service_health") == "Degrading").cast("int"))
     warning = W.early_warning_target(W.early_warning_base(events))
     history = run_history(spark, d)
-    return R.model_cards([
-        R.model_card("anomaly", P.instance_exists(events), "is_anomaly", _ANOMALY_FEATURES, T.random_forest(),
-                     runs=history, prefix="Binary_"),
-        R.model_card("health", health, "degrading", _HEALTH_FEATURES, T.decision_tree("degrading")),
-        R.model_card("early_warning", warning, "early_warning_target", _WARNING_FEATURES),
-    ])
+    given = [
+        R.CardRows("anomaly", P.instance_exists(events), "is_anomaly", _ANOMALY_FEATURES),
+        R.CardRows("health", health, "degrading", _HEALTH_FEATURES),
+        R.CardRows("early_warning", warning, "early_warning_target", _WARNING_FEATURES),
+    ]
+    more = {"anomaly": {"classifier": T.random_forest(), "runs": history, "prefix": "Binary_"},
+            "health": {"classifier": T.decision_tree("degrading")}}
+    facts = cut_lineage(R.card_facts(given))
+    return R.model_cards([R.model_card(*card, facts=facts, **more.get(card.name, {})) for card in given])
 
 
 def _leaks(rows: str, label: str, features: list[str]) -> str:
