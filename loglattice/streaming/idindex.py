@@ -1,10 +1,11 @@
 """An index of the ids that a stored table holds, so that a micro-batch finds its repeats without reading the table.
 
-Ids lie in hash buckets beside the table, as Parquet partitions. A batch reads only the buckets that its own ids fall
-into, and its ids travel to the stored ones, never the other way round; beyond ``broadcast_ids`` of them the buckets
-are taken in lots that keep what travels below that bound, and a single bucket's ids are joined by a shuffle.
+Ids lie beside the table, sorted by hash bucket, so that Parquet skips what lies outside a filter on the bucket. A batch
+reads only the buckets that its own ids fall into, and its ids travel to the stored ones, never the other way
+round; beyond ``broadcast_ids`` of them the buckets are taken in lots that keep what travels below that bound, and a
+single bucket's ids are joined by a shuffle. ``compact`` merges what many batches have stored.
 
-A batch first claims its new ids, then writes its rows into a partition of the table named after the claim, then
+A batch first claims its new ids, then writes its rows into the partition of the table named after the claim, then
 settles the claim. A batch that is run again has the same claim and replaces what it wrote. Ids under a claim that was
 never settled count only as far as the table has their rows, so a run that dies between two steps neither loses
 nor repeats a row, also when another run with a new checkpoint takes over.
@@ -12,13 +13,14 @@ nor repeats a row, also when another run with a new checkpoint takes over.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BUCKETS = 64
+BUCKETS = 256
 BROADCAST_IDS = 1_000_000
 CLAIM = "batch"
 
@@ -48,7 +50,7 @@ class IdIndex:
     def prepare(self, spark: SparkSession, held: DataFrame | None = None, key: str = "event_id") -> None:
         """Fix the number of buckets, and take in the ids of a table that has been kept without an index.
 
-        The table's last partition column must be ``batch``, as of one written here or with a constant in it.
+        The table's first partition column must be ``batch``, as of one written here or with a constant in it.
         """
         layout = stored(spark, f"{self.path}/layout", "buckets int")
         if layout is not None:
@@ -59,7 +61,7 @@ class IdIndex:
         if held is not None:
             self.claim(held.select(F.col(key).alias("id")).where("id IS NOT NULL").distinct(), "adopted")
             self.settle(spark, "adopted")
-        spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
+        _one(spark, F.lit(self.buckets).alias("buckets")).write.mode("overwrite").parquet(f"{self.path}/layout")
 
     def hits(self, ids: DataFrame, claim: str) -> DataFrame | None:
         """Rows (id, claim) of the given distinct ids that stand under other claims; no stored row is shuffled."""
@@ -99,14 +101,30 @@ class IdIndex:
 
     def claim(self, ids: DataFrame, claim: str) -> None:
         """Store ids under a claim; the same claim replaces what it stored before."""
-        placed = ids.select("id", self.bucket("id").alias("bucket"), F.lit(claim).alias("claim"))
-        (
-            placed.repartition("bucket").sortWithinPartitions("bucket", "id").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "claim").parquet(f"{self.path}/ids")
-        )
+        placed = ids.select("id", self.bucket("id").alias("bucket"))
+        spread = placed.repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
+        spread.write.mode("overwrite").parquet(f"{self.path}/ids/claim={claim}")
 
     def settle(self, spark: SparkSession, claim: str) -> None:
-        spark.createDataFrame([(claim,)], "claim string").coalesce(1).write.mode("append").parquet(f"{self.path}/settled")
+        _one(spark, F.lit(claim).alias("claim")).write.mode("append").parquet(f"{self.path}/settled")
+
+    def compact(self, spark: SparkSession) -> None:
+        """Merge the ids of all settled claims into one and drop theirs; not while a batch is being written."""
+        settled = stored(spark, f"{self.path}/settled", "claim string")
+        if settled is None:
+            return
+        merged = [r[0] for r in settled.distinct().collect()]
+        claim = f"merged-{uuid.uuid4().hex[:16]}"
+        self.claim(self.ids(spark).where(F.col("claim").isin(merged)).select("id").distinct(), claim)
+        self.settle(spark, claim)
+        # Ids that stand under two claims, as after a run that dies here, do no harm.
+        for old in merged:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/ids/claim={old}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _one(spark: SparkSession, column: Column) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(column)
 
 
 def append_unseen(
@@ -115,7 +133,7 @@ def append_unseen(
 ) -> None:
     """Append to the table at ``path`` what ``rows`` makes of the batch's rows whose ids the table does not hold."""
     spark = batch.sparkSession
-    ids = batch.select(F.col(key).alias("id")).where("id IS NOT NULL").distinct()
+    ids = batch.select(F.col(key).alias("id")).where("id IS NOT NULL").distinct().persist()
 
     def rows_of(claims: list[str]) -> DataFrame:
         table = stored(spark, path, f"{key} string, {CLAIM} string")
@@ -129,6 +147,9 @@ def append_unseen(
         ids = ids.join(known, "id", "left_anti")
         new = batch.join(known.withColumnRenamed("id", key), key, "left_anti")
     index.claim(ids, claim)
-    writer = rows(new).withColumn(CLAIM, F.lit(claim)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*([partition_by] if partition_by else []), CLAIM).parquet(path)
+    made = rows(new)
+    # Small partitions of the table come from one task, and a busy one is split.
+    writer = (made.hint("rebalance", partition_by) if partition_by else made).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{path}/{CLAIM}={claim}")
     index.settle(spark, claim)
+    ids.unpersist()

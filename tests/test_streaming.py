@@ -219,8 +219,8 @@ def test_index_probe_moves_no_stored_id(spark, tmp_path):
     text = plan(hits)
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
     touched = {r[0] for r in asked.select(index.bucket("id")).collect()}
-    assert len(touched) < 8 and "bucket#" in text and "PartitionFilters: [" in text
-    listed = re.search(r"PartitionFilters: \[(.*?bucket.*?)\]", text).group(1)
+    assert len(touched) < 8 and "bucket#" in text and "PushedFilters: [" in text
+    listed = re.search(r"PushedFilters: \[(.*?bucket.*?)ReadSchema", text).group(1)
     assert all(str(b) in listed for b in touched)
     assert [r.id for r in hits.collect()] == ["5"]
     assert index.hits(asked, "one").count() == 0
@@ -272,12 +272,28 @@ def test_silver_kept_without_an_index_is_taken_in(spark, tmp_path):
     labels = spark.createDataFrame([("i1",)], "instance_id string")
     first = decode_records(as_records(spark, make_events(spark, 6)))
     L.silver_writer(labels, path("made"), path("bad"))(first, 0)
-    spark.read.parquet(path("made")).withColumn("batch", F.lit("old")).write.partitionBy("event_date", "batch").parquet(path("silver"))
+    spark.read.parquet(path("made")).withColumn("batch", F.lit("old")).write.partitionBy("batch", "event_date").parquet(path("silver"))
     L.silver_writer(labels, path("silver"), path("bad"))(decode_records(as_records(spark, make_events(spark, 9))), 0)
     ids = [r.event_id for r in spark.read.schema("event_id string").parquet(path("silver")).collect()]
     assert sorted(ids) == sorted(map(str, range(9)))
 
 
+def test_compacted_index_finds_the_same_ids(spark, tmp_path):
+    index = IdIndex(str(tmp_path / "index"), buckets=4)
+    index.prepare(spark)
+    for n in range(4):
+        index.claim(spark.range(10 * n, 10 * n + 12).select(F.col("id").cast("string")), f"c{n}")
+        if n < 3:
+            index.settle(spark, f"c{n}")
+    index.compact(spark)
+    held = index.ids(spark)
+    assert held.where("claim LIKE 'merged%'").count() == 32 and held.where("claim = 'c3'").count() == 12
+    assert held.select("claim").distinct().count() == 2
+    rows = lambda claims: spark.createDataFrame([], "id string")
+    known = index.known(spark.range(50).select(F.col("id").cast("string")), "new", rows)
+    assert sorted(int(r.id) for r in known.collect()) == list(range(32))
+
+
 def test_distinct_ids_days_apart(spark, tmp_path):
     path = lambda name: str(tmp_path / name)
     schema = "event_id string, event_timestamp timestamp"
