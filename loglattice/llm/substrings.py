@@ -33,7 +33,7 @@ from loglattice.llm import tokens
 from loglattice.session import cut_lineage
 
 WINDOW = 50
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 24_000_000
 FLUSH_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 
@@ -292,8 +292,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col(doc_id).cast("long").alias("doc_id"), key.alias("key"), F.xxhash64(key, F.col(text)).alias("row"), F.col(text).alias("text")
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(-(-size // BUCKET_BYTES), width)
+    # Fewer buckets mean longer runs of a document in each, and less to write.
+    buckets = max(-(-size // BUCKET_BYTES), 2 * spark.sparkContext.defaultParallelism)
     packed = rows.filter(F.octet_length("text") >= 2 * window - 1).select("key", "row", "text").mapInArrow(_pack(window, buckets), PACKED)
     found = cut_lineage(packed.groupBy("bucket").applyInArrow(_match, FOUND))
     joined = rows.select("doc_id", "row", "text").join(_removals(found, window), "row", "left")
