@@ -10,9 +10,12 @@ same number at any size. Finer cells part more pairs, so the number of tables fo
 at the threshold meet with a chance of at least RECALL at any size. A cell that holds many is compared in pairs of blocks by several tasks. Tasks count
 the links of each vector and write one edge for each vector and group they join, never the pairs.
 
-Defined results: vectors that are null, empty or zero, or hold a null or a component that is not finite, and
-vectors of another length than most, link with nothing and are components of their own; rows that share an id
-are vectors of one component, each counted; a null id links with nothing; labels play no part; an empty table gives an
+Equal vectors become one class with its number of rows before any cell is looked at, so copies are never paired: a row
+links with the other rows of its class and with all rows of the classes that its own links with.
+
+Defined results: vectors that are null, empty or zero, or hold a null or a component that is not finite
+link with nothing and are components of their own; vectors are compared with those of their own length, one length after
+another; rows that share an id are vectors of one component, each counted by itself; a null id links with nothing; labels play no part; an empty table gives an
 empty result. Other columns are ignored.
 """
 
@@ -162,8 +165,9 @@ def _spread(width: int, n: int, tables: int, probes: int):
                 table = np.tile(np.repeat(np.arange(tables, dtype=np.int32), 1 + probes), part.num_rows)
                 home = np.tile(np.arange(1 + probes) == 0, part.num_rows * tables)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(table), pa.array(cells.reshape(-1)), pa.array(home), part.column("node").take(take), vector.take(take)],
-                    names=["grid", "cell", "home", "node", "vector"],
+                    [pa.array(table), pa.array(cells.reshape(-1)), pa.array(home), part.column("node").take(take),
+                     part.column("weight").take(take), vector.take(take)],
+                    names=["grid", "cell", "home", "node", "weight", "vector"],
                 )
 
     return run
@@ -228,7 +232,9 @@ def _link(width: int, n: int, tables: int, probes: int, threshold: float):
                 _first_here(cells[u[k : k + step]], cells[v[k : k + step]], grid, cell) for k in range(0, len(a), step)
             ])
             a, b = a[mine], b[mine]
-        links = np.bincount(a, minlength=len(node)) + np.bincount(b, minlength=len(node))
+        weight = table.column("weight").to_numpy()
+        links = np.bincount(a, weight[b], minlength=len(node)) + np.bincount(b, weight[a], minlength=len(node))
+        links = links.astype(np.int64)
         some = np.flatnonzero(links)
         return pa.table({"node": node[some], "lead": node[_leads(a, b, len(node))[some]], "links": links[some]})
 
@@ -250,32 +256,50 @@ def near_duplicate_vectors(
             finite & (F.size(e) > 0) & F.exists(e, lambda x: x != 0) & F.col(vec_id).isNotNull(), F.lit(False)
         ).alias("usable"),
     ).drop("wide")
-    widths = rows.filter("usable").groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if widths is None:
-        return rows.select(
-            F.col("node").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"),
-            F.col("node").isNotNull().alias("kept"),
-        )
-    width, n = int(widths["width"]), int(widths["count"])
-    tables = tables_for(scale_for(n), threshold, probes) if tables is None else tables
-    usable = rows.filter(F.col("usable") & (F.size("vector") == width)).select("node", "vector")
-    kind = usable.schema["vector"].dataType.simpleString()
-    seen = usable.mapInArrow(
-        _spread(width, n, tables, probes), f"grid int, cell bigint, home boolean, node bigint, vector {kind}"
+    digest = F.xxhash64("vector", F.lit("class"))
+    classes = cut_lineage(
+        rows.filter("usable").groupBy(digest.alias("class"), F.xxhash64("vector").alias("also")).agg(
+            F.count("*").alias("weight"), F.min("node").alias("least"), F.first("vector").alias("vector")
+        ).withColumn("width", F.size("vector"))
     )
-    found = cut_lineage(
-        in_blocks(seen, ["grid", "cell"], "node").groupBy("grid", "cell", "low", "high")
-        .applyInArrow(_link(width, n, tables, probes, threshold), "node bigint, lead bigint, links bigint")
+    found = None
+    for r in classes.groupBy("width").count().orderBy("width").collect():
+        some = classes.filter(F.col("width") == r["width"]).select(F.col("class").alias("node"), "weight", "vector")
+        part = _links(some, int(r["width"]), int(r["count"]), threshold, tables, probes)
+        found = part if found is None else found.unionByName(part)
+    members = rows.filter("usable").select("node", digest.alias("class"))
+    if found is None:
+        found = members.select(F.col("class").alias("node"), F.col("class").alias("lead"), F.lit(0).cast("long").alias("links")).limit(0)
+    counts = found.groupBy(F.col("node").alias("class")).agg(F.sum("links").alias("links"))
+    # Rows of one id belong together, whatever their classes.
+    by_id = members.groupBy("node").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a < b")
+    shared = members.join(by_id, "node").select("a", F.col("class").alias("b"))
+    edges = found.select(F.col("node").alias("a"), F.col("lead").alias("b")).union(shared)
+    parts = connected_components(edges).toDF("class", "part")
+    told = classes.select("class", "weight", "least").join(counts, "class", "left").join(parts, "class", "left").select(
+        "class", "least", F.coalesce("part", "class").alias("part"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("links")
     )
-    counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
-    parts = connected_components(found.select(F.col("node").alias("a"), F.col("lead").alias("b")))
-    own = F.coalesce("component", "node")
+    smallest = told.groupBy("part").agg(F.min("least").alias("component_id"))
+    placed = told.join(smallest, "part").select("class", "links", "component_id")
+    own = F.coalesce("component_id", "node")
     return (
-        rows.select("node")
-        .join(counts, "node", "left")
-        .join(parts, "node", "left")
+        rows.select("node", F.when(F.col("usable"), digest).alias("class"))
+        .join(placed, "class", "left")
         .select(
-            F.col("node").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.col("node").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
             own.alias("component_id"), F.coalesce(F.col("node") == own, F.lit(False)).alias("kept"),
         )
     )
+
+
+def _links(vectors: DataFrame, width: int, n: int, threshold: float, tables: int | None, probes: int) -> DataFrame:
+    """Rows (node, lead, links) of distinct vectors of one length: rows linked with, and an edge, for each group of a task."""
+    tables = tables_for(scale_for(n), threshold, probes) if tables is None else tables
+    kind = vectors.schema["vector"].dataType.simpleString()
+    seen = vectors.mapInArrow(
+        _spread(width, n, tables, probes), f"grid int, cell bigint, home boolean, node bigint, weight bigint, vector {kind}"
+    )
+    return cut_lineage(
+        in_blocks(seen, ["grid", "cell"], "node").groupBy("grid", "cell", "low", "high")
+        .applyInArrow(_link(width, n, tables, probes, threshold), "node bigint, lead bigint, links bigint")
+    )
