@@ -7,8 +7,12 @@ attribute instead), which leaves its scores as slices. From the most significant
 into surely above the k-th score and tied with it so far; rows that stay tied are the boundary and are resolved
 by their id. The k best of each block are merged in Spark.
 
-Defined results: vectors that are null or empty, hold a null or a component that is not finite, or have another
-length than most take no part, neither do null ids; equal scores go to the smaller id; rows that repeat are
+Vectors are searched among those of their own length, each length in blocks of its own. A task builds the slices of a
+block once and passes up to QUERIES_PER_BLOCK queries through them, some at a time.
+
+Defined results: vectors that are null or empty, or hold a null or a component that is not finite
+take no part, neither do null ids; vectors of different lengths are no candidates of one another; components so large
+that a score might not fit 64 bits are refused with a ValueError; equal scores go to the smaller id; rows that repeat are
 candidates each; a query is not its own candidate; queries with fewer candidates return all; an empty table
 gives an empty result. Other columns are ignored.
 """
@@ -24,7 +28,7 @@ from pyspark.sql.window import Window
 K = 5
 SCALE = 256
 CANDIDATES_PER_BLOCK = 8192
-QUERIES_PER_BLOCK = 512
+QUERIES_PER_BLOCK = 8192
 QUERIES_AT_ONCE = 64
 
 
@@ -113,10 +117,12 @@ def top_of_block(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queri
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _search(width: int, k: int):
+def _search(k: int):
     def run(key, candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        queries = queries.rename_columns([c.removeprefix("q_") for c in queries.column_names])
+
         def whole(t: pa.Table) -> np.ndarray:
-            return t.column("value").combine_chunks().flatten().to_numpy().reshape(-1, width)
+            return t.column("value").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
 
         none = pa.array([], pa.int64())
         if not candidates.num_rows or not queries.num_rows:
@@ -137,21 +143,31 @@ def top_k(
     usable = vectors.filter(F.col(vec_id).isNotNull() & F.coalesce(finite & (F.size(e) > 0), F.lit(False))).select(
         F.col(vec_id).cast("long").alias("id"), quantised(embedding, scale).alias("value"), F.coalesce(query, F.lit(False)).alias("asks")
     )
-    widths = usable.groupBy(F.size("value").alias("width")).agg(
-        F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("q")
-    ).orderBy(F.desc("n"), "width").first()
-    width, n, q = (widths["width"], widths["n"], widths["q"]) if widths else (1, 0, 0)
-    usable = usable.filter(F.size("value") == width)
-    blocks, groups = max(-(-n // CANDIDATES_PER_BLOCK), 1), max(-(-q // QUERIES_PER_BLOCK), 1)
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(int(m) - 1)))
-    candidates = usable.select(
-        F.pmod(F.xxhash64("id"), F.lit(int(blocks))).cast("int").alias("block"), every(groups).alias("group"), "id", "value"
-    )
-    queries = usable.filter("asks").select(
-        every(blocks).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(int(groups))).cast("int").alias("group"), "id", "value"
+    usable = usable.withColumn("width", F.size("value"))
+    largest = F.max(F.aggregate("value", F.lit(0).cast("double"), lambda m, x: F.greatest(m, F.abs(x.cast("double")))))
+    widths = usable.groupBy("width").agg(F.count("*").alias("n"), F.count_if(F.col("asks")).alias("q"), largest.alias("largest"))
+    reach = widths.agg(F.max(F.col("largest") * F.col("largest") * F.col("width"))).first()[0]
+    if reach is not None and reach >= 2.0**63:
+        raise ValueError(f"inner products of up to {reach:.3g} do not fit 64 bits")
+    parts = widths.select(
+        F.col("width").alias("of"), F.ceil(F.col("n") / CANDIDATES_PER_BLOCK).cast("int").alias("blocks"),
+        F.greatest(F.ceil(F.col("q") / QUERIES_PER_BLOCK), F.lit(1)).cast("int").alias("groups"),
     )
-    found = candidates.groupBy("block", "group").cogroup(queries.groupBy("block", "group")).applyInArrow(
-        _search(int(width), k), "query_id bigint, vec_id bigint, score bigint"
+    placed = usable.join(parts, F.col("width") == F.col("of"))
+
+    def every(m: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+
+    def dealt(m: str, seed: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(seed)), F.col(m)).cast("int")
+
+    candidates = placed.select("width", dealt("blocks", 0).alias("block"), every("groups").alias("group"), "id", "value")
+    # Renamed columns keep the two sides, which come from the same rows, apart in the cogroup.
+    queries = placed.filter("asks").select("width", every("blocks").alias("block"), dealt("groups", 1).alias("group"), "id", "value")
+    keys = ["width", "block", "group"]
+    queries = queries.toDF(*[f"q_{c}" for c in queries.columns])
+    found = candidates.groupBy(*keys).cogroup(queries.groupBy(*[f"q_{c}" for c in keys])).applyInArrow(
+        _search(k), "query_id bigint, vec_id bigint, score bigint"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -308,6 +308,38 @@ def test_pairs_at_the_threshold_meet_at_any_size(n):
     assert lattice._met(u, v).any(axis=1).mean() >= 0.985
 
 
+def test_vectors_of_every_length_and_copies_link(spark):
+    draw = np.random.default_rng(15)
+    base = around(21, 8, 0.12)
+    rows = [(i, v) for i, v in enumerate(base)] + [(100 + i, base[0]) for i in range(50)] + [(200 + i, base[3]) for i in range(9)]
+    short = [draw.standard_normal(5).tolist() for _ in range(6)]
+    low = [(300 + i, v) for i, v in enumerate(short)] + [(400 + i, short[2]) for i in range(4)]
+    out = {r.vec_id: (r.n_links, r.component_id) for r in lattice.near_duplicate_vectors(vectors(spark, rows + low).repartition(4)).collect()}
+    for part in (rows, low):
+        near = links_of(part, 0.9)
+        ids = [i for i, _ in part]
+        group = plain.groups(ids, [(ids[a], ids[b]) for a, b in np.argwhere(near)])
+        assert {i: out[i] for i in ids} == {i: (int(near[n].sum()), group[i]) for n, i in enumerate(ids)}
+
+
+def test_rows_of_one_id_share_a_component(spark):
+    draw = np.random.default_rng(16)
+    a, b = draw.standard_normal((2, 16)).tolist()
+    rows = [(5, a), (5, b), (9, b), (3, a), (7, (-np.array(a)).tolist())]
+    out = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicate_vectors(vectors(spark, rows)).collect())
+    assert out == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (7, 0, 7, True), (9, 1, 3, False)]
+
+
+def test_equal_vectors_are_one_row_of_every_cell(spark, monkeypatch):
+    seen = []
+    spread = lattice.in_blocks
+    monkeypatch.setattr(lattice, "in_blocks", lambda df, *a: seen.append(df.count()) or spread(df, *a))
+    for n in (500, 1000, 2000):
+        out = lattice.near_duplicate_vectors(vectors(spark, [(i, [1.0, 2.0]) for i in range(n)])).collect()
+        assert all((r.n_links, r.component_id) == (n - 1, 0) for r in out)
+    assert len(set(seen)) == 1
+
+
 def test_embedding_blocks_and_empty_table(spark, monkeypatch):
     from loglattice.llm import blocks
 
@@ -355,6 +387,15 @@ def test_top_k_with_few_or_no_candidates(spark):
     assert bitslice.top_k(vectors(spark, rows).filter("vec_id < 0"), F.lit(True)).count() == 0
 
 
+def test_top_k_within_every_length_and_refused_sizes(spark):
+    rows = [(i, [float(i % 7) - 3, i / 4]) for i in range(40)]
+    long = [(100 + i, [float(i % 5), -i / 8, 0.5]) for i in range(30)]
+    out = bitslice.top_k(vectors(spark, rows + long), F.col("vec_id") % 10 == 0).collect()
+    assert sorted(map(tuple, out)) == sorted(best(rows, lambda i: i % 10 == 0) + best(long, lambda i: i % 10 == 0))
+    with pytest.raises(ValueError, match="64 bits"):
+        bitslice.top_k(vectors(spark, [(0, [1e12, 1.0]), (1, [2.0, 3.0])]), F.lit(True))
+
+
 def test_adding_slices_is_adding_numbers():
     draw = np.random.default_rng(7)
     a, b = draw.integers(0, 2000, (2, 130))
