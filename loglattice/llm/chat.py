@@ -129,11 +129,36 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def events_of(rows: DataFrame) -> DataFrame:
-    """One `message` event per row (conv_id, turn, role, text), in the order of turn."""
+    """The log of events that rows (conv_id, turn, role, text), in the order of turn, may have come from.
+
+    By turns a text arrives whole, in two deltas, as a wrong text with its edit, or as a wrong answer with a later message, both
+    discarded by a regeneration that streams the right one. Folding the log gives the rows back.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return rows.select("conv_id", "turn", "role", "text").withColumn("seq", F.row_number().over(order)).select(
-        "conv_id", "seq", F.col("seq").alias("message"), F.lit("message").alias("event"), "role", "text"
-    )
+    numbered = rows.select("conv_id", "turn", "role", "text").withColumn("n", F.row_number().over(order))
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substr(text, half + 1)
+    none, wrong = F.lit(None).cast("string"), F.concat(F.lit("not "), text)
+
+    def event(place: int, kind: str, what: Column, role: Column = none, later: int = 0) -> Column:
+        message = F.col("n") * 10 + later
+        return F.struct(
+            (F.col("n") * 10 + place).alias("seq"), message.alias("message"), F.lit(kind).alias("event"), role.alias("role"), what.alias("text"))
+
+    role = F.col("role")
+    deltas = [event(5, "delta", first), event(6, "delta", rest)]
+    logs = [
+        [event(0, "message", F.col("text"), role)],
+        [event(0, "message", F.lit(""), role), *deltas],
+        [event(0, "message", wrong, role), event(1, "delta", F.lit(" yet")), event(2, "edit", text)],
+        [event(0, "message", F.lit(""), role), event(1, "delta", wrong), event(2, "message", F.lit("And then?"), F.lit("user"), 5),
+         event(3, "delta", F.lit(" Well?"), none, 5), event(4, "regenerate", none), *deltas],
+    ]
+    dealt = F.when(F.col("n") % 4 == 0, F.array(*logs[0]))
+    for i in (1, 2, 3):
+        dealt = dealt.when(F.col("n") % 4 == i, F.array(*logs[i]))
+    return numbered.select("conv_id", F.inline(dealt))
 
 
 PLANTED = f"{END}{START}assistant ok"
