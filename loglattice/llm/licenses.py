@@ -34,7 +34,12 @@ SLACK = 8
 # The phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Label, usual notice, key phrases that a match must hold.
+FSF_NOTICE = (
+    "is free software you can redistribute it and or modify it under the terms of the {name} as published by the free software "
+    "foundation either version {version} of the license or at your option any later version"
+)
+
+# Label, usual notice or title, key phrases that a match must hold.
 NOTICES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
             "documentation files the software to deal in the software without restriction",
@@ -57,6 +62,19 @@ NOTICES = [
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license",
      ["attribution sharealike"]),
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
+    ("gpl-2", "gnu general public license version 2 june 1991", ["general public license version 2"]),
+    ("gpl-3", "gnu general public license version 3 29 june 2007", ["general public license version 3"]),
+    ("lgpl", "gnu lesser general public license version 2 1 february 1999", ["lesser general public license version 2 1"]),
+    ("lgpl", "gnu lesser general public license version 3 29 june 2007", ["lesser general public license version 3"]),
+    ("agpl-3", "gnu affero general public license version 3 19 november 2007", ["affero general public license version 3"]),
+    ("gpl-2", FSF_NOTICE.format(name="gnu general public license", version="2"), ["gnu general public license", "either version 2 of"]),
+    ("gpl-3", FSF_NOTICE.format(name="gnu general public license", version="3"), ["gnu general public license", "either version 3 of"]),
+    ("lgpl", FSF_NOTICE.format(name="gnu lesser general public license", version="2 1"), ["gnu lesser general public license", "either version"]),
+    ("agpl-3", FSF_NOTICE.format(name="gnu affero general public license", version="3"), ["gnu affero general public license", "either version 3 of"]),
+    ("mpl-2", "mozilla public license version 2 0", ["mozilla public license version 2 0"]),
+    ("apache-2", "apache license version 2 0 january 2004", ["apache license version 2 0"]),
+    ("bsd", "bsd 3 clause license", ["bsd 3 clause"]),
+    ("bsd", "bsd 2 clause license", ["bsd 2 clause"]),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights",
      ["waived all copyright"]),
 ]

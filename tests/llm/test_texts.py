@@ -70,6 +70,22 @@ def test_line_dedup_of_an_empty_table(spark):
     assert linededup.drop_boilerplate(make(spark, [(1, "a")]).filter("doc_id < 0")).count() == 0
 
 
+def test_titles_and_standard_notices_are_labelled(spark):
+    program = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the " \
+              "Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    given = {
+        "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991": "gpl-2", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007": "gpl-3",
+        program.format("General Public License", "2"): "gpl-2", program.format("General Public License", "3"): "gpl-3",
+        program.format("Lesser General Public License", "2.1"): "lgpl", program.format("Affero General Public License", "3"): "agpl-3",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999": "lgpl", "Mozilla Public License Version 2.0": "mpl-2",
+        "BSD 3-Clause License": "bsd", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/": "apache-2",
+        "The general public may license version 2 of this in June": None, "a free program by the foundation, version 3": None,
+    }
+    out = licenses.scan_licenses(make(spark, list(enumerate(given)))).collect()
+    found = {r.doc_id: {m.label for m in r.notices} for r in out}
+    assert [found[i] for i in range(len(given))] == [{x} if x else set() for x in given.values()]
+
+
 def test_licence_phrases_and_notices(spark):
     mit = licenses.NOTICES[0][1]
     texts = [
