@@ -61,27 +61,30 @@ def digests(df: DataFrame) -> list[Column]:
     return out
 
 
-def _value_profile(df: DataFrame) -> DataFrame:
-    """Rows, NULLs and distinct non-null values of every column, from one read and one shuffle.
+def _value_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, NULLs and distinct non-null values of every column of the tables, from one read of each and one shuffle.
 
-    Each row becomes (column, digest of the value) pairs of fixed width, which are counted before and after the
-    shuffle: a value in a third of all rows is one pair per task by then, and the pairs of a wide table spread over
-    all tasks. Two of n values share their 128 bits with a chance of about n^2 / 2^129.
+    Each row becomes (table, column, digest of the value) cells of fixed width, which are counted before and after the
+    shuffle: a value in a third of all rows is one cell per task by then, and the cells of a wide table spread over
+    all tasks. Two of n values share their 128 bits with a chance of about n^2 / 2^129. A table without rows has no
+    cells, but each of its columns is still listed.
     """
-    pairs = df.select(F.inline(F.array(*digests(df)))).groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-
-    counted = pairs.groupBy("i").agg(
+    long, listed = None, []
+    for t, (name, df) in enumerate(tables.items()):
+        cells = df.select(F.lit(t).alias("t"), F.inline(F.array(*digests(df))))
+        long = cells if long is None else long.unionByName(cells)
+        listed += [(t, i, name, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    keys = ["t", "i"]
+    counted = long.groupBy(*keys, "h1", "h2").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(
         F.sum("n").alias("total_rows"),
         F.sum(F.when(F.col("h1").isNull(), F.col("n"))).alias("null_count"),
         F.count("h1").alias("distinct_non_null"),
     )
-    names = F.array(*[F.lit(c) for c in df.columns])
-    every = df.sparkSession.range(0, len(df.columns), 1, 1).select(F.col("id").cast("int").alias("i"))
-    # a table without rows has no pairs, but each of its columns is still listed
-    return every.join(counted, "i", "left").select(
-        F.get(names, F.col("i")).alias("column_name"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_rows", "null_count", "distinct_non_null")],
-    )
+    names = ["t", "i", "table_name", "column_name", "data_type"]
+    every = long.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in listed])))
+    return every.join(counted, keys, "left").select(
+        *names[2:], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_rows", "null_count", "distinct_non_null")])
 
 
 def cardinality(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -89,7 +92,7 @@ def cardinality(df: DataFrame, exact: bool = True) -> DataFrame:
     column instead, for columns of ids where an estimate will do."""
     if exact:
         distinct = F.col("distinct_non_null") + F.when(F.col("null_count") > 0, 1).otherwise(0)
-        return _value_profile(df).select("column_name", distinct.alias("distinct_values"))
+        return _value_profile({"": df}).select("column_name", distinct.alias("distinct_values"))
 
     def entry(c: str) -> list[Column]:
         has_null = F.coalesce(F.max(F.col(c).isNull().cast("long")), F.lit(0).cast("long"))
@@ -145,21 +148,9 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
     A table without rows reports 0 rows and no percentage.
     """
-    out = None
-    for name, df in tables.items():
-        types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
-        share = F.round(S.percent(F.col("null_count"), F.nullif("total_rows", F.lit(0))), 2)
-        one = _value_profile(df).select(
-            F.lit(name).alias("table_name"),
-            "column_name",
-            types[F.col("column_name")].alias("data_type"),
-            "total_rows",
-            "null_count",
-            share.alias("null_pct"),
-            "distinct_non_null",
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    share = F.round(S.percent(F.col("null_count"), F.nullif("total_rows", F.lit(0))), 2)
+    return _value_profile(tables).select(
+        "table_name", "column_name", "data_type", "total_rows", "null_count", share.alias("null_pct"), "distinct_non_null")
 
 
 def grade_nulls(profile: DataFrame) -> DataFrame:

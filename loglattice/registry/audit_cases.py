@@ -8,7 +8,8 @@ from loglattice.operators import audit as A
 from loglattice.plans import gold as G
 from loglattice.registry.case import Cases
 from loglattice.registry.fixture import half_up as r, logs, over_logs, over_silver, silver, table
-from loglattice.registry.gold_cases import _PERFORMANCE, RISK_VIEW, risk_view, six
+from loglattice.registry.gold_cases import _DAILY, _PERFORMANCE, RISK_VIEW, risk_view, six
+from loglattice.session import cut_lineage
 
 CASES = Cases()
 
@@ -129,39 +130,62 @@ def level_totals(spark, d):
     return A.level_totals(logs(spark, d))
 
 
+_COUNTED = dict.fromkeys(["error_count", "warning_count", "critical_count", "success_count", "anomaly_count"], "bigint")
+_PERFORMED = {
+    "service": "string", "total_requests": "bigint", "avg_response_time": "double", "max_response_time": "double",
+    "min_response_time": "double", "avg_status_code": "double", **_COUNTED, "error_rate": "double", "warning_rate": "double",
+    "anomaly_rate": "double",
+}
+_STATUS = {"status_code": "int", "total_requests": "bigint", "avg_response_time": "double", "percentage": "double"}
 _PROFILED = {
-    "service_health": {
-        "service": "string", "total_requests": "bigint", "avg_response_time": "double", "max_response_time": "double",
-        "min_response_time": "double", "avg_status_code": "double", "error_count": "bigint", "warning_count": "bigint",
-        "critical_count": "bigint", "success_count": "bigint", "anomaly_count": "bigint", "error_rate": "double",
-        "warning_rate": "double", "anomaly_rate": "double", "health_status": "string",
-    },
-    "status_rows": {"status_code": "int", "rows_seen": "bigint"},
-    "nothing": {"status_code": "int", "rows_seen": "bigint"},
+    "service_performance": _PERFORMED,
+    "service_health": {**_PERFORMED, "health_status": "string"},
+    "log_level_summary": {"log_level": "string", "count": "bigint", "percentage": "double"},
+    "http_status_summary": _STATUS,
+    "daily_summary": {"event_date": "date", **dict.fromkeys(["total_logs", "errors", "warnings", "critical", "anomalies"], "bigint"),
+                      "avg_response_time": "double"},
+    "topic_summary": {"kafka_topic": "string", "total_logs": "bigint", "avg_response_time": "double", "error_count": "bigint",
+                      "warning_count": "bigint", "anomaly_count": "bigint"},
+    "anomaly_summary": {"service": "string", "anomaly_count": "bigint", "avg_response_time": "double", "error_count": "bigint"},
+    "service_risk_dashboard": {**_PERFORMED, "health_status": "string", "risk_score": "double"},
+    "nothing": _STATUS,
 }
-_SOURCE = {"service_health": "health", "status_rows": "status_rows", "nothing": "nothing"}
+_SOURCE = {"service_performance": "performance", "service_health": "health", "daily_summary": "daily", "service_risk_dashboard": "risk"}
 _PROFILE = "profile AS (" + "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type, count(*) AS total_rows, "
-    f"count(*) - count({c}) AS null_count, {r(f'100.0 * (count(*) - count({c})) / nullif(count(*), 0)', 2)} AS null_pct, "
-    f"count(DISTINCT {c}) AS distinct_non_null FROM {_SOURCE[t]}"
+    f"count(*) - count(\"{c}\") AS null_count, " + r(f'100.0 * (count(*) - count("{c}")) / nullif(count(*), 0)', 2)
+    + f" AS null_pct, count(DISTINCT \"{c}\") AS distinct_non_null FROM {_SOURCE.get(t, t)}"
     for t, columns in _PROFILED.items() for c, kind in columns.items()) + ")"
-_STATUS_ROWS = """
-status_rows AS (SELECT status_code, count(*) AS rows_seen FROM silver GROUP BY status_code),
-nothing AS (SELECT * FROM status_rows WHERE status_code = 999)
+_MORE_GOLD = f"""
+log_level_summary AS (
+  SELECT log_level, count(*) AS "count", {r('100.0 * count(*) / (SELECT count(*) FROM silver)', 2)} AS percentage FROM silver GROUP BY log_level),
+http_status_summary AS (
+  SELECT status_code, count(*) AS total_requests, avg(response_time) AS avg_response_time,
+         {r('100.0 * count(*) / (SELECT count(*) FROM silver)', 2)} AS percentage
+  FROM silver GROUP BY status_code),
+topic_summary AS (
+  SELECT kafka_topic, count(*) AS total_logs, avg(response_time) AS avg_response_time,
+         count(*) FILTER (log_level = 'ERROR') AS error_count, count(*) FILTER (log_level = 'WARNING') AS warning_count,
+         count(*) FILTER (is_anomaly = 1) AS anomaly_count
+  FROM silver GROUP BY kafka_topic),
+anomaly_summary AS (
+  SELECT service, count(*) FILTER (is_anomaly = 1) AS anomaly_count, avg(response_time) AS avg_response_time,
+         count(*) FILTER (log_level = 'ERROR') AS error_count
+  FROM silver GROUP BY service),
+nothing AS (SELECT * FROM http_status_summary WHERE status_code = 999)
 """
+_GOLD = (_PERFORMANCE, _DAILY, _MORE_GOLD, _PROFILE)
+_GOLD_READS = ["service", "log_level", "status_code", "response_time", "is_anomaly", "event_date", "kafka_topic"]
 
 
 def _profile(spark, d):
-    events = silver(spark, d)
-    status = events.groupBy("status_code").agg(F.count(F.lit(1)).alias("rows_seen"))
-    return A.null_profile({
-        "service_health": G.service_health(G.service_performance(events)),
-        "status_rows": status,
-        "nothing": status.where(F.col("status_code") == 999),
-    })
+    """All Gold tables and an empty one, from one stored projection of Silver."""
+    tables = G.gold_tables(cut_lineage(silver(spark, d).select(*_GOLD_READS)))
+    tables = {name: cut_lineage(df) for name, df in tables.items()}
+    return A.null_profile({**tables, "nothing": tables["http_status_summary"].where(F.col("status_code") == 999)})
 
 
-@CASES.add("null_profile", "A11", over_silver("SELECT * FROM profile", _PERFORMANCE, _STATUS_ROWS, _PROFILE))
+@CASES.add("null_profile", "A11", over_silver("SELECT * FROM profile", *_GOLD))
 def null_profile(spark, d):
     return _profile(spark, d)
 
@@ -169,7 +193,7 @@ def null_profile(spark, d):
 @CASES.add("null_grades", "A12", over_silver("""
 SELECT *, CASE WHEN null_pct = 100 THEN 'drop: holds no values' WHEN null_pct >= 50 THEN 'mostly missing: no headline figure'
                WHEN null_pct >= 10 THEN 'partly missing: show a no-data state' ELSE 'sparse: leave gaps' END AS severity
-FROM profile WHERE null_count > 0 ORDER BY null_pct DESC, table_name, column_name""", _PERFORMANCE, _STATUS_ROWS, _PROFILE))
+FROM profile WHERE null_count > 0 ORDER BY null_pct DESC, table_name, column_name""", *_GOLD))
 def null_grades(spark, d):
     return A.grade_nulls(_profile(spark, d))
 
