@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 # Bytes that belong to a word: everything but white space; or digits, letters and non-ASCII.
 NOT_SPACE = np.ones(256, dtype=bool)
