@@ -54,7 +54,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.source", F.col("kept").alias("text"), "n_lines", "n_dropped")
 
 
-@CASES.add("op7_substring_dedup", "substring dedup")
+@CASES.add("op7_substring_dedup", "substring dedup", substrings.OP7_SQL)
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -114,7 +114,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@CASES.add("op8_embedding_near_dedup", "embedding near-dedup")
+@CASES.add("op8_embedding_near_dedup", "embedding near-dedup", lattice.OP8_SQL)
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 

@@ -303,3 +303,21 @@ def _links(vectors: DataFrame, width: int, n: int, threshold: float, tables: int
         in_blocks(seen, ["grid", "cell"], "node").groupBy("grid", "cell", "low", "high")
         .applyInArrow(_link(width, n, tables, probes, threshold), "node bigint, lead bigint, links bigint")
     )
+
+
+OP8_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), n AS (
+  SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS size FROM v
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= {COSINE}
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), parts AS (
+  SELECT a, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN parts ON vec_id = a
+"""

@@ -300,3 +300,26 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return joined.select("doc_id", "text", "starts", "ends").mapInArrow(
         _apply, "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     )
+
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})
+), least AS (
+  SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT doc_id, list(DISTINCT p) AS gone FROM (
+    SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM windows JOIN least USING (h) WHERE doc_id > first_id)
+  GROUP BY doc_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM words ANTI JOIN (SELECT doc_id, unnest(gone) AS p FROM covered) USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
