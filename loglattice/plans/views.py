@@ -3,7 +3,9 @@ shown over request lines only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loglattice import constants as C
 from loglattice.functions import scalars as S
@@ -11,12 +13,41 @@ from loglattice.operators.joins import daily_view, risk_view
 from loglattice.operators.shares import share_of_total
 from loglattice.plans.silver import http_only
 
-PERCENTILE_ACCURACY = 10000
-
-
-def _percentile(column: str, fraction: float, accuracy: int) -> Column:
-    """Mergeable sketch: bounded memory per group however many rows one service has."""
-    return F.percentile_approx(column, F.lit(fraction), F.lit(accuracy))
+def _percentiles(timed: DataFrame, key: str, fractions: dict[str, str], accuracy: int | None) -> DataFrame:
+    """One row per key with discrete percentiles of the response times: the value at place ceil(fraction * rows).
+
+    They are exact, with no group in one task: equal values are counted, a first window over the counts by range, a
+    value to three digits, finds the range with the wanted place, and a second sorts the values of that range only.
+    With an ``accuracy`` they come from a mergeable sketch, whose places may be rows / accuracy off.
+    """
+    value = F.col("response_time")
+    if accuracy is not None:
+        return timed.groupBy(key).agg(
+            *[F.percentile_approx(value, F.lit(float(f)), F.lit(accuracy)).alias(n) for n, f in fractions.items()])
+    counts = timed.groupBy(key, "response_time").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "range", F.format_string("%.2e", value).cast("double"))
+    of_key = Window.partitionBy(key)
+    ranges = counts.groupBy(key, "range").agg(F.sum("n").alias("n")).withColumns(
+        {"upto": F.sum("n").over(of_key.orderBy("range")), "rows": F.sum("n").over(of_key)})
+    # decimals, so that 0.95 of 20 rows is place 19 and not just above it
+    places = [F.struct(F.lit(name).alias("name"), F.ceil(F.col("rows") * F.lit(Decimal(f))).cast("long").alias("place"))
+              for name, f in fractions.items()]
+    wanted = ranges.select(
+        F.col(key).alias("_key"), F.col("range").alias("_range"), (F.col("upto") - F.col("n")).alias("before"), "upto",
+        F.inline(F.array(*places))).where((F.col("before") < F.col("place")) & (F.col("place") <= F.col("upto")))
+    inside = Window.partitionBy(key, "name").orderBy("response_time")
+    found = counts.join(wanted, F.col(key).eqNullSafe(F.col("_key")) & (F.col("range") == F.col("_range"))).withColumn(
+        "upto", F.col("before") + F.sum("n").over(inside))
+    at_place = found.where(F.col("upto") >= F.col("place"))
+    return at_place.groupBy(key).agg(*[F.min(F.when(F.col("name") == n, value)).alias(n) for n in fractions])
+
+
+def _with_percentiles(timed: DataFrame, key: str, aggregates: list[Column], fractions: dict[str, str], accuracy: int | None
+                      ) -> DataFrame:
+    """Aggregates and rounded percentiles per key, NULL being a key of its own."""
+    rounded = [F.round(n, 4).alias(n) for n in fractions]
+    found = _percentiles(timed, key, fractions, accuracy).select(F.col(key).alias("_of"), *rounded)
+    return timed.groupBy(key).agg(*aggregates).join(found, F.col(key).eqNullSafe(F.col("_of")), "left").drop("_of")
 
 
 def service_overview(silver: DataFrame) -> DataFrame:
@@ -50,19 +81,22 @@ def service_overview(silver: DataFrame) -> DataFrame:
     )
 
 
-def service_latency(silver: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+def service_latency(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Latencies of the request lines per service; percentiles are exact unless an ``accuracy`` is given."""
     status = F.col("status_code")
-    return http_only(silver).groupBy("service").agg(
+    aggregates = [
         F.count(F.lit(1)).alias("request_count"),
         F.round(F.avg("response_time"), 4).alias("avg_response_time"),
-        F.round(_percentile("response_time", 0.50, accuracy), 4).alias("p50_response_time"),
-        F.round(_percentile("response_time", 0.95, accuracy), 4).alias("p95_response_time"),
         F.round(F.max("response_time"), 4).alias("max_response_time"),
         F.round(F.min("response_time"), 4).alias("min_response_time"),
         F.count_if(status >= 500).alias("server_errors"),
         F.count_if((status >= 400) & (status < 500)).alias("client_errors"),
         F.count_if(status == 200).alias("success_count"),
-    )
+    ]
+    both = {"p50_response_time": "0.50", "p95_response_time": "0.95"}
+    return _with_percentiles(http_only(silver), "service", aggregates, both, accuracy).select(
+        "service", "request_count", "avg_response_time", *both, "max_response_time", "min_response_time", "server_errors",
+        "client_errors", "success_count")
 
 
 def http_status(silver: DataFrame) -> DataFrame:
@@ -112,17 +146,15 @@ def hourly_trend(silver: DataFrame) -> DataFrame:
     )
 
 
-def hourly_latency(silver: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    return (
-        http_only(silver)
-        .where(F.col("event_timestamp").isNotNull())
-        .groupBy(S.hour_bucket(F.col("event_timestamp")).alias("event_hour_ts"))
-        .agg(
-            F.count(F.lit(1)).alias("request_count"),
-            F.round(F.avg("response_time"), 4).alias("avg_response_time"),
-            F.round(_percentile("response_time", 0.95, accuracy), 4).alias("p95_response_time"),
-        )
-    )
+def hourly_latency(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Latencies of the request lines per hour; the percentile is exact unless an ``accuracy`` is given."""
+    stamped = http_only(silver).where(F.col("event_timestamp").isNotNull())
+    timed = stamped.select(S.hour_bucket(F.col("event_timestamp")).alias("event_hour_ts"), "response_time")
+    aggregates = [
+        F.count(F.lit(1)).alias("request_count"),
+        F.round(F.avg("response_time"), 4).alias("avg_response_time"),
+    ]
+    return _with_percentiles(timed, "event_hour_ts", aggregates, {"p95_response_time": "0.95"}, accuracy)
 
 
 def log_level(silver: DataFrame) -> DataFrame:

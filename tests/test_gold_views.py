@@ -70,6 +70,28 @@ def test_approximate_percentiles_stay_within_rank_error(spark):
     assert abs(row.p95_response_time - 0.95 * n) <= n / accuracy + 1
 
 
+def test_percentiles_of_many_rows_are_exact(spark):
+    n = 60000
+    silver = spark.range(2 * n).selectExpr(
+        "if(id % 2 = 0, 'a', null) as service", "200 as status_code",
+        "cast(((id div 2) * 48271) % 60000 as double) / 8 - 100 as response_time",
+        "timestamp_ntz'2024-01-01 05:00:00' + make_interval(0, 0, 0, 0, 0, id % 2) as event_timestamp")
+    expected = (-100 + (0.50 * n - 1) / 8, -100 + (0.95 * n - 1) / 8)
+    rows = V.service_latency(silver).collect()
+    assert {r.service: (r.p50_response_time, r.p95_response_time) for r in rows} == {"a": expected, None: expected}
+    assert [r.p95_response_time for r in V.hourly_latency(silver).collect()] == [expected[1]]
+
+
+def test_percentiles_of_few_and_equal_rows(events):
+    def timed(service, *times):
+        return [{"service": service, "status_code": 200, "response_time": t} for t in times]
+
+    silver = events(*timed("one", 0.25), *timed("twenty", *[i / 10 for i in range(1, 21)]), *timed("same", *[0.0] * 7, 3.0),
+                    *timed("untimed", None))
+    found = {r.service: (r.p50_response_time, r.p95_response_time) for r in V.service_latency(silver).collect()}
+    assert found == {"one": (0.25, 0.25), "twenty": (1.0, 1.9), "same": (0.0, 3.0)}
+
+
 def test_views_from_rollup_equal_views_over_silver(events):
     when = dt.datetime(2024, 1, 1, 5)
     rows = [{"service": s, "log_level": lv, "status_code": c, "response_time": t, "event_timestamp": when + dt.timedelta(hours=i),
