@@ -120,6 +120,13 @@ def test_grids_and_best_model(rows):
     assert T.assemble_best(stages, {"searched": searched}, features)[2].stages[-1] == searched.bestModel
 
 
+def test_search_rows_do_not_depend_on_the_splits_of_the_input(spark):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("row_key"))
+    for most in (1000, 5000):
+        some, more = (T.bounded(rows.repartition(n), most, "row_key").rdd.glom().collect() for n in (1, 9))
+        assert some == more and len(some) == 1 and (most == 1000 or len(some[0]) == 3000)
+
+
 def test_leakage_report(rows):
     got = {r.feature: r for r in M.leakage_report(
         rows.withColumn("copy", F.col("is_anomaly")), "is_anomaly", ["copy", "log_file", "event_id"]).collect()}
