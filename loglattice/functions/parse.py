@@ -117,19 +117,23 @@ def _joined(columns: list[str]) -> Column:
     return F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
+def _content(columns: list[str]) -> Column:
+    """The same, but no two different rows share a text: the separator inside a value is escaped, NULL is no empty text."""
+    def part(column: str) -> Column:
+        escaped = F.replace(F.col(column).cast("string"), F.lit("\x02"), F.lit("\x02\x02"))
+        return F.coalesce(F.replace(escaped, F.lit("\x01"), F.lit("\x02\x03")), F.lit("\x02\x04"))
+
+    return F.concat_ws("\x01", *[part(c) for c in columns])
+
+
 def with_occurrence(df: DataFrame) -> DataFrame:
     """Add ``_occurrence``, which numbers equal rows from 0.
 
-    Only digests are counted. Rows that do not repeat pass as they are; of equal rows one is taken and
-    copied, so a line that makes up much of a file meets in no task.
+    Equal rows are counted, within each task before the one shuffle, and copied from their count, so a line that makes
+    up much of a file meets in no task.
     """
-    keyed = df.withColumn("_digest", F.sha2(_joined(df.columns), 256))
-    repeated = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    flagged = keyed.join(repeated, "_digest", "left")
-    single = flagged.where(F.col("_copies").isNull()).withColumn("_occurrence", F.lit(0).cast("long"))
-    numbers = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)
-    copied = flagged.where(F.col("_copies").isNotNull()).dropDuplicates(["_digest"]).withColumn("_occurrence", F.explode(numbers))
-    return single.unionByName(copied).drop("_digest", "_copies")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.select(*df.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_occurrence"))
 
 
 def with_identity(df: DataFrame, by: list[str] | None = None, mode: str = "auto") -> DataFrame:
@@ -152,7 +156,7 @@ def with_identity(df: DataFrame, by: list[str] | None = None, mode: str = "auto"
     if df.isStreaming:
         raise ValueError("a stream of lines without identifying columns must be parsed inside foreachBatch")
     counted = with_occurrence(df)
-    identity = as_uuid(_joined([*df.columns, "_occurrence"]))
+    identity = as_uuid(_content([*df.columns, "_occurrence"]))
     return counted.withColumns({"event_id": identity, **named}).drop("_occurrence")
 
 

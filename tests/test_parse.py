@@ -143,3 +143,15 @@ def test_row_check_counts_faults(spark):
     row = P.row_check(df).first()
     assert (row.events, row.missing_timestamp, row.missing_service) == (2, 1, 1)
     assert (row.malformed_event_id, row.malformed_instance_id) == (1, 1)
+
+
+def test_equal_lines_are_numbered_in_one_shuffle(spark):
+    given = [("a", "f")] * 3 + [("b", "f"), ("a", "g"), ("x\x01y", "z"), ("x", "y\x01z"), (None, "f"), ("", "f")]
+    lines = spark.createDataFrame(given, "value string, source_file string")
+    kept = P.with_identity(lines.repartition(3))
+    rows = [tuple(r) for r in kept.select("value", "source_file").collect()]
+    ids = {r.event_id for r in kept.collect()}
+    order = lambda r: (r[0] is None, r)
+    assert sorted(rows, key=order) == sorted(given, key=order) and len(ids) == len(given)
+    assert ids == {r.event_id for r in P.with_identity(lines.repartition(5, "value")).collect()}
+    assert P.with_identity(lines)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
