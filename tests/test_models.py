@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loglattice import constants as C
 from loglattice.ml import metrics as M, prep, runs as R, train as T
+from loglattice.registry import model_cases
 
 
 @pytest.fixture(scope="module")
@@ -127,6 +128,53 @@ def test_search_rows_do_not_depend_on_the_splits_of_the_input(spark):
         assert some == more and len(some) == 1 and (most == 1000 or len(some[0]) == 3000)
 
 
+def test_a_search_keeps_all_rows_in_a_bounded_number_of_partitions(spark, monkeypatch):
+    rows = spark.range(30_000).select(F.col("id").cast("string").alias("row_key"))
+    kept = T.bounded(rows, by="row_key")
+    assert kept.count() == 30_000 and kept.rdd.getNumPartitions() == 2
+    monkeypatch.setattr(C, "SEARCH_ROWS_PER_TASK", 8_000)
+    assert T.bounded(rows, by="row_key").rdd.getNumPartitions() == 4
+    monkeypatch.setattr(C, "SEARCH_TASKS", 3)
+    assert T.bounded(rows, by="row_key").rdd.getNumPartitions() == 3
+    assert [T.bounded(rows.limit(n), by="row_key").count() for n in (0, 1)] == [0, 1]
+
+
+def test_model_selection_fits_on_all_training_rows(spark, monkeypatch):
+    kinds = dict(service="svc", log_file="f", log_level="INFO", http_method="GET", response_category="Fast")
+    data = spark.range(24_000).select(
+        F.concat(F.lit("e"), "id").alias("row_key"), *[F.lit(v).alias(c) for c, v in kinds.items()],
+        *[(F.col("id") % (7 + i)).cast("int").alias(c) for i, c in enumerate(C.HEALTH_NUMERIC_FEATURES)],
+        (F.col("id") % 7 > 4).cast("double").alias("label"))
+    train = prep.class_weights(data.where("row_key <> 'e0'"))
+    fitted, search = [], T.select_model
+
+    def counted(name, features):
+        fitted.append(features.count())
+        return search(name, features, grid=[{}])
+
+    monkeypatch.setattr(model_cases, "health_frames", lambda spark, d: (train, data))
+    monkeypatch.setattr(T, "select_model", counted)
+    monkeypatch.setattr(T, "CLASSIFIERS", {"decision_tree": T.decision_tree})
+    chosen = model_cases.health_model_selection(spark, "").first()
+    assert fitted == [23_999] and chosen.model == "decision_tree" and chosen.f1 == 1.0
+
+
+def test_fits_of_a_search_share_no_local_properties(spark, monkeypatch, rows):
+    seen, jvm = [], spark.sparkContext._jvm
+
+    class Seen(DecisionTreeClassifier):
+        def _fit(self, dataset):
+            seen.append(jvm.System.identityHashCode(spark.sparkContext._jsc.sc().getLocalProperties()))
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(T, "CLASSIFIERS", {"seen": lambda label, weight: Seen(labelCol=label, weightCol=weight)})
+    features = prep.Pipeline(stages=prep.feature_stages(["log_level"], ["response_time"])).fit(rows).transform(
+        prep.class_weights(rows.withColumn("label", F.col("is_anomaly").cast("double"))))
+    depths = T.ParamGridBuilder().addGrid(DecisionTreeClassifier.maxDepth, [1, 2]).build()
+    assert T.select_model("seen", features, grid=depths, folds=2).bestModel.depth == 2
+    assert len(seen) == 5 and len(set(seen)) == 5  # two points in two folds, and the best one again
+
+
 def test_leakage_report(rows):
     got = {r.feature: r for r in M.leakage_report(
         rows.withColumn("copy", F.col("is_anomaly")), "is_anomaly", ["copy", "log_file", "event_id"]).collect()}
